@@ -114,33 +114,26 @@ def with_whole_texts(best: DataFrame, sources: list[tuple[DataFrame, dict[int, s
     of ``best`` are broadcast, a fixed number per branch, and where none of them is a
     digest the broadcast side is empty and the frames are not read again.
     """
-    digests = best.where(F.col("value").startswith(V.DIGEST_PREFIX)).select("branch", "value")
-    found = []
+    long_texts = []
     for df, columns in sources:
-        texts = {}
+        entries = []
         for branch, column in columns.items():
-            kind = kind_of(df, column)
+            c, kind = V.named(column), kind_of(df, column)
             if isinstance(V.key_type(kind), T.StringType):
-                texts[branch] = (V.named(column), kind)
-        if not texts:
-            continue
-        entries = [
-            F.when(
-                V.is_long(V.whole_text(c, kind)),
-                F.struct(
+                entry = F.struct(
                     F.lit(branch).alias("branch"),
                     V.groupable(c, kind).alias("value"),
                     V.whole_text(c, kind).alias("whole"),
-                ),
-            )
-            for branch, (c, kind) in texts.items()
-        ]
-        long_texts = df.select(F.inline(F.array_compact(F.array(*entries))))
-        wanted = long_texts.join(F.broadcast(digests), ["branch", "value"])
-        found.append(wanted.groupBy("branch", "value").agg(F.any_value("whole").alias("whole")))
-    if not found:
+                )
+                entries.append(F.when(V.is_long(V.whole_text(c, kind)), entry))
+        if entries:
+            long_texts.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+    if not long_texts:
         return best
-    joined = best.join(union_all(found), ["branch", "value"], "left")
+    digests = best.where(F.col("value").startswith(V.DIGEST_PREFIX)).select("branch", "value")
+    wanted = union_all(long_texts).join(F.broadcast(digests), ["branch", "value"])
+    whole = wanted.groupBy("branch", "value").agg(F.any_value("whole").alias("whole"))
+    joined = best.join(whole, ["branch", "value"], "left")
     return joined.select("branch", "rank", F.coalesce("whole", "value").alias("value"), "n")
 
 

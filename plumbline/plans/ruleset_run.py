@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import values as V
-from plumbline.functions.scalars import half_even, payload, safe_ratio, utc_text
+from plumbline.functions.scalars import payload, utc_text
 from plumbline.model import (
     MAX_SAMPLES,
     RESULT_COLUMNS,
@@ -62,45 +62,46 @@ def plan(rulesets: Iterable[RuleSet], datasets: Datasets, clock: Clock) -> list[
     return planned
 
 
-def _described(ruleset: RuleSet, check: Check, branch: int | None, **measured: Column) -> Column:
-    """What is known of a rule before its data is seen, next to its measures."""
+# What is known of a rule before its data is seen.
+DESCRIPTION = (
+    "struct<seq:int,branch:int,dataset_id:string,ruleset_version:int,rule_id:string,"
+    "rule_type:string,severity:string,threshold:string,allowance:double,given_status:string,"
+    "given_observed:string,if_empty:string>"
+)
+
+
+def _description(ruleset: RuleSet, check: Check, branch: int | None) -> dict[str, Any]:
     status, observed = check.verdict or (None, None)
-    texts = {
+    return {
+        "seq": check.seq,
+        "branch": branch,
         "dataset_id": ruleset.dataset_id,
+        "ruleset_version": ruleset.ruleset_version,
         "rule_id": check.rule.rule_id,
         "rule_type": check.rule.rule_type,
         "severity": check.rule.severity,
         "threshold": json_text(check.threshold),
+        "allowance": check.allowance,
         "given_status": status,
         "given_observed": None if observed is None else json_text(observed),
         "if_empty": None if check.if_empty is None else json_text(check.if_empty),
     }
-    fields = [F.lit(v).cast("string").alias(name) for name, v in texts.items()]
-    fields += [
-        F.lit(check.seq).alias("seq"),
-        F.lit(ruleset.ruleset_version).cast("int").alias("ruleset_version"),
-        F.lit(check.allowance).alias("allowance"),
-        F.lit(branch).cast("int").alias("branch"),
-    ]
-    for name in ("total", "failed", "latest"):
-        fields.append(measured.get(name, F.lit(None)).cast("bigint").alias(name))
-    return F.struct(*fields)
 
 
-def _scan_rows(df: DataFrame, checks: list[tuple[RuleSet, Check, int | None]]) -> DataFrame:
-    """One pass over a dataset for all its checks; a row per check."""
+def _scan_rows(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """One pass over a dataset for all its checks: (at, total, failed, latest) per check."""
     aggregates = [F.count(F.lit(1)).alias("total")]
     rows = []
-    for ruleset, check, branch in checks:
-        measured = {"total": F.col("total")}
+    for at, check in checks:
+        failed = latest = "cast(null as bigint)"
         if check.bad is not None:
-            aggregates.append(F.count_if(check.bad).alias(f"failed_{check.seq}"))
-            measured["failed"] = F.col(f"failed_{check.seq}")
+            failed = f"failed_{at}"
+            aggregates.append(F.count_if(check.bad).alias(failed))
         if check.latest is not None:
-            aggregates.append(F.max(check.latest).alias(f"latest_{check.seq}"))
-            measured["latest"] = F.col(f"latest_{check.seq}")
-        rows.append(_described(ruleset, check, branch, **measured))
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+            latest = f"latest_{at}"
+            aggregates.append(F.max(check.latest).alias(latest))
+        rows.append(f"struct({at} as at, total, {failed} as failed, {latest} as latest)")
+    return df.agg(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _branches(planned: list[Planned]) -> dict[tuple, int]:
@@ -175,118 +176,107 @@ def _measure(
     spark: SparkSession, planned: list[Planned], datasets: Datasets, clock: Clock
 ) -> DataFrame:
     branches = _branches(planned)
-    ready, by_dataset = [], {}
+    described: list[dict[str, Any]] = []
+    ready: list[int] = []
+    by_dataset: dict[str, list[tuple[int, Check]]] = {}
     for p in planned:
         for check in p.checks:
+            at, branch = len(described), None
             if check.verdict is not None:
-                ready.append(_described(p.ruleset, check, None))
+                ready.append(at)
             else:
                 branch = branches[_branch_key(check)] if check.grouping is not None else None
-                by_dataset.setdefault(check.dataset, []).append((p.ruleset, check, branch))
+                by_dataset.setdefault(check.dataset, []).append((at, check))
+            described.append(_description(p.ruleset, check, branch))
     parts = []
     for dataset, checks in by_dataset.items():
         for start in range(0, len(checks), CHECKS_PER_SCAN):
             parts.append(_scan_rows(datasets[dataset], checks[start : start + CHECKS_PER_SCAN]))
     if ready:
-        parts.append(spark.range(1).select(F.inline(F.array(*ready))))
+        none = "cast(null as bigint)"
+        parts.append(
+            spark.range(1).selectExpr(
+                f"explode(array({', '.join(map(str, ready))})) as at",
+                *[f"{none} as {c}" for c in ("total", "failed", "latest")],
+            )
+        )
     if not parts:
         raise ValueError("no rules to run")
-    rows = C.union_all(parts)
+    lookup = F.from_json(F.lit(json_text(described)), f"array<{DESCRIPTION}>")
+    rows = C.union_all(parts).withColumn("rule", F.element_at(lookup, F.col("at") + 1))
+    rows = rows.select("rule.*", "total", "failed", "latest")
     counted = _counted(planned, datasets, branches)
     if counted is None:
-        entry = "array<struct<value:string,n:bigint>>"
-        rows = rows.withColumns(
-            {
-                **{c: F.lit(None).cast("bigint") for c in ("rows", "surplus", "keys")},
-                "top": F.lit(None).cast(entry),
-            }
-        )
+        counts = [f"cast(null as bigint) as {c}" for c in ("rows", "surplus", "keys")]
+        rows = rows.selectExpr("*", *counts, f"cast(null as {TOP}) as top")
     else:
         rows = rows.join(counted, "branch", "left")
     return _judged(rows, clock)
 
 
+TOP = "array<struct<value:string,n:bigint>>"
+
+
 def _judged(rows: DataFrame, clock: Clock) -> DataFrame:
     """Status and payloads from the measures."""
-    kind, total = F.col("rule_type"), F.col("total")
-    zero = F.lit(0).cast("bigint")
-    failed = (
-        F.when(F.col("given_status").isNotNull(), F.lit(None).cast("bigint"))
-        .when(kind == "uniqueness", F.coalesce("surplus", zero))
-        .when(kind == "referential_integrity", F.coalesce("rows", zero))
-        .otherwise(F.col("failed"))
+    rows = rows.selectExpr(
+        "* except (failed, top)",
+        """case when given_status is not null then null
+                when rule_type = 'uniqueness' then coalesce(surplus, 0L)
+                when rule_type = 'referential_integrity' then coalesce(rows, 0L)
+                else failed end as failed""",
+        f"""case when rule_type in ('uniqueness', 'domain', 'referential_integrity')
+                 then coalesce(top, cast(array() as {TOP})) end as top""",
+        f"({clock.micros}L - latest) / 86400000000D as age",
+    ).selectExpr(
+        "*",
+        """case when rule_type = 'completeness'
+                then coalesce(failed / cast(nullif(total, 0) as double) * 100D, 0D) end as null_pct""",
+        "bround(age, 4) as age_days",
+        f"map_from_entries(slice(top, 1, {TOP_VALUES})) as top_counts",
+        f"'{clock.today.isoformat()}' as today",
     )
-    age = (F.lit(clock.micros) - F.col("latest")) / F.lit(86_400_000_000.0)
-    rows = rows.withColumns(
-        {
-            "failed": failed,
-            "null_pct": F.when(kind == "completeness", safe_ratio(failed, total, 100.0)),
-            "age_days": F.when(kind == "freshness", half_even(age, 4)),
-            "top": F.when(
-                kind.isin("uniqueness", "domain", "referential_integrity"),
-                F.coalesce("top", F.array().cast("array<struct<value:string,n:bigint>>")),
-            ),
-        }
-    )
-    n_failed, top = F.col("failed"), F.col("top")
-    holds = (
-        F.when(kind == "completeness", F.col("null_pct") <= F.col("allowance"))
-        .when(kind == "uniqueness", n_failed <= F.col("allowance"))
-        .when(kind == "freshness", age <= F.col("allowance"))
-        .otherwise(n_failed == 0)
-    )
-    status = F.coalesce("given_status", F.when(holds, F.lit("pass")).otherwise(F.lit("fail")))
-    counts = F.map_from_entries(F.slice(top, 1, TOP_VALUES))
-    failed_total = [n_failed.alias("failed"), total.alias("total")]
-    observed = (
-        F.when(F.col("given_observed").isNotNull(), F.col("given_observed"))
-        .when(
-            kind == "completeness",
-            payload(n_failed.alias("null_count"), total.alias("total"), F.col("null_pct")),
-        )
-        .when(
-            kind == "uniqueness",
-            payload(
-                F.transform(top, lambda e: e["value"]).alias("duplicate_keys"),
-                n_failed.alias("duplicates"),
-                total.alias("total"),
-            ),
-        )
-        .when(kind == "domain", payload(*failed_total, counts.alias("top_invalid_values")))
-        .when(
-            kind == "referential_integrity",
-            payload(*failed_total, counts.alias("top_missing_parent_keys")),
-        )
-        .when(
-            kind == "date_not_in_future",
-            payload(*failed_total, F.lit(clock.today.isoformat()).alias("today")),
-        )
-        .when((kind == "freshness") & F.col("latest").isNull(), F.col("if_empty"))
-        .when(
-            kind == "freshness",
-            payload(
-                utc_text(F.col("latest")).alias("max_ts_load_utc"),
-                utc_text(F.lit(clock.micros)).alias("now_utc"),
-                F.col("age_days"),
-            ),
-        )
-        .otherwise(payload(*failed_total))
-    )
-    return rows.select(
+
+    def payload_of(*fields: str) -> str:
+        named = ", ".join(fields)
+        return f"to_json(struct({named}), map('ignoreNullFields', 'false'))"
+
+    at = utc_text(F.col("latest")), utc_text(F.lit(clock.micros))
+    rows = rows.withColumns({"max_ts_load_utc": at[0], "now_utc": at[1]})
+    return rows.selectExpr(
         "seq",
         "dataset_id",
         "ruleset_version",
         "rule_id",
         "rule_type",
         "severity",
-        status.alias("status"),
+        """coalesce(given_status, case when
+             case rule_type when 'completeness' then null_pct <= allowance
+                            when 'uniqueness' then failed <= allowance
+                            when 'freshness' then age <= allowance
+                            else failed = 0 end
+             then 'pass' else 'fail' end) as status""",
         "failed",
         "total",
         "null_pct",
         "age_days",
         "keys",
         "top",
-        observed.alias("observed_value"),
+        f"""case when given_observed is not null then given_observed
+              when rule_type = 'completeness'
+                then {payload_of("failed as null_count", "total", "null_pct")}
+              when rule_type = 'uniqueness'
+                then {payload_of("top.value as duplicate_keys", "failed as duplicates", "total")}
+              when rule_type = 'domain'
+                then {payload_of("failed", "total", "top_counts as top_invalid_values")}
+              when rule_type = 'referential_integrity'
+                then {payload_of("failed", "total", "top_counts as top_missing_parent_keys")}
+              when rule_type = 'date_not_in_future'
+                then {payload_of("failed", "total", "today")}
+              when rule_type = 'freshness' and latest is null then if_empty
+              when rule_type = 'freshness'
+                then {payload_of("max_ts_load_utc", "now_utc", "age_days")}
+              else {payload_of("failed", "total")} end as observed_value""",
         "threshold",
     )
 

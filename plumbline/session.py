@@ -22,6 +22,8 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: obj
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # do not record a Python call site per expression: wide rule sets build thousands
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, str(value))
