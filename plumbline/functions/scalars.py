@@ -12,11 +12,6 @@ def clamp(x: Column, low: float = 0.0, high: float = 1.0) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), x))
 
 
-def payload(*fields: Column) -> Column:
-    """JSON object of the fields, nulls kept."""
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-
-
 def matching_patterns(name: Column, patterns: Iterable[str]) -> Column:
     """The regular expressions, in the given order, found in ``name`` in any case."""
     hits = [F.when(name.rlike("(?i)" + p), F.lit(p)) for p in patterns]
@@ -29,16 +24,8 @@ def safe_ratio(part: Column, whole: Column, scale: float = 1.0, empty: float = 0
     return F.coalesce(ratio, F.lit(empty))
 
 
-def half_even(x: Column, digits: int) -> Column:
-    return F.bround(x, digits)
-
-
-def utc_text(micros: Column) -> Column:
-    """Epoch microseconds as ``yyyy-MM-dd HH:mm:ss[.ffffff]+00:00``."""
-    moment = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), F.timestamp_micros(micros).cast("timestamp_ntz")
-    )
-    whole = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
-    rest = F.pmod(micros, F.lit(1_000_000))
-    fraction = F.when(rest > 0, F.format_string(".%06d", rest)).otherwise(F.lit(""))
-    return F.concat(whole, fraction, F.lit("+00:00"))
+def utc_text(micros: str) -> str:
+    """SQL: epoch microseconds as ``yyyy-MM-dd HH:mm:ss[.ffffff]+00:00``."""
+    moment = f"convert_timezone(current_timezone(), 'UTC', cast(timestamp_micros({micros}) as timestamp_ntz))"
+    fraction = f"if(pmod({micros}, 1000000L) > 0, format_string('.%06d', pmod({micros}, 1000000L)), '')"
+    return f"concat(date_format({moment}, 'yyyy-MM-dd HH:mm:ss'), {fraction}, '+00:00')"

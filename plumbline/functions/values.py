@@ -1,7 +1,9 @@
-"""Column expressions that read dirty values: blank, number, date, text.
+"""SQL expressions that read dirty values: blank, number, date, text.
 
-Every function takes the column and its Spark type, so that typed columns keep
-their native comparison (and parquet pushdown) and only text pays for parsing.
+Every function takes a column expression and its Spark type and gives SQL text for
+``F.expr`` / ``selectExpr``: typed columns keep their native comparison (and parquet
+pushdown), and only text pays for parsing.  As text, one expression is one call into
+the JVM however deep it is, so wide rule sets and tables are planned quickly.
 """
 
 from __future__ import annotations
@@ -10,8 +12,6 @@ from collections.abc import Iterable
 from datetime import date, timedelta
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.model import value_text
@@ -39,9 +39,30 @@ LONG_TEXT_BYTES = 64
 DIGEST_PREFIX = "sha256:"
 
 
-def named(name: str) -> Column:
+def named(name: str) -> str:
     """The column of exactly this name, whatever characters are in it."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    """A SQL string literal for any text."""
+    plain = (ch if " " <= ch <= "~" and ch not in "'\\" else _escaped(ch) for ch in text)
+    return "'" + "".join(plain) + "'"
+
+
+def _escaped(ch: str) -> str:
+    return f"\\u{ord(ch):04x}" if ord(ch) < 0x10000 else f"\\U{ord(ch):08x}"
+
+
+def number_literal(value: float) -> str:
+    return f"double({text_literal(repr(float(value)))})"
+
+
+def _pattern(pattern: str) -> str:
+    return f"r'{pattern}'"
+
+
+SPACE = text_literal(WHITESPACE)
 
 
 def is_integral(kind: T.DataType) -> bool:
@@ -56,151 +77,155 @@ def is_numeric(kind: T.DataType) -> bool:
     return isinstance(kind, T.NumericType)
 
 
+def is_text(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StringType)
+
+
 def is_moment(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def present(c: Column, kind: T.DataType) -> Column:
+def present(c: str, kind: T.DataType) -> str:
     """The value with NaN turned into null."""
-    return F.nanvl(c, F.lit(None).cast(kind)) if is_fractional(kind) else c
+    return f"nanvl({c}, cast(null as {kind.simpleString()}))" if is_fractional(kind) else c
 
 
-def is_blank(c: Column, kind: T.DataType) -> Column:
-    """Null, NaN, or text of white space only."""
-    if isinstance(kind, T.StringType):
-        return c.isNull() | (F.ltrim(c, F.lit(WHITESPACE)) == F.lit(""))
+def is_blank(c: str, kind: T.DataType) -> str:
+    """Null, NaN, or text of white space only.
+
+    Trimming on the left stops at the first other character, so long texts cost nothing.
+    """
+    if is_text(kind):
+        return f"({c} is null or trim(leading {SPACE} from {c}) = '')"
     if is_fractional(kind):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+        return f"({c} is null or isnan({c}))"
+    return f"({c} is null)"
 
 
 def can_be_number(kind: T.DataType) -> bool:
-    return is_numeric(kind) or isinstance(kind, (T.StringType, T.BooleanType))
+    return is_numeric(kind) or is_text(kind) or isinstance(kind, T.BooleanType)
 
 
-def as_number(c: Column, kind: T.DataType) -> Column:
+def as_number(c: str, kind: T.DataType) -> str:
     """Double value, null where there is none."""
-    if isinstance(kind, T.StringType):
-        number = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
-        overflow = (F.abs(number) == F.lit(float("inf"))) & ~F.lower(c).contains("inf")
-        return F.when(~overflow, number)
+    if is_text(kind):
+        number = f"if({c} rlike {_pattern(NUMBER_PATTERN)}, try_cast({c} as double), null)"
+        overflow = f"abs({number}) = double('infinity') and not contains(lower({c}), 'inf')"
+        return f"if({overflow}, null, {number})"
     if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
-    return present(c, kind).cast("double")
+        return f"cast(cast({c} as int) as double)"
+    return f"cast({present(c, kind)} as double)"
 
 
 def as_timestamp(
-    c: Column,
-    kind: T.DataType,
-    formats: Iterable[str] = DATE_FORMATS,
-    unit: str | None = None,
-) -> Column:
+    c: str, kind: T.DataType, formats: Iterable[str] = DATE_FORMATS, unit: str | None = None
+) -> str:
     """Timestamp, null where the value does not parse in any of the formats."""
-    if isinstance(kind, T.StringType):
-        text = F.btrim(c, F.lit(WHITESPACE))
+    if is_text(kind):
+        text = f"btrim({c}, {SPACE})"
         readings = [
-            F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp"))
+            f"if({text} rlike {_pattern(ISO_PATTERN)}, try_cast({text} as timestamp), null)"
             if fmt == "iso"
-            else F.try_to_timestamp(text, F.lit(fmt))
+            else f"try_to_timestamp({text}, {text_literal(fmt)})"
             for fmt in formats
         ]
-        return F.coalesce(*readings)
+        return f"coalesce({', '.join(readings)})"
     if is_numeric(kind) and unit:
-        micros = present(c, kind) / 1000 if unit == "ns" else F.try_multiply(present(c, kind), F.lit(EPOCH_UNITS[unit]))
-        return F.timestamp_micros(micros.try_cast("bigint"))
-    return c.cast("timestamp")
+        value = present(c, kind)
+        micros = f"{value} / 1000" if unit == "ns" else f"try_multiply({value}, {EPOCH_UNITS[unit]}L)"
+        return f"timestamp_micros(try_cast({micros} as bigint))"
+    return f"cast({c} as timestamp)"
 
 
 def can_be_moment(kind: T.DataType, unit: str | None = None) -> bool:
-    return isinstance(kind, T.StringType) or is_moment(kind) or (is_numeric(kind) and unit is not None)
+    return is_text(kind) or is_moment(kind) or (is_numeric(kind) and unit is not None)
 
 
 def after_day(
-    c: Column,
+    c: str,
     kind: T.DataType,
     day: date,
     formats: Iterable[str] = DATE_FORMATS,
     unit: str | None = None,
-) -> Column:
+) -> str:
     """No readable date, or a date later than ``day``."""
     if isinstance(kind, T.DateType):
-        return c.isNull() | (c > F.lit(day))
-    midnight = F.lit((day + timedelta(days=1)).isoformat() + " 00:00:00")
+        return f"({c} is null or {c} > date'{day.isoformat()}')"
+    midnight = f"{(day + timedelta(days=1)).isoformat()} 00:00:00"
     if isinstance(kind, T.TimestampNTZType):
-        return c.isNull() | (c >= midnight.cast("timestamp_ntz"))
+        return f"({c} is null or {c} >= timestamp_ntz'{midnight}')"
     moment = as_timestamp(c, kind, formats, unit)
-    return moment.isNull() | (moment >= midnight.cast("timestamp"))
+    return f"coalesce({moment} >= timestamp_ltz'{midnight}', true)"
 
 
 def as_micros(
-    c: Column,
-    kind: T.DataType,
-    formats: Iterable[str] = DATE_FORMATS,
-    unit: str | None = None,
-) -> Column:
+    c: str, kind: T.DataType, formats: Iterable[str] = DATE_FORMATS, unit: str | None = None
+) -> str:
     """Microseconds since the epoch, zone-less values read as UTC."""
     if isinstance(kind, (T.TimestampNTZType, T.DateType)):
-        c = F.convert_timezone(F.lit("UTC"), F.current_timezone(), c.cast("timestamp_ntz"))
-        return F.unix_micros(c.cast("timestamp"))
-    return F.unix_micros(as_timestamp(c, kind, formats, unit))
+        here = f"convert_timezone('UTC', current_timezone(), cast({c} as timestamp_ntz))"
+        return f"unix_micros(cast({here} as timestamp))"
+    return f"unix_micros({as_timestamp(c, kind, formats, unit)})"
 
 
-def as_text(c: Column, kind: T.DataType) -> Column:
+def as_text(c: str, kind: T.DataType) -> str:
     """Display text; booleans and doubles are written the way Python writes them."""
-    if isinstance(kind, T.StringType):
+    if is_text(kind):
         return c
     if isinstance(kind, T.BooleanType):
-        return F.initcap(c.cast("string"))
+        return f"initcap(cast({c} as string))"
     if is_fractional(kind):
-        plain = F.regexp_replace(c.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1")
-        size = F.abs(c)
-        wide = (size >= 1e7) & (size < 1e16) | (size >= 1e-4) & (size < 1e-3)
-        return F.when(wide, plain).otherwise(c.cast("string"))
+        digits = f"cast(try_cast({c} as decimal(38,21)) as string)"
+        plain = f"regexp_replace({digits}, {_pattern(TRAILING_ZEROS)}, '$1')"
+        size = f"abs({c})"
+        wide = f"({size} >= 1e7 and {size} < 1e16) or ({size} >= 1e-4 and {size} < 1e-3)"
+        return f"if({wide}, {plain}, cast({c} as string))"
     if isinstance(kind, NESTED):
-        return F.to_json(c)
-    return c.cast("string")
+        return f"to_json({c})"
+    return f"cast({c} as string)"
+
+
+TRAILING_ZEROS = r"([.][0-9]+?)0*$"
 
 
-def whole_text(c: Column, kind: T.DataType) -> Column:
-    return F.to_json(c) if isinstance(kind, NESTED) else c
+def whole_text(c: str, kind: T.DataType) -> str:
+    return f"to_json({c})" if isinstance(kind, NESTED) else c
 
 
-def is_long(text: Column) -> Column:
-    return F.octet_length(text) > LONG_TEXT_BYTES
+def is_long(text: str) -> str:
+    return f"octet_length({text}) > {LONG_TEXT_BYTES}"
 
 
-def groupable(c: Column, kind: T.DataType) -> Column:
+def groupable(c: str, kind: T.DataType) -> str:
     """A short form of the value that is equal exactly where the value is equal."""
-    if not isinstance(key_type(kind), T.StringType):
+    if not is_text(key_type(kind)):
         return present(c, kind)
     text = whole_text(c, kind)
-    digest = F.concat(F.lit(DIGEST_PREFIX), F.sha2(text, 256))
-    return F.when(is_long(text), digest).otherwise(text)
+    return f"if({is_long(text)}, concat('{DIGEST_PREFIX}', sha2({text}, 256)), {text})"
 
 
 def key_type(kind: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(kind, NESTED) else kind
 
 
-def outside(c: Column, kind: T.DataType, allowed: Iterable[Any]) -> Column:
+def outside(c: str, kind: T.DataType, allowed: Iterable[Any]) -> str:
     """A value that is not blank and not in the allow-list."""
     texts = [value_text(v) for v in allowed]
     if is_integral(kind):
-        hit = _in(c, [int(t) for t in texts if _is_plain_int(t)])
+        value, listed = c, [t for t in texts if _is_plain_int(t)]
     elif is_numeric(kind):
-        hit = _in(c.cast("double"), [f for f in map(_float_or_none, texts) if f is not None])
+        numbers = [f for f in map(_float_or_none, texts) if f is not None]
+        value, listed = f"cast({c} as double)", [number_literal(f) for f in numbers]
     else:
-        hit = _in(as_text(c, kind), texts)
-    return ~is_blank(c, kind) & ~F.coalesce(hit, F.lit(False))
-
-
-def _in(c: Column, values: list) -> Column:
-    return c.isin(values) if values else F.lit(False)
+        value, listed = as_text(c, kind), [text_literal(t) for t in texts]
+    if not listed:
+        return f"(not {is_blank(c, kind)})"
+    return f"(not {is_blank(c, kind)} and {value} not in ({', '.join(listed)}))"
 
 
 def _is_plain_int(text: str) -> bool:
     digits = text[1:] if text[:1] == "-" else text
-    return digits.isascii() and digits.isdigit() and str(int(text)) == text
+    return digits.isascii() and digits.isdigit() and len(digits) < 19 and str(int(text)) == text
 
 
 def _float_or_none(text: str) -> float | None:
@@ -211,17 +236,17 @@ def _float_or_none(text: str) -> float | None:
 
 
 def same_footing(
-    left: Column, left_kind: T.DataType, right: Column, right_kind: T.DataType
-) -> tuple[Column, T.DataType, Column]:
+    left: str, left_kind: T.DataType, right: str, right_kind: T.DataType
+) -> tuple[str, T.DataType, str]:
     """Both sides of a key comparison in one type: native where possible, else text."""
     if left_kind == right_kind:
         return groupable(left, left_kind), key_type(left_kind), groupable(right, right_kind)
     if is_integral(left_kind) and is_integral(right_kind):
-        return left.cast("bigint"), T.LongType(), right.cast("bigint")
+        return f"cast({left} as bigint)", T.LongType(), f"cast({right} as bigint)"
     if is_numeric(left_kind) and is_numeric(right_kind):
         return as_number(left, left_kind), T.DoubleType(), as_number(right, right_kind)
     if is_moment(left_kind) and is_moment(right_kind):
-        return left.cast("timestamp"), T.TimestampType(), right.cast("timestamp")
+        return f"cast({left} as timestamp)", T.TimestampType(), f"cast({right} as timestamp)"
     text = T.StringType()
     left_text, right_text = as_text(left, left_kind), as_text(right, right_kind)
     return groupable(left_text, text), text, groupable(right_text, text)

@@ -14,8 +14,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from plumbline.functions import values as V
@@ -59,8 +58,8 @@ class Check:
     """One rule, ready to plan.
 
     ``verdict`` is set when no data is needed; else ``bad`` marks bad rows,
-    ``latest`` gives the moment whose maximum counts, and ``grouping`` asks for
-    value counts.  ``allowance`` is the number the measure may not exceed.
+    ``latest`` gives the moment whose maximum counts (both SQL expressions), and
+    ``grouping`` asks for value counts.  ``allowance`` is the number the measure may not exceed.
     """
 
     seq: int
@@ -68,8 +67,8 @@ class Check:
     dataset: str
     threshold: dict[str, Any]
     verdict: tuple[str, dict[str, Any]] | None = None
-    bad: Column | None = None
-    latest: Column | None = None
+    bad: str | None = None
+    latest: str | None = None
     grouping: Grouping | None = None
     allowance: float = 0.0
     if_empty: dict[str, Any] | None = None
@@ -113,7 +112,7 @@ class _Source:
             raise BadRule("missing_dataset", dataset_id=wanted)
         return self.datasets[wanted]
 
-    def field(self, column: Any, dataset_id: str | None = None) -> tuple[Column, T.DataType]:
+    def field(self, column: Any, dataset_id: str | None = None) -> tuple[str, T.DataType]:
         df = self.frame(dataset_id)
         # exact, case-sensitive lookup: the analyzer alone would accept another spelling
         kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -186,12 +185,12 @@ def _range(source: _Source, expectation: Mapping, clock: Clock) -> dict:
         raise BadRule("bad_parameter", parameter="column", column_type=kind.simpleString())
     low, high = expectation.get("min"), expectation.get("max")
     number = V.as_number(column, kind)
-    bad = number.isNull()
+    tests = [f"{number} is null"]
     if low is not None:
-        bad = bad | (number < F.lit(_number(expectation, "min", None, float)))
+        tests.append(f"{number} < {V.number_literal(_number(expectation, 'min', None, float))}")
     if high is not None:
-        bad = bad | (number > F.lit(_number(expectation, "max", None, float)))
-    return {"threshold": {"min": low, "max": high}, "bad": bad}
+        tests.append(f"{number} > {V.number_literal(_number(expectation, 'max', None, float))}")
+    return {"threshold": {"min": low, "max": high}, "bad": f"({' or '.join(tests)})"}
 
 
 def _domain(source: _Source, expectation: Mapping, clock: Clock) -> dict:

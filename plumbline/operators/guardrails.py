@@ -87,7 +87,7 @@ def _with_reason(
 ) -> DataFrame:
     """Settle the column of each proposal and add the first reason to reject it, if any."""
     several = F.size(F.coalesce("columns", F.array())) > 0
-    filled = F.filter("columns", lambda c: ~V.is_blank(c, _STRING))
+    filled = F.expr(f"filter(columns, c -> not {V.is_blank('c', T.StringType())})")
     single = F.col("rule_type").isin(list(SINGLE_COLUMN_TYPES))
     ready = proposals.withColumn("__named", F.when(several, F.size(filled)).otherwise(0)).withColumn(
         "column",
@@ -123,7 +123,6 @@ def _with_reason(
     return joined.withColumn("reject_reason", F.expr(reason)).drop("__named", "__known")
 
 
-_STRING = T.StringType()
 
 
 def judge_proposals(

@@ -11,12 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from plumbline.functions import values as V
-from plumbline.functions.scalars import safe_ratio
 from plumbline.model import TOP_VALUES
 from plumbline.operators import value_counts as C
 
@@ -50,115 +48,88 @@ def profile(datasets: Mapping[str, DataFrame], max_top: int = TOP_VALUES) -> Dat
 
 
 def _profile_one(dataset_id: str, df: DataFrame, max_top: int) -> DataFrame:
+    """All parts as one SQL statement, so that a wide table is still one analysis."""
     fields = list(enumerate(df.schema.fields))
-    stats = [
-        _scan_statistics(df, fields[start : start + COLUMNS_PER_SCAN])
+    scans = [
+        _statistics_sql(fields[start : start + COLUMNS_PER_SCAN])
         for start in range(0, len(fields), COLUMNS_PER_SCAN)
     ]
-    counts = {i: _counts(df, f) for i, f in fields}
-    spread = C.union_all([_spread(i, counts[i]) for i, _ in fields])
-    tops = _top_values(df, fields, counts, max_top)
-    joined = C.union_all(stats).join(spread, "ordinal").join(tops, "ordinal", "left")
-    non_null = F.col("row_count") - F.col("null_count")
-    distinct = F.col("distinct_count")
-    return joined.select(
-        F.lit(dataset_id).alias("dataset_id"),
-        "ordinal",
-        "column",
-        "dtype",
-        "row_count",
-        "null_count",
-        safe_ratio(F.col("null_count"), F.col("row_count")).alias("null_pct"),
-        "distinct_count",
-        F.coalesce("top_values", F.array().cast("array<struct<value:string,count:bigint>>")).alias(
-            "top_values"
-        ),
-        non_null.alias("non_null_count"),
-        safe_ratio(distinct, non_null).alias("distinct_ratio_non_null"),
-        F.coalesce("max_dup_count", F.lit(0).cast("bigint")).alias("max_dup_count"),
-        F.greatest(F.lit(0).cast("bigint"), non_null - distinct).alias("duplicate_count"),
-        "min",
-        "max",
-        "mean",
+    counts = ",\n".join(_counts_sql(i, f) for i, f in fields)
+    spreads = "\nunion all ".join(
+        f"select {i} as ordinal, count(1) as distinct_count, max(n) as max_dup_count from counts_{i}"
+        for i, _ in fields
+    )
+    tops = "\nunion all ".join(_top_sql(i, f, max_top) for i, f in fields)
+    best = C.with_whole_texts(
+        df.sparkSession.sql(f"with {counts}\n{tops}", df=df), [(df, {i: f.name for i, f in fields})]
+    )
+    listed = C.as_array(best).selectExpr(
+        "branch as ordinal",
+        "transform(top, e -> struct(e.value as value, e.n as count)) as top_values",
+    )
+    return df.sparkSession.sql(
+        f"""
+        with {counts},
+        stats as ({" union all ".join(scans)}),
+        spreads as ({spreads})
+        select {V.text_literal(dataset_id)} as dataset_id, ordinal, column, dtype, row_count,
+          null_count,
+          coalesce(null_count / cast(nullif(row_count, 0) as double), 0D) as null_pct,
+          distinct_count,
+          coalesce(top_values, cast(array() as array<struct<value:string,count:bigint>>)) as top_values,
+          row_count - null_count as non_null_count,
+          coalesce(distinct_count / cast(nullif(row_count - null_count, 0) as double), 0D)
+            as distinct_ratio_non_null,
+          coalesce(max_dup_count, 0L) as max_dup_count,
+          greatest(0L, row_count - null_count - distinct_count) as duplicate_count,
+          min, max, mean
+        from stats join spreads using (ordinal) left join {{listed}} using (ordinal)""",
+        df=df,
+        listed=listed,
     )
 
 
-def _scan_statistics(df: DataFrame, fields: list[tuple[int, T.StructField]]) -> DataFrame:
+def _statistics_sql(fields: list[tuple[int, T.StructField]]) -> str:
     """(ordinal, column, dtype, row_count, null_count, min, max, mean) from one aggregate."""
-    aggregates = [F.count(F.lit(1)).alias("n")]
+    aggregates = ["count(1) as n"]
     rows = []
     for i, field in fields:
         c, kind = V.named(field.name), field.dataType
-        aggregates.append(F.count_if(V.is_blank(c, kind)).alias(f"nulls_{i}"))
-        measures: dict[str, Column] = {}
+        aggregates.append(f"count_if({V.is_blank(c, kind)}) as nulls_{i}")
+        measures = ["cast(null as double)"] * 3
         if V.is_numeric(kind) or isinstance(kind, T.BooleanType):
-            number = V.as_number(c, kind)
             # min and max on the native value; only the result becomes a double
-            native = V.present(c, kind) if V.is_numeric(kind) else number
+            native = V.present(c, kind) if V.is_numeric(kind) else f"cast({c} as int)"
             aggregates += [
-                F.min(native).cast("double").alias(f"min_{i}"),
-                F.max(native).cast("double").alias(f"max_{i}"),
-                F.avg(number).alias(f"mean_{i}"),
+                f"cast(min({native}) as double) as min_{i}",
+                f"cast(max({native}) as double) as max_{i}",
+                f"avg({V.as_number(c, kind)}) as mean_{i}",
             ]
-            measures = {m: F.col(f"{m}_{i}") for m in ("min", "max", "mean")}
+            measures = [f"min_{i}", f"max_{i}", f"mean_{i}"]
         rows.append(
-            F.struct(
-                F.lit(i).alias("ordinal"),
-                F.lit(field.name).alias("column"),
-                F.lit(type_name(kind)).alias("dtype"),
-                F.col("n").alias("row_count"),
-                F.col(f"nulls_{i}").alias("null_count"),
-                *[
-                    measures.get(m, F.lit(None)).cast("double").alias(m)
-                    for m in ("min", "max", "mean")
-                ],
-            )
+            f"struct({i} as ordinal, {V.text_literal(field.name)} as column, "
+            f"'{type_name(kind)}' as dtype, n as row_count, nulls_{i} as null_count, "
+            f"{measures[0]} as min, {measures[1]} as max, {measures[2]} as mean)"
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return f"select inline(array({', '.join(rows)})) from (select {', '.join(aggregates)} from {{df}})"
 
 
-def _counts(df: DataFrame, field: T.StructField) -> DataFrame:
+def _counts_sql(i: int, field: T.StructField) -> str:
     """(key, n) of the present values; white-space text counts as a value here."""
-    return C.value_counts(df, field.name).where(F.col("key").isNotNull())
-
-
-def _spread(ordinal: int, counts: DataFrame) -> DataFrame:
-    return counts.agg(
-        F.count(F.lit(1)).alias("distinct_count"), F.max("n").alias("max_dup_count")
-    ).select(F.lit(ordinal).alias("ordinal"), "distinct_count", "max_dup_count")
+    key = V.groupable(V.named(field.name), field.dataType)
+    return (
+        f"counts_{i} as (select key, count(1) as n from (select {key} as key from {{df}}) "
+        "where key is not null group by key)"
+    )
 
 
-def _top_values(
-    df: DataFrame,
-    fields: list[tuple[int, T.StructField]],
-    counts: Mapping[int, DataFrame],
-    max_top: int,
-) -> DataFrame:
-    """(ordinal, top_values): most frequent first, ties by value in its own type.
+def _top_sql(i: int, field: T.StructField, max_top: int) -> str:
+    """(branch, rank, value, n): most frequent first, ties by value in its own type.
 
-    The limit is applied per column to sorted counts, so Spark keeps ``max_top`` rows
-    per task and merges those.
+    The limit applies to sorted counts, so Spark keeps ``max_top`` rows per task and
+    merges those.
     """
-    best = []
-    for i, field in fields:
-        kind = V.key_type(field.dataType)
-        first = counts[i].orderBy(F.desc("n"), F.asc("key")).limit(max_top)
-        ranked = first.agg(
-            F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "key"))).alias("all")
-        )
-        entries = ranked.select(F.posexplode("all").alias("at", "e"))
-        best.append(
-            entries.select(
-                F.lit(i).alias("branch"),
-                (F.col("at") + 1).alias("rank"),
-                V.as_text(F.col("e.key"), kind).alias("value"),
-                (-F.col("e.less")).alias("n"),
-            )
-        )
-    columns = {i: f.name for i, f in fields}
-    whole = C.with_whole_texts(C.union_all(best), [(df, columns)])
-    arrays = C.as_array(whole)
-    renamed = F.transform(
-        F.col("top"), lambda e: F.struct(e["value"].alias("value"), e["n"].alias("count"))
-    )
-    return arrays.select(F.col("branch").alias("ordinal"), renamed.alias("top_values"))
+    text = V.as_text("e.key", V.key_type(field.dataType))
+    return f"""select {i} as branch, at + 1 as rank, {text} as value, -e.less as n from (
+        select posexplode(array_sort(collect_list(struct(-n as less, key)))) as (at, e)
+        from (select * from counts_{i} order by n desc, key limit {max_top}))"""

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.values import WHITESPACE
+from plumbline.functions.values import SPACE, text_literal
 from plumbline.model import PROPOSALS_SCHEMA, RULE_TYPES, RULES_SCHEMA
 from plumbline.operators.candidates import CANDIDATE_TYPES, CandidateLimits, column_candidates
 
@@ -141,12 +141,11 @@ def baseline_rules(
     Columns of the result are those of the rules table that are known here; version and
     position come with the merge.
     """
-    space = f"'{_sql_text(WHITESPACE)}'"
-    fallback = "null" if default_ts_column is None else f"'{_sql_text(default_ts_column)}'"
+    fallback = "null" if default_ts_column is None else text_literal(default_ts_column)
     entries = catalog.selectExpr(
         "*",
-        f"nullif(btrim(ts_load_column, {space}), '') as ts_column",
-        f"nullif(btrim(coalesce(nullif(ts_load_column, ''), {fallback}), {space}), '') as any_ts",
+        f"nullif(btrim(ts_load_column, {SPACE}), '') as ts_column",
+        f"nullif(btrim(coalesce(nullif(ts_load_column, ''), {fallback}), {SPACE}), '') as any_ts",
         "try_cast(freshness_max_age_days as int) as max_age_days",
     ).selectExpr(
         "*",
@@ -175,13 +174,6 @@ def baseline_rules(
     )
 
 
-def _sql_text(text: str) -> str:
-    return "".join(
-        f"\\u{ord(ch):04x}" if ch in "'\\" or not ch.isprintable() or ord(ch) > 126 else ch
-        for ch in text
-    )
-
-
 @dataclass(frozen=True)
 class Template:
     """Which columns of a dataset play which part in the baseline rule template."""
@@ -247,7 +239,6 @@ def template_rules(
     slots = spark.createDataFrame(rows, layout)
     seen = profile.select("dataset_id", "column", "top_values", "min", "max", "dtype")
     joined = slots.join(seen, ["dataset_id", "column"], "left")
-    space = f"'{_sql_text(WHITESPACE)}'"
     return joined.where("rule_type <> 'range' or not capped or max is not null").selectExpr(
         "dataset_id",
         "ordinal",
@@ -260,7 +251,7 @@ def template_rules(
              when 'completeness' then to_json(struct(column, 0 as max_null_percent))
              when 'domain' then to_json(struct(column, slice(transform(filter(
                  if(dtype = 'object', coalesce(top_values, array()), array()),
-                 v -> length(btrim(v.value, {space})) between 1 and max_length), v -> v.value),
+                 v -> length(btrim(v.value, {SPACE})) between 1 and max_length), v -> v.value),
                  1, {DOMAIN_VALUES}) as allowed_values))
              when 'range' then to_json(struct(column, 0 as min,
                  if(capped, bround(max * {RANGE_HEADROOM}D, 2), null) as max))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +35,12 @@ def kind_of(df: DataFrame, column: str) -> T.DataType:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """(key, n) for every value of the column; null is a value."""
     key = V.groupable(V.named(column), kind_of(df, column))
-    return df.select(key.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return df.selectExpr(f"{key} as key").groupBy("key").agg(F.expr("count(1) as n"))
 
 
 def repeated_keys(df: DataFrame, column: str) -> DataFrame:
     """(key, n) of the values that occur more than once."""
-    return value_counts(df, column).where(F.col("n") > 1)
+    return value_counts(df, column).where("n > 1")
 
 
 def orphan_keys(
@@ -55,16 +55,16 @@ def orphan_keys(
     here, there = V.named(child_column), V.named(parent_column)
     key, _, parent_key = V.same_footing(here, child_kind, there, parent_kind)
     counts = (
-        child.where(~V.is_blank(here, child_kind))
-        .select(key.alias("key"))
+        child.where(f"not {V.is_blank(here, child_kind)}")
+        .selectExpr(f"{key} as key")
         .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) as n"))
     )
-    known = parent.select(parent_key.alias("key")).distinct()
+    known = parent.selectExpr(f"{parent_key} as key").distinct()
     return counts.join(known, "key", "left_anti")
 
 
-def invalid_values(df: DataFrame, tests: dict[int, tuple[str, Column]]) -> DataFrame:
+def invalid_values(df: DataFrame, tests: dict[int, tuple[str, str]]) -> DataFrame:
     """(branch, value, n) of the bad values of several columns, in one scan.
 
     ``tests`` gives, per branch number, the column and the predicate of its bad rows.
@@ -73,26 +73,23 @@ def invalid_values(df: DataFrame, tests: dict[int, tuple[str, Column]]) -> DataF
     for branch, (column, bad) in tests.items():
         kind = kind_of(df, column)
         value = V.as_text(V.groupable(V.named(column), kind), V.key_type(kind))
-        found.append(F.when(bad, F.struct(F.lit(branch).alias("branch"), value.alias("value"))))
+        found.append(f"if({bad}, struct({branch} as branch, {value} as value), null)")
     return (
-        df.select(F.inline(F.array_compact(F.array(*found))))
+        df.selectExpr(f"inline(array_compact(array({', '.join(found)})))")
         .groupBy("branch", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) as n"))
     )
 
 
 def key_texts(keys: DataFrame, branch: int, kind: T.DataType) -> DataFrame:
     """(branch, value, n) with the key as text."""
-    value = V.as_text(F.col("key"), kind)
-    return keys.select(F.lit(branch).alias("branch"), value.alias("value"), "n")
+    return keys.selectExpr(f"{branch} as branch", f"{V.as_text('key', kind)} as value", "n")
 
 
 def totals(counted: DataFrame) -> DataFrame:
     """Per branch: rows, surplus rows and keys."""
     return counted.groupBy("branch").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.col("n") - 1).alias("surplus"),
-        F.count(F.lit(1)).alias("keys"),
+        F.expr("sum(n) as rows"), F.expr("sum(n - 1) as surplus"), F.expr("count(1) as keys")
     )
 
 
@@ -119,15 +116,12 @@ def with_whole_texts(best: DataFrame, sources: list[tuple[DataFrame, dict[int, s
         entries = []
         for branch, column in columns.items():
             c, kind = V.named(column), kind_of(df, column)
-            if isinstance(V.key_type(kind), T.StringType):
-                entry = F.struct(
-                    F.lit(branch).alias("branch"),
-                    V.groupable(c, kind).alias("value"),
-                    V.whole_text(c, kind).alias("whole"),
-                )
-                entries.append(F.when(V.is_long(V.whole_text(c, kind)), entry))
+            if V.is_text(V.key_type(kind)):
+                text = V.whole_text(c, kind)
+                entry = f"struct({branch} as branch, {V.groupable(c, kind)} as value, {text} as whole)"
+                entries.append(f"if({V.is_long(text)}, {entry}, null)")
         if entries:
-            long_texts.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+            long_texts.append(df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))"))
     if not long_texts:
         return best
     digests = best.where(F.col("value").startswith(V.DIGEST_PREFIX)).select("branch", "value")
@@ -139,15 +133,13 @@ def with_whole_texts(best: DataFrame, sources: list[tuple[DataFrame, dict[int, s
 
 def as_array(best: DataFrame) -> DataFrame:
     """(branch, top): the ranked rows of each branch as one short array."""
-    entries = F.array_sort(F.collect_list(F.struct("rank", "value", "n")))
-    plain = F.transform(
-        entries, lambda e: F.struct(e["value"].alias("value"), e["n"].alias("n"))
-    )
-    return best.groupBy("branch").agg(plain.alias("top"))
+    ordered = "array_sort(collect_list(struct(rank, value, n)))"
+    top = f"transform({ordered}, e -> struct(e.value as value, e.n as n)) as top"
+    return best.groupBy("branch").agg(F.expr(top))
 
 
 def rows_with_keys(
-    df: DataFrame, key: Column, keys: DataFrame, key_count: int | None = None
+    df: DataFrame, key: str, keys: DataFrame, key_count: int | None = None
 ) -> DataFrame:
     """All rows of ``df`` whose ``key`` is in ``keys`` (key, n), null matching null.
 
@@ -155,7 +147,7 @@ def rows_with_keys(
     frequent keys, a fixed number, are broadcast and never shuffle their rows; the
     rest is joined by key, where no single key can be large.
     """
-    marked = df.withColumn("__key", key)
+    marked = df.withColumn("__key", F.expr(key))
 
     def having(some: DataFrame) -> DataFrame:
         some = some.select(F.col("key").alias("__wanted"))

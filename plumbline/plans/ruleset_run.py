@@ -16,11 +16,11 @@ from datetime import datetime, timezone
 from time import monotonic
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import values as V
-from plumbline.functions.scalars import payload, utc_text
+from plumbline.functions.scalars import utc_text
 from plumbline.model import (
     MAX_SAMPLES,
     RESULT_COLUMNS,
@@ -90,18 +90,18 @@ def _description(ruleset: RuleSet, check: Check, branch: int | None) -> dict[str
 
 def _scan_rows(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     """One pass over a dataset for all its checks: (at, total, failed, latest) per check."""
-    aggregates = [F.count(F.lit(1)).alias("total")]
+    aggregates = ["count(1) as total"]
     rows = []
     for at, check in checks:
         failed = latest = "cast(null as bigint)"
         if check.bad is not None:
             failed = f"failed_{at}"
-            aggregates.append(F.count_if(check.bad).alias(failed))
+            aggregates.append(f"count_if({check.bad}) as {failed}")
         if check.latest is not None:
             latest = f"latest_{at}"
-            aggregates.append(F.max(check.latest).alias(latest))
+            aggregates.append(f"max({check.latest}) as {latest}")
         rows.append(f"struct({at} as at, total, {failed} as failed, {latest} as latest)")
-    return df.agg(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _branches(planned: list[Planned]) -> dict[tuple, int]:
@@ -119,7 +119,7 @@ def _branch_key(check: Check) -> tuple:
     return (check.dataset, check.grouping, own)
 
 
-def keys_of(grouping: Grouping, df: DataFrame, datasets: Datasets) -> tuple[DataFrame, Column, Any]:
+def keys_of(grouping: Grouping, df: DataFrame, datasets: Datasets) -> tuple[DataFrame, str, Any]:
     """The (key, n) frame of a grouping, the matching key of a row of ``df``, its type."""
     column, kind = V.named(grouping.column), C.kind_of(df, grouping.column)
     if grouping.kind == "repeated":
@@ -134,7 +134,7 @@ def keys_of(grouping: Grouping, df: DataFrame, datasets: Datasets) -> tuple[Data
 def _counted(planned: list[Planned], datasets: Datasets, branches: dict[tuple, int]) -> DataFrame | None:
     """(branch, totals, top values) of every grouping, or None if there is none."""
     parts: list[DataFrame] = []
-    invalid: dict[str, dict[int, tuple[str, Column]]] = {}
+    invalid: dict[str, dict[int, tuple[str, str]]] = {}
     columns: dict[str, dict[int, str]] = {}
     done = set()
     for p in planned:
@@ -241,8 +241,11 @@ def _judged(rows: DataFrame, clock: Clock) -> DataFrame:
         named = ", ".join(fields)
         return f"to_json(struct({named}), map('ignoreNullFields', 'false'))"
 
-    at = utc_text(F.col("latest")), utc_text(F.lit(clock.micros))
-    rows = rows.withColumns({"max_ts_load_utc": at[0], "now_utc": at[1]})
+    rows = rows.selectExpr(
+        "*",
+        f"{utc_text('latest')} as max_ts_load_utc",
+        f"{utc_text(f'{clock.micros}L')} as now_utc",
+    )
     return rows.selectExpr(
         "seq",
         "dataset_id",
@@ -388,21 +391,19 @@ def sample(
             else:
                 rows = violations(check, datasets, counts.get(check.seq))
                 order = _order(datasets[check.dataset], check.dataset, order_by)
-                tag = F.array(_tag(p.ruleset, check))
+                tag = f"array({_tag(p.ruleset, check)})"
                 parts.append(_first_rows(rows, tag, order, max_samples))
         for dataset, checks in local.items():
             df = datasets[dataset]
-            tags = F.array_compact(F.array(*[F.when(c.bad, _tag(p.ruleset, c)) for c in checks]))
+            tags = ", ".join(f"if({c.bad}, {_tag(p.ruleset, c)}, null)" for c in checks)
+            tags = f"array_compact(array({tags}))"
             parts.append(_first_rows(df, tags, _order(df, dataset, order_by), max_samples))
     return C.union_all(parts) if parts else None
 
 
-def _tag(ruleset: RuleSet, check: Check) -> Column:
-    return F.struct(
-        F.lit(check.seq).alias("seq"),
-        F.lit(ruleset.dataset_id).alias("dataset_id"),
-        F.lit(check.rule.rule_id).alias("rule_id"),
-    )
+def _tag(ruleset: RuleSet, check: Check) -> str:
+    dataset_id, rule_id = V.text_literal(ruleset.dataset_id), V.text_literal(check.rule.rule_id)
+    return f"struct({check.seq} as seq, {dataset_id} as dataset_id, {rule_id} as rule_id)"
 
 
 def _order(df: DataFrame, dataset: str, order_by: Mapping[str, list[str]] | None) -> list[str]:
@@ -414,19 +415,20 @@ def _sample_columns(df: DataFrame) -> list[str]:
     return df.columns[:SAMPLE_COLUMNS]
 
 
-def _first_rows(df: DataFrame, tags: Column, order: list[str], max_samples: int) -> DataFrame:
+def _first_rows(df: DataFrame, tags: str, order: list[str], max_samples: int) -> DataFrame:
     shown = _sample_columns(df)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     needed = list(dict.fromkeys([*shown, *order]))
-    tagged = df.select(F.explode(tags).alias("tag"), *[V.named(c) for c in needed])
-    keys = [V.groupable(V.named(c), kinds[c]) for c in order]
-    ranking = Window.partitionBy("tag.seq").orderBy(*keys)
-    ranked = tagged.withColumn("position", F.row_number().over(ranking))
-    return ranked.where(F.col("position") <= max_samples).select(
-        F.col("tag.dataset_id").alias("dataset_id"),
-        F.col("tag.rule_id").alias("rule_id"),
-        "position",
-        payload(*[V.named(c) for c in shown]).alias("payload"),
+    tagged = df.selectExpr(f"explode({tags}) as `__tag`", *[V.named(c) for c in needed])
+    keys = ", ".join(V.groupable(V.named(c), kinds[c]) for c in order)
+    place = f"row_number() over (partition by `__tag`.seq order by {keys})"
+    ranked = tagged.withColumn("__place", F.expr(place)).where(F.col("__place") <= max_samples)
+    fields = ", ".join(V.named(c) for c in shown)
+    return ranked.selectExpr(
+        "`__tag`.dataset_id as dataset_id",
+        "`__tag`.rule_id as rule_id",
+        "`__place` as position",
+        f"to_json(struct({fields}), map('ignoreNullFields', 'false')) as payload",
     )
 
 

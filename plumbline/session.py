@@ -30,21 +30,27 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: obj
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="plumbline-")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and read it from there.
 
     Used where one small derived table (a profile, a result set) feeds several
     consumers, so that the scan behind it runs once and a lost executor costs a
-    file read instead of a new scan.  The folder is ``spark.checkpoint.dir``;
-    only a local session without that setting gets a folder of its own.
+    file read instead of a new scan.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="plumbline-checkpoint-")
-        context.setCheckpointDir(folder)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from plumbline.functions import values as V
@@ -54,31 +53,36 @@ def read_csv(
     """
     raw = spark.read.options(header="true", inferSchema="false", escape='"', **options).csv(path)
     tokens = list(null_tokens)
-    texts = raw.select(
-        *[F.when(~V.named(c).isin(tokens), V.named(c)).alias(c) for c in raw.columns]
+    listed = ", ".join(V.text_literal(t) for t in tokens)
+    texts = raw.selectExpr(
+        *[f"if({V.named(c)} in ({listed}), null, {V.named(c)}) as {V.named(c)}" for c in raw.columns]
     )
     kinds = _infer(texts) if schema is None else {f.name: f.dataType for f in schema.fields}
     wanted = texts.columns if schema is None else schema.fieldNames()
-    return texts.select(*[_typed(c, kinds[c]).alias(c) for c in wanted])
+    return texts.selectExpr(*[f"{_typed(c, kinds[c])} as {V.named(c)}" for c in wanted])
 
 
-def _infer(texts: DataFrame) -> dict[str, T.DataType]:
-    tests = {
-        "bigint": lambda c: c.rlike(INTEGER_PATTERN),
-        "double": lambda c: V.as_number(c, T.StringType()).isNotNull(),
-        "boolean": lambda c: c.isin(list(BOOLEAN_TOKENS)),
+def _type_tests(c: str) -> dict[str, str]:
+    booleans = ", ".join(f"'{t}'" for t in BOOLEAN_TOKENS)
+    return {
+        "bigint": f"{c} rlike r'{INTEGER_PATTERN}'",
+        "double": f"{V.as_number(c, T.StringType())} is not null",
+        "boolean": f"{c} in ({booleans})",
     }
+
+
+def _infer(texts: DataFrame) -> dict[str, T.DataType]:
     aggregates = []
     for i, name in enumerate(texts.columns):
         c = V.named(name)
-        aggregates.append(F.count(c).alias(f"{i}_present"))
-        for kind, test in tests.items():
-            aggregates.append(F.count_if(test(c)).alias(f"{i}_{kind}"))
-    seen = texts.agg(*aggregates).first()
+        aggregates.append(f"count({c}) as `{i}_present`")
+        for kind, test in _type_tests(c).items():
+            aggregates.append(f"count_if({test}) as `{i}_{kind}`")
+    seen = texts.selectExpr(*aggregates).first()
     kinds: dict[str, T.DataType] = {}
     for i, name in enumerate(texts.columns):
         present = seen[f"{i}_present"]
-        fits = [kind for kind in tests if present and seen[f"{i}_{kind}"] == present]
+        fits = [kind for kind in _KINDS if present and seen[f"{i}_{kind}"] == present]
         kinds[name] = _KINDS[fits[0]] if fits else T.StringType()
     return kinds
 
@@ -86,12 +90,12 @@ def _infer(texts: DataFrame) -> dict[str, T.DataType]:
 _KINDS = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
 
 
-def _typed(name: str, kind: T.DataType) -> Column:
-    c = V.named(name)
-    if isinstance(kind, T.StringType):
+def _typed(name: str, kind: T.DataType) -> str:
+    c, wanted = V.named(name), kind.simpleString()
+    if V.is_text(kind):
         return c
     if V.is_fractional(kind):
-        return V.as_number(c, T.StringType()).cast(kind)
+        return f"cast({V.as_number(c, T.StringType())} as {wanted})"
     if V.is_moment(kind):
-        return V.as_timestamp(c, T.StringType()).cast(kind)
-    return F.btrim(c, F.lit(V.WHITESPACE)).try_cast(kind)
+        return f"cast({V.as_timestamp(c, T.StringType())} as {wanted})"
+    return f"try_cast(btrim({c}, {V.SPACE}) as {wanted})"
