@@ -8,6 +8,7 @@ the JVM however deep it is, so wide rule sets and tables are planned quickly.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date, timedelta
 from typing import Any
@@ -126,7 +127,8 @@ def as_timestamp(
         readings = [
             f"if({text} rlike {_pattern(ISO_PATTERN)}, try_cast({text} as timestamp), null)"
             if fmt == "iso"
-            else f"try_to_timestamp({text}, {text_literal(fmt)})"
+            else f"if({text} rlike {_pattern(_shape(fmt))}, "
+            f"try_to_timestamp({text}, {text_literal(fmt)}), null)"
             for fmt in formats
         ]
         return f"coalesce({', '.join(readings)})"
@@ -137,6 +139,20 @@ def as_timestamp(
     return f"cast({c} as timestamp)"
 
 
+def _shape(fmt: str) -> str:
+    """A pattern every text of a date format has, to keep other texts from the parser."""
+    parts = []
+    for run in re.finditer(r"([A-Za-z])\1*|'[^']*'|[^A-Za-z']", fmt):
+        letters = run.group()
+        if letters[0] in "yMdHhms" and not (letters[0] == "M" and len(letters) > 2):
+            parts.append(r"\d{4}" if letters == "yyyy" else r"\d+")
+        elif letters[0].isalpha() or letters[0] == "'":
+            parts.append(".+")
+        else:
+            parts.append(re.escape(letters))
+    return "^" + "".join(parts) + "$"
+
+
 def can_be_moment(kind: T.DataType, unit: str | None = None) -> bool:
     return is_text(kind) or is_moment(kind) or (is_numeric(kind) and unit is not None)
 

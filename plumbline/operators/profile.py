@@ -60,10 +60,8 @@ def _profile_one(dataset_id: str, df: DataFrame, max_top: int) -> DataFrame:
         for i, _ in fields
     )
     tops = "\nunion all ".join(_top_sql(i, f, max_top) for i, f in fields)
-    best = C.with_whole_texts(
-        df.sparkSession.sql(f"with {counts}\n{tops}", df=df), [(df, {i: f.name for i, f in fields})]
-    )
-    listed = C.as_array(best).selectExpr(
+    best = C.as_array(df.sparkSession.sql(f"with {counts}\n{tops}", df=df))
+    listed = C.with_whole_texts(best, [(df, {i: f.name for i, f in fields})]).selectExpr(
         "branch as ordinal",
         "transform(top, e -> struct(e.value as value, e.n as count)) as top_values",
     )

@@ -32,8 +32,8 @@ def _scored(counts: DataFrame) -> DataFrame:
     return counts.selectExpr(
         "run_id",
         "case when failed_critical > 0 then 'fail' when failed > 0 then 'warn' else 'pass' end as status",
-        """bround(coalesce(greatest(0D, 100D - 100D * (failed / nullif(total_rules, 0))), 100D), 2)
-           as score""",
+        """if(total_rules = 0, 100D,
+              bround(greatest(0D, 100D - 100D * try_divide(failed, total_rules)), 2)) as score""",
         "total_rules",
         "failed",
         "failed_critical",
@@ -111,9 +111,9 @@ def digest(results: DataFrame, items: int = DIGEST_ITEMS) -> DataFrame:
 def actions(results: DataFrame, policy: DataFrame | None = None) -> DataFrame:
     """Failed rules with what their severity asks for."""
     if policy is None:
-        policy = severity_policy(results)
+        policy = F.broadcast(severity_policy(results))
     failed = results.where(F.col("status") == "fail")
-    return failed.join(F.broadcast(policy), "severity", "left").select(
+    return failed.join(policy, "severity", "left").select(
         "run_id",
         "dataset_id",
         "rule_id",

@@ -104,12 +104,20 @@ def top_rows(counted: DataFrame, limit: int) -> DataFrame:
     return ranked.where(F.col("rank") <= limit)
 
 
-def with_whole_texts(best: DataFrame, sources: list[tuple[DataFrame, dict[int, str]]]) -> DataFrame:
-    """Replace digests in ``best`` (branch, rank, value, n) by the texts they stand for.
+def as_array(best: DataFrame) -> DataFrame:
+    """(branch, top): the ranked rows of each branch as one short array."""
+    ordered = "array_sort(collect_list(struct(rank, value, n)))"
+    top = f"transform({ordered}, e -> struct(e.value as value, e.n as n)) as top"
+    return best.groupBy("branch").agg(F.expr(top))
+
 
-    ``sources`` lists frames with the column each branch counts.  Only the top rows
-    of ``best`` are broadcast, a fixed number per branch, and where none of them is a
-    digest the broadcast side is empty and the frames are not read again.
+def with_whole_texts(tops: DataFrame, sources: list[tuple[DataFrame, dict[int, str]]]) -> DataFrame:
+    """Replace digests in ``tops`` (branch, top) by the texts they stand for.
+
+    ``sources`` lists frames with the column each branch counts.  Only the digests of
+    the top values are broadcast, a fixed number per branch; where there are none the
+    broadcast side is empty and the frames are not read again.  Both uses of ``tops``
+    share its shuffle, so it is computed once.
     """
     long_texts = []
     for df, columns in sources:
@@ -123,19 +131,19 @@ def with_whole_texts(best: DataFrame, sources: list[tuple[DataFrame, dict[int, s
         if entries:
             long_texts.append(df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))"))
     if not long_texts:
-        return best
-    digests = best.where(F.col("value").startswith(V.DIGEST_PREFIX)).select("branch", "value")
+        return tops
+    digests = tops.selectExpr("branch", "explode(top.value) as value").where(
+        f"startswith(value, '{V.DIGEST_PREFIX}')"
+    )
     wanted = union_all(long_texts).join(F.broadcast(digests), ["branch", "value"])
-    whole = wanted.groupBy("branch", "value").agg(F.any_value("whole").alias("whole"))
-    joined = best.join(whole, ["branch", "value"], "left")
-    return joined.select("branch", "rank", F.coalesce("whole", "value").alias("value"), "n")
-
-
-def as_array(best: DataFrame) -> DataFrame:
-    """(branch, top): the ranked rows of each branch as one short array."""
-    ordered = "array_sort(collect_list(struct(rank, value, n)))"
-    top = f"transform({ordered}, e -> struct(e.value as value, e.n as n)) as top"
-    return best.groupBy("branch").agg(F.expr(top))
+    # Equal digests, equal texts: the set of each has one element.  Unlike any_value, it is
+    # aggregated in a hash map, so the rows of a frequent text are not sorted.
+    single = wanted.groupBy("branch", "value").agg(F.expr("collect_set(whole)[0] as whole"))
+    whole = single.groupBy("branch").agg(
+        F.expr("map_from_entries(collect_list(struct(value, whole))) as whole")
+    )
+    restored = "transform(top, e -> struct(coalesce(try_element_at(whole, e.value), e.value) as value, e.n as n))"
+    return tops.join(whole, "branch", "left").selectExpr("branch", f"{restored} as top")
 
 
 def rows_with_keys(

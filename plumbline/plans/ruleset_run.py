@@ -155,10 +155,11 @@ def _counted(planned: list[Planned], datasets: Datasets, branches: dict[tuple, i
     if not parts:
         return None
     counted = C.union_all(parts)
-    best = C.with_whole_texts(
-        C.top_rows(counted, TOP_KEYS), [(datasets[d], named) for d, named in columns.items()]
+    tops = C.with_whole_texts(
+        C.as_array(C.top_rows(counted, TOP_KEYS)),
+        [(datasets[d], named) for d, named in columns.items()],
     )
-    return C.totals(counted).join(C.as_array(best), "branch", "left")
+    return C.totals(counted).join(tops, "branch", "left")
 
 
 def measure(
@@ -233,7 +234,8 @@ def _judged(rows: DataFrame, clock: Clock) -> DataFrame:
         """case when rule_type = 'completeness'
                 then coalesce(failed / cast(nullif(total, 0) as double) * 100D, 0D) end as null_pct""",
         "bround(age, 4) as age_days",
-        f"map_from_entries(slice(top, 1, {TOP_VALUES})) as top_counts",
+        f"""if(rule_type in ('domain', 'referential_integrity'),
+               map_from_entries(slice(top, 1, {TOP_VALUES})), null) as top_counts""",
         f"'{clock.today.isoformat()}' as today",
     )
 

@@ -79,7 +79,7 @@ def suggest(
 
     keys = settle(key_candidates(profiled, policy))
     judged_keys = judge_proposals(key_rules(keys), columns, document, RULE_TYPES, NO_CAP)
-    accepted_keys = judged_keys.where(F.col("decision") == "accepted")
+    accepted_keys = settle(judged_keys.where(F.col("decision") == "accepted"))
     document = settle(merge_rules(document, accepted_keys, KEY_AUTHOR, "high"))
 
     offered = propose_rules(profiled, RULE_TYPES, limits, max_rules_to_add) if proposals is None else proposals
