@@ -47,7 +47,7 @@ def named(name: str) -> str:
 
 def text_literal(text: str) -> str:
     """A SQL string literal for any text."""
-    plain = (ch if " " <= ch <= "~" and ch not in "'\\" else _escaped(ch) for ch in text)
+    plain = (ch if " " <= ch <= "~" and ch not in "'\\{}" else _escaped(ch) for ch in text)
     return "'" + "".join(plain) + "'"
 
 

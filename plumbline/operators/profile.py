@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 from plumbline.functions import values as V
 from plumbline.model import TOP_VALUES
 from plumbline.operators import value_counts as C
+from plumbline.session import settle
 
-# Columns whose statistics share one scan; wider tables take several.
-COLUMNS_PER_SCAN = 100
+# Columns that are planned together; more are profiled in batches, because a plan has a
+# branch per column.
+COLUMNS_PER_PLAN = 64
 
 # The type names of a profile.
 TYPE_NAMES = {
@@ -43,17 +45,30 @@ def type_name(kind: T.DataType) -> str:
 
 
 def profile(datasets: Mapping[str, DataFrame], max_top: int = TOP_VALUES) -> DataFrame:
-    """The profile table of all given datasets."""
-    return C.union_all([_profile_one(d, df, max_top) for d, df in datasets.items()])
+    """The profile table of all given datasets.
 
-
-def _profile_one(dataset_id: str, df: DataFrame, max_top: int) -> DataFrame:
+    Up to ``COLUMNS_PER_PLAN`` columns it is one lazy plan; beyond that it is computed
+    in batches of columns, and the few rows of each batch are settled.
+    """
+    batches: list[list[DataFrame]] = [[]]
+    room = COLUMNS_PER_PLAN
+    for dataset_id, df in datasets.items():
+        fields = list(enumerate(df.schema.fields))
+        while fields:
+            if room == 0:
+                batches.append([])
+                room = COLUMNS_PER_PLAN
+            taken, fields = fields[:room], fields[room:]
+            batches[-1].append(_profile_one(dataset_id, df, taken, max_top))
+            room -= len(taken)
+    tables = [C.union_all(parts) for parts in batches]
+    return tables[0] if len(tables) == 1 else C.union_all([settle(t) for t in tables])
+
+
+def _profile_one(
+    dataset_id: str, df: DataFrame, fields: list[tuple[int, T.StructField]], max_top: int
+) -> DataFrame:
     """All parts as one SQL statement, so that a wide table is still one analysis."""
-    fields = list(enumerate(df.schema.fields))
-    scans = [
-        _statistics_sql(fields[start : start + COLUMNS_PER_SCAN])
-        for start in range(0, len(fields), COLUMNS_PER_SCAN)
-    ]
     counts = ",\n".join(_counts_sql(i, f) for i, f in fields)
     spreads = "\nunion all ".join(
         f"select {i} as ordinal, count(1) as distinct_count, max(n) as max_dup_count from counts_{i}"
@@ -68,7 +83,7 @@ def _profile_one(dataset_id: str, df: DataFrame, max_top: int) -> DataFrame:
     return df.sparkSession.sql(
         f"""
         with {counts},
-        stats as ({" union all ".join(scans)}),
+        stats as ({_statistics_sql(fields)}),
         spreads as ({spreads})
         select {V.text_literal(dataset_id)} as dataset_id, ordinal, column, dtype, row_count,
           null_count,
@@ -87,12 +102,17 @@ def _profile_one(dataset_id: str, df: DataFrame, max_top: int) -> DataFrame:
     )
 
 
+def _column(field: T.StructField) -> str:
+    """The column for a statement whose braces name frames."""
+    return V.named(field.name).replace("{", "{{").replace("}", "}}")
+
+
 def _statistics_sql(fields: list[tuple[int, T.StructField]]) -> str:
     """(ordinal, column, dtype, row_count, null_count, min, max, mean) from one aggregate."""
     aggregates = ["count(1) as n"]
     rows = []
     for i, field in fields:
-        c, kind = V.named(field.name), field.dataType
+        c, kind = _column(field), field.dataType
         aggregates.append(f"count_if({V.is_blank(c, kind)}) as nulls_{i}")
         measures = ["cast(null as double)"] * 3
         if V.is_numeric(kind) or isinstance(kind, T.BooleanType):
@@ -114,7 +134,7 @@ def _statistics_sql(fields: list[tuple[int, T.StructField]]) -> str:
 
 def _counts_sql(i: int, field: T.StructField) -> str:
     """(key, n) of the present values; white-space text counts as a value here."""
-    key = V.groupable(V.named(field.name), field.dataType)
+    key = V.groupable(_column(field), field.dataType)
     return (
         f"counts_{i} as (select key, count(1) as n from (select {key} as key from {{df}}) "
         "where key is not null group by key)"

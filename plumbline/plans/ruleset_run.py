@@ -38,6 +38,8 @@ from plumbline.operators.checks import Check, Clock, Grouping, compile_rule
 # Aggregates per scan; more rules than this are measured in several scans, to keep
 # generated code compilable.
 CHECKS_PER_SCAN = 100
+# Rules that ``execute`` measures in one job; it runs as many jobs as it takes.
+RULES_PER_JOB = 300
 
 Datasets = Mapping[str, DataFrame]
 
@@ -455,12 +457,12 @@ def execute(
 ) -> Run:
     """Run the rules, sample the bad rows of failed rules, and write both.
 
-    Only one small row per rule reaches the driver.  Should the joint plan fail,
-    each rule is run alone, and a rule that fails again becomes an error row.
+    Only one small row per rule reaches the driver.  Should a joint plan fail,
+    each of its rules is run alone, and a rule that fails again becomes an error row.
     """
     clock = Clock.at(as_of)
     planned = plan(select_rulesets(rulesets, datasets), datasets, clock)
-    measured = _collect(spark, planned, datasets, clock)
+    measured = [row for part in _jobs(planned) for row in _collect(spark, part, datasets, clock)]
     failing = [
         m["seq"]
         for m in measured
@@ -494,6 +496,19 @@ def execute(
     return Run(run_id, table, samples)
 
 
+def _jobs(planned: list[Planned]) -> list[list[Planned]]:
+    """Rule sets that are measured together, so that no plan grows without bound."""
+    parts: list[list[Planned]] = []
+    room = 0
+    for p in planned:
+        if not parts or len(p.checks) > room:
+            parts.append([])
+            room = RULES_PER_JOB
+        parts[-1].append(p)
+        room -= len(p.checks)
+    return parts
+
+
 def _collect(
     spark: SparkSession, planned: list[Planned], datasets: Datasets, clock: Clock
 ) -> list[dict[str, Any]]:

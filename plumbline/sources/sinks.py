@@ -31,6 +31,8 @@ def append_rules(rules: DataFrame, registry_dir: str) -> None:
 
 
 def append_audit(decisions: DataFrame, registry_dir: str) -> None:
+    """Judged proposals, accepted and rejected, with the time they were judged."""
+    decisions = decisions.withColumn("judged_at", F.current_timestamp())
     decisions.write.mode("append").parquet(f"{registry_dir}/proposal_audit")
 
 
@@ -50,3 +52,7 @@ def read_samples(spark: SparkSession, results_dir: str) -> DataFrame:
 
 def read_rules(spark: SparkSession, registry_dir: str) -> DataFrame:
     return spark.read.schema(RULES_SCHEMA).parquet(f"{registry_dir}/rules")
+
+
+def read_audit(spark: SparkSession, registry_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{registry_dir}/proposal_audit")

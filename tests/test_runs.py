@@ -123,6 +123,14 @@ def test_many_rules_take_several_scans(spark, datasets, monkeypatch):
     assert [r["failed"] for r in rows] == list(range(8))
 
 
+def test_many_rule_sets_take_several_jobs(spark, datasets, rulesets, monkeypatch):
+    monkeypatch.setattr(R, "RULES_PER_JOB", 4)
+    jobs = R._jobs(R.plan(R.select_rulesets(rulesets, datasets), datasets, Clock.at(AS_OF)))
+    assert [[len(p.checks) for p in job] for job in jobs] == [[7], [1]]
+    rows = R.execute(spark, "r", rulesets, datasets, None, AS_OF).results.orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == list(range(8))
+
+
 def _results(spark, rows):
     layout = ("run_id string, dataset_id string, rule_id string, rule_type string, severity string, status string,"
               "observed_value string, sample_ref string, seq int")

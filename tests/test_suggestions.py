@@ -59,6 +59,20 @@ def test_profile_types(spark):
     assert [(v["value"], v["count"]) for v in found["o"]["top_values"]] == [('{"a":1}', 2)]
 
 
+def test_profile_in_batches_of_columns(spark, monkeypatch):
+    from plumbline.operators import profile as module
+
+    wide = spark.createDataFrame([(i, "x", i % 2, None) for i in range(6)], "a int, b string, c int, d string")
+    other = spark.createDataFrame([(1, 2)], "`e{f}` int, `it's ``g``.h` int")
+    whole = profile({"wide": wide, "other": other})
+    monkeypatch.setattr(module, "COLUMNS_PER_PLAN", 3)
+    batched = profile({"wide": wide, "other": other})
+    order = ["dataset_id", "ordinal"]
+    rows = whole.orderBy(*order).collect()
+    assert rows == batched.orderBy(*order).collect()
+    assert [r["column"] for r in rows] == ["e{f}", "it's `g`.h", "a", "b", "c", "d"]
+
+
 def test_profile_of_no_rows(spark):
     found = columns_of(spark.createDataFrame([], "i int, s string"))
     assert [(r["row_count"], r["null_pct"], r["top_values"], r["max"]) for r in found.values()] == [(0, 0.0, [], None)] * 2

@@ -617,6 +617,12 @@ def _profiles() -> dict[str, str]:
         "(select rule_id from existing e where e.dataset_id = dataset_id)",
         "(select e.rule_id from existing e where e.dataset_id = groups.dataset_id)",
     ).replace("from (select distinct dataset_id, prefix from added),", "from (select distinct dataset_id, prefix from added) groups,")
+    sql["sink_suggestions"] = f"""with {ctes}, {judged.format(cap=12)}, {existing},
+      decided as (select dataset_id, count(*) filter (where reason is null) as accepted,
+        count(*) filter (where reason is not null) as rejected from judged group by dataset_id),
+      held_rules as (select dataset_id, count(*) as active from existing group by dataset_id)
+      select dataset_id, active, active + accepted as suggested, 5 as latest_version, accepted, rejected
+      from held_rules join decided using (dataset_id)"""
     sql["registry_current"] = f"""with {ctes}, {judged.format(cap=1)}, {existing}
       select dataset_id, 4 as ruleset_version, 'active' as status, rule_id, rule_type from existing"""
     sql["validate_rules"] = f"""with {ctes}, {judged.format(cap=1)}

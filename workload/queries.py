@@ -689,6 +689,24 @@ def suggest_rulesets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sink_suggestions(spark: SparkSession, folder: str) -> DataFrame:
+    """Judged proposals and merged rules written to the registry, and counted from there."""
+    base = _new_folder(spark)
+    judged, existing = _judged(spark, folder, 12)
+    sinks.append_audit(judged, base)
+    kept = sinks.read_audit(spark, base)
+    accepted = kept.where(F.col("decision") == "accepted").drop("judged_at")
+    sinks.append_rules(existing, base)
+    sinks.append_rules(M.stamp_version(M.merge_rules(existing, accepted, M.PATCH_AUTHOR), existing), base)
+    written = sinks.read_rules(spark, base)
+    rules = written.groupBy("dataset_id").agg(
+        F.count_if(F.col("status") == "active").alias("active"),
+        F.count_if(F.col("status") == "suggested").alias("suggested"),
+        F.max("ruleset_version").alias("latest_version"),
+    )
+    return rules.join(G.decision_counts(kept), "dataset_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -718,6 +736,7 @@ QUERIES: dict[str, Query] = {
         source_csv,
         sink_results,
         sink_summary,
+        sink_suggestions,
         profile_table,
         profile_top_values,
         profile_lineitem,
