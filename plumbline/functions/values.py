@@ -94,10 +94,12 @@ def present(c: str, kind: T.DataType) -> str:
 def is_blank(c: str, kind: T.DataType) -> str:
     """Null, NaN, or text of white space only.
 
-    Trimming on the left stops at the first other character, so long texts cost nothing.
+    Most texts begin with a visible ASCII character, which two comparisons tell; only
+    the others are trimmed, and trimming on the left stops at the first other character.
     """
     if is_text(kind):
-        return f"({c} is null or trim(leading {SPACE} from {c}) = '')"
+        visible = f"{c} >= '!' and {c} < '\\u0080'"
+        return f"({c} is null or (not ({visible}) and trim(leading {SPACE} from {c}) = ''))"
     if is_fractional(kind):
         return f"({c} is null or isnan({c}))"
     return f"({c} is null)"
@@ -174,14 +176,17 @@ def after_day(
     return f"coalesce({moment} >= timestamp_ltz'{midnight}', true)"
 
 
-def as_micros(
+def latest_micros(
     c: str, kind: T.DataType, formats: Iterable[str] = DATE_FORMATS, unit: str | None = None
 ) -> str:
-    """Microseconds since the epoch, zone-less values read as UTC."""
+    """Aggregate: the latest moment as microseconds since the epoch, zone-less values read as UTC.
+
+    The maximum is taken on the native value; only the result is converted.
+    """
     if isinstance(kind, (T.TimestampNTZType, T.DateType)):
-        here = f"convert_timezone('UTC', current_timezone(), cast({c} as timestamp_ntz))"
-        return f"unix_micros(cast({here} as timestamp))"
-    return f"unix_micros({as_timestamp(c, kind, formats, unit)})"
+        utc = f"convert_timezone('UTC', current_timezone(), cast(max({c}) as timestamp_ntz))"
+        return f"unix_micros(cast({utc} as timestamp))"
+    return f"unix_micros(max({as_timestamp(c, kind, formats, unit)}))"
 
 
 def as_text(c: str, kind: T.DataType) -> str:

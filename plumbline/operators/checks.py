@@ -58,7 +58,7 @@ class Check:
     """One rule, ready to plan.
 
     ``verdict`` is set when no data is needed; else ``bad`` marks bad rows,
-    ``latest`` gives the moment whose maximum counts (both SQL expressions), and
+    ``latest`` is the aggregate that gives the latest moment (both SQL text), and
     ``grouping`` asks for value counts.  ``allowance`` is the number the measure may not exceed.
     """
 
@@ -252,7 +252,7 @@ def _freshness(source: _Source, expectation: Mapping, clock: Clock) -> dict:
         raise BadRule("bad_parameter", parameter="ts_column", column_type=kind.simpleString())
     return {
         "threshold": threshold,
-        "latest": V.as_micros(column, kind, _formats(expectation), unit),
+        "latest": V.latest_micros(column, kind, _formats(expectation), unit),
         "allowance": float(max_age),
         "if_empty": {"error": "ts_column_not_parseable_or_all_null", "ts_column": name},
     }

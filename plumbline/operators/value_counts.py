@@ -152,19 +152,18 @@ def rows_with_keys(
     """All rows of ``df`` whose ``key`` is in ``keys`` (key, n), null matching null.
 
     A key set measured to be small is broadcast.  Otherwise the ``HOT_KEYS`` most
-    frequent keys, a fixed number, are broadcast and never shuffle their rows; the
-    rest is joined by key, where no single key can be large.
+    frequent keys, a fixed number, are broadcast: their rows are found, and taken out of
+    the rest, without a shuffle.  What is left is joined by key, where no key is large.
     """
     marked = df.withColumn("__key", F.expr(key))
 
-    def having(some: DataFrame) -> DataFrame:
+    def joined(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
         some = some.select(F.col("key").alias("__wanted"))
-        match = F.col("__key").eqNullSafe(F.col("__wanted"))
-        return marked.join(some, match, "left_semi").drop("__key")
+        return rows.join(some, F.col("__key").eqNullSafe(F.col("__wanted")), how)
 
     if key_count is not None and key_count <= BROADCAST_KEYS:
-        return having(F.broadcast(keys))
-    hot = keys.orderBy(F.desc("n"), F.asc("key")).limit(HOT_KEYS)
-    hot_key = hot.select(F.col("key").alias("__hot"))
-    rest = keys.join(F.broadcast(hot_key), F.col("key").eqNullSafe(F.col("__hot")), "left_anti")
-    return having(F.broadcast(hot)).unionByName(having(rest))
+        return joined(marked, F.broadcast(keys), "left_semi").drop("__key")
+    hot = F.broadcast(keys.orderBy(F.desc("n"), F.asc("key")).limit(HOT_KEYS))
+    frequent = joined(marked, hot, "left_semi")
+    others = joined(joined(marked, hot, "left_anti"), keys, "left_semi")
+    return frequent.unionByName(others).drop("__key")

@@ -101,7 +101,7 @@ def _scan_rows(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
             aggregates.append(f"count_if({check.bad}) as {failed}")
         if check.latest is not None:
             latest = f"latest_{at}"
-            aggregates.append(f"max({check.latest}) as {latest}")
+            aggregates.append(f"{check.latest} as {latest}")
         rows.append(f"struct({at} as at, total, {failed} as failed, {latest} as latest)")
     return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
@@ -395,12 +395,12 @@ def sample(
             else:
                 rows = violations(check, datasets, counts.get(check.seq))
                 order = _order(datasets[check.dataset], check.dataset, order_by)
-                tag = f"array({_tag(p.ruleset, check)})"
+                tag = _tag(p.ruleset, check)
                 parts.append(_first_rows(rows, tag, order, max_samples))
         for dataset, checks in local.items():
             df = datasets[dataset]
             tags = ", ".join(f"if({c.bad}, {_tag(p.ruleset, c)}, null)" for c in checks)
-            tags = f"array_compact(array({tags}))"
+            tags = f"explode(array_compact(array({tags})))"
             parts.append(_first_rows(df, tags, _order(df, dataset, order_by), max_samples))
     return C.union_all(parts) if parts else None
 
@@ -420,10 +420,11 @@ def _sample_columns(df: DataFrame) -> list[str]:
 
 
 def _first_rows(df: DataFrame, tags: str, order: list[str], max_samples: int) -> DataFrame:
+    """The first rows per tag.  With one constant tag Spark plans it as ordered top rows."""
     shown = _sample_columns(df)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     needed = list(dict.fromkeys([*shown, *order]))
-    tagged = df.selectExpr(f"explode({tags}) as `__tag`", *[V.named(c) for c in needed])
+    tagged = df.selectExpr(f"{tags} as `__tag`", *[V.named(c) for c in needed])
     keys = ", ".join(V.groupable(V.named(c), kinds[c]) for c in order)
     place = f"row_number() over (partition by `__tag`.seq order by {keys})"
     ranked = tagged.withColumn("__place", F.expr(place)).where(F.col("__place") <= max_samples)

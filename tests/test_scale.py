@@ -34,6 +34,15 @@ def test_rows_of_repeated_keys(spark, skewed, hot_keys, count, monkeypatch):
     assert rows.columns == ["k", "v"]
 
 
+def test_rows_of_hot_keys_are_not_shuffled(spark, skewed):
+    key = V.groupable("k", skewed.schema["k"].dataType)
+    plan = text(C.rows_with_keys(skewed, key, C.repeated_keys(skewed, "k")))
+    physical = plan[plan.index("== Physical Plan =="):]
+    shuffled = physical[physical.index("SortMergeJoin"):]
+    left = shuffled[shuffled.index("Exchange hashpartitioning(coalesce(__key"):]
+    assert left.index("LeftAnti") < left.index("Scan")  # hot rows leave before the exchange
+
+
 def test_orphans_of_a_hot_key_are_joined_once_per_key(spark, skewed):
     parent = spark.createDataFrame([(f"k{i}",) for i in range(700)] * 3, "k string")
     found = {r["key"]: r["n"] for r in C.orphan_keys(skewed, "k", parent, "k").collect()}
