@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import mixing, packing, secret_scan
+from plumbline.llm import mixing, packing, secret_scan, warc
 from plumbline.llm.tables import table
 
 
@@ -19,12 +19,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_warc": op4_warc,
     "op6_packing": op6_packing,
     "op10_mixing": op10_mixing,
 }
