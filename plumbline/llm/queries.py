@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import mixing, packing, secret_scan, warc
+from plumbline.llm import html_text, mixing, packing, secret_scan, warc
 from plumbline.llm.tables import table
 
 
@@ -19,6 +19,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -29,6 +33,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_html_text": op2_html_text,
     "op4_warc": op4_warc,
     "op6_packing": op6_packing,
     "op10_mixing": op10_mixing,
