@@ -94,6 +94,13 @@ LABELLED = (
     (6, 0.0, 70, 0.0, 55, 0.0, 0, 0, 0, 1),
     (9, 0.0, 60, 0.0, 64, 0.0, 0, 0, 0, 1),
     (3, 0.0, 41, 0.0, 38, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 40, 0.0, 50, 0.0, 0, 0, 0, 1),
+    (1, 0.0, 60, 0.0, 30, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 24, 0.0, 37, 0.0, 0, 0, 0, 1),
+    (14, 0.0, 22, 0.0, 2, 0.0, 0, 0, 0, 1),
+    (35, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 1, 1.0, 40, 0.0, 0, 0, 1, 1),
+    (1, 0.0, 2, 1.0, 31, 0.0, 0, 0, 1, 1),
     (6, 0.0, 1, 1.0, 70, 0.0, 0, 0, 1, 1),
     (8, 0.0, 3, 0.5, 45, 0.0, 0, 0, 1, 1),
     (5, 0.0, 40, 0.0, 66, 0.0, 0, 0, 1, 1),
@@ -103,6 +110,10 @@ LABELLED = (
     (12, 0.9, 33, 0.0, 14, 0.8, 0, 0, 0, 0),
     (40, 0.8, 14, 0.8, 8, 0.0, 0, 0, 0, 0),
     (30, 0.6, 2, 1.0, 20, 0.7, 0, 0, 0, 0),
+    (2, 0.0, 50, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (2, 0.0, 35, 0.0, 1, 1.0, 0, 0, 0, 0),
+    (7, 0.0, 46, 0.0, 2, 1.0, 0, 0, 0, 0),
+    (5, 0.0, 29, 0.0, 0, 0.0, 0, 0, 0, 0),
     (6, 0.0, 3, 1.0, 2, 0.0, 0, 0, 0, 0),
     (4, 0.0, 33, 0.0, 0, 0.0, 0, 0, 0, 0),
     (8, 0.2, 4, 0.0, 0, 0.0, 0, 0, 0, 0),
