@@ -61,6 +61,16 @@ LABELLED = (
     (12, 0.4, 120, 0.1, 30, 0.0, 0, 1, 0, 1),
     (4, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
     (2, 0.0, 5, 1.0, 7, 0.0, 0, 1, 0, 1),
+    (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 0, 1),
+    (2, 0.0, 1, 0.0, 2, 1.0, 0, 1, 0, 1),
+    (1, 0.0, 2, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (1, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 1, 1.0, 1, 0.0, 0, 1, 1, 1),
+    (1, 0.0, 30, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (2, 0.0, 60, 0.0, 2, 1.0, 0, 1, 0, 1),
+    (4, 0.0, 3, 0.0, 4, 0.0, 0, 1, 0, 1),
+    (7, 0.0, 2, 1.0, 1, 0.0, 0, 1, 1, 1),
+    (5, 0.0, 7, 0.0, 5, 0.0, 0, 1, 0, 1),
     (30, 0.0, 12, 0.4, 6, 0.0, 0, 1, 0, 1),
     (15, 0.2, 30, 0.0, 40, 0.0, 0, 1, 0, 1),
     (200, 0.0, 15, 0.2, 6, 1.0, 0, 1, 0, 1),
