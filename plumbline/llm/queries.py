@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html_text, mixing, packing, secret_scan, warc
+from plumbline.llm import html_text, mixing, ngram_join, packing, secret_scan, warc
 from plumbline.llm.tables import table
 
 
@@ -23,6 +23,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -34,6 +38,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_text": op2_html_text,
+    "op3_ngram_join": op3_ngram_join,
     "op4_warc": op4_warc,
     "op6_packing": op6_packing,
     "op10_mixing": op10_mixing,
