@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html_text, mixing, ngram_join, packing, secret_scan, warc
+from plumbline.llm import html_text, mixing, near_vectors, ngram_join, packing, secret_scan, warc
 from plumbline.llm.tables import table
 
 
@@ -12,6 +12,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     sized = docs.select("doc_id", "source", "text")
@@ -41,5 +45,6 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_warc": op4_warc,
     "op6_packing": op6_packing,
+    "op7_near_vectors": op7_near_vectors,
     "op10_mixing": op10_mixing,
 }
