@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html_text, mixing, near_vectors, ngram_join, packing, secret_scan, warc
+from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, secret_scan, toxicity, warc
 from plumbline.llm.tables import table
 
 
@@ -16,6 +16,10 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id % 100 = 0", 10)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     sized = docs.select("doc_id", "source", "text")
@@ -35,6 +39,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -44,7 +52,9 @@ QUERIES = {
     "op2_html_text": op2_html_text,
     "op3_ngram_join": op3_ngram_join,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_near_vectors": op7_near_vectors,
+    "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
 }
