@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, secret_scan, toxicity, warc
+from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, secret_scan, site_quality, toxicity, warc
 from plumbline.llm.tables import table
 
 
@@ -16,6 +16,11 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
 
 
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return site_quality.scored(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id % 100 = 0", 10)
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_near_vectors": op7_near_vectors,
+    "op8_site_quality": op8_site_quality,
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
 }
