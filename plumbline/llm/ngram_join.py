@@ -175,7 +175,7 @@ def _levels(counts: np.ndarray) -> np.ndarray:
 
 
 def _count_of(level: np.ndarray) -> np.ndarray:
-    return np.where(level < 96, level, 96 * 2 ** ((level.astype(float) - 96) / 16))
+    return np.where(level < 96, level, 96 * 2 ** ((level.astype(np.float64) - 96) / 16))
 
 
 def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
@@ -193,7 +193,7 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
         for _, s in _distinct(batches):
             held.append(_slot(s, width))
             size += len(s)
-            if size > 4_000_000:
+            if size > 2_000_000:
                 yield packed(held)
                 held, size = [], 0
         if held:
@@ -240,11 +240,11 @@ def boundary(levels: np.ndarray) -> int:
     They meet at p = 1 + 2L.  L comes from the frequency table, less what
     different shingles in one slot add to it.
     """
-    counts = _count_of(levels)
-    total = counts.sum()
+    slots, counts = np.bincount(levels, minlength=256), _count_of(np.arange(256))
+    total = float((slots * counts).sum())
     if not total:
         return 3
-    mean = float((counts**2).sum() / total) - 1 - float(total / len(counts))
+    mean = float((slots * counts**2).sum()) / total - 1 - total / len(levels)
     return int(max(3, min(8 * max(mean, 0.5), 64)))
 
 
@@ -324,7 +324,7 @@ def meetings(docs: DataFrame, levels: np.ndarray, bound: int) -> DataFrame:
     """What the lists say: pairs of a hub and a member (``list`` null), and the members of longer lists."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(levels)
-    parts = max(8, shuffle_width(spark) // 2)
+    parts = shuffle_width(spark)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, packer = shared.value, _Packer(parts)
@@ -334,7 +334,7 @@ def meetings(docs: DataFrame, levels: np.ndarray, bound: int) -> DataFrame:
             for posting in _postings(fp, s, table, bound):
                 packer.add(fp, len(s), *posting)
             packer.docs.append((fp, len(s)))
-            if packer.size > 2_000_000:
+            if packer.size > 1_000_000:
                 yield packer.flush()
                 packer = _Packer(parts)
         if packer.size:
