@@ -26,6 +26,7 @@ def safe_ratio(part: Column, whole: Column, scale: float = 1.0, empty: float = 0
 
 def utc_text(micros: str) -> str:
     """SQL: epoch microseconds as ``yyyy-MM-dd HH:mm:ss[.ffffff]+00:00``."""
-    moment = f"convert_timezone(current_timezone(), 'UTC', cast(timestamp_micros({micros}) as timestamp_ntz))"
+    seconds = f"cast(({micros}) div 1000000L - if(pmod({micros}, 1000000L) > 0 and ({micros}) < 0, 1, 0) as decimal(18,6))"
+    moment = f"(timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
     fraction = f"if(pmod({micros}, 1000000L) > 0, format_string('.%06d', pmod({micros}, 1000000L)), '')"
     return f"concat(date_format({moment}, 'yyyy-MM-dd HH:mm:ss'), {fraction}, '+00:00')"

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from datetime import date, timedelta
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal, InvalidOperation
 from typing import Any
 
 from pyspark.sql import types as T
@@ -27,16 +28,18 @@ WHITESPACE = (
 # What counts as a number in text, and the date formats tried in order.
 NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 ISO_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}([T ].*)?$"
+ZONED_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}[T ].*[A-Za-z+-]"
 DATE_FORMATS = ("iso", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
 
 EPOCH_UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
-# Texts longer than this are grouped, joined and shuffled by their SHA-256 digest, so a key
-# never takes more than 71 bytes.  A digest key is itself longer than the limit, so no short
-# text can be mistaken for one.
-LONG_TEXT_BYTES = 64
+# Texts are grouped, joined, shuffled and ordered by their first characters and, where they
+# have more, the SHA-256 digest of the whole.  So texts of any length have one order (by
+# these characters, then by digest), and no key takes more than 271 characters.  A key with a
+# digest is longer than the limit, so no short text can be mistaken for one.
+KEY_CHARACTERS = 200
 DIGEST_PREFIX = "sha256:"
 
 
@@ -59,6 +62,36 @@ def number_literal(value: float) -> str:
     return f"double({text_literal(repr(float(value)))})"
 
 
+def exact_literal(value: Decimal) -> str | None:
+    """A decimal literal, null if it takes more digits than a decimal column can hold."""
+    text = format(value, "f")
+    return f"{text}BD" if len(text.strip("-").replace(".", "")) <= 38 else None
+
+
+def beyond(c: str, kind: T.DataType, bound: Decimal | float, above: bool) -> str | None:
+    """A value over the bound (``above``) or under it; null where no value can be.
+
+    Whole and decimal columns are compared as they are, so large values stay exact and
+    the comparison reaches the file scan; text and fractions are compared as doubles.
+    """
+    sign = ">" if above else "<"
+    if not (is_integral(kind) or isinstance(kind, T.DecimalType)):
+        return f"{as_number(c, kind)} {sign} {number_literal(float(bound))}"
+    exact = Decimal(str(bound))
+    if not exact.is_finite():
+        return None if exact.is_nan() or above == (exact > 0) else f"{c} is not null"
+    if is_integral(kind):
+        exact = exact.to_integral_value(ROUND_FLOOR if above else ROUND_CEILING)
+        if abs(exact) > MAX_BIGINT:
+            return None if above == (exact > 0) else f"{c} is not null"
+        return f"{c} {sign} bigint('{int(exact)}')"
+    literal = exact_literal(exact)
+    return f"{c} {sign} {literal}" if literal else f"{as_number(c, kind)} {sign} {number_literal(float(exact))}"
+
+
+MAX_BIGINT = 2**63 - 1
+
+
 def _pattern(pattern: str) -> str:
     return f"r'{pattern}'"
 
@@ -126,21 +159,41 @@ def as_timestamp(
     """Timestamp, null where the value does not parse in any of the formats."""
     if is_text(kind):
         text = f"btrim({c}, {SPACE})"
-        readings = [
-            f"if({text} rlike {_pattern(ISO_PATTERN)}, try_cast({text} as timestamp), null)"
-            if fmt == "iso"
-            else f"if({text} rlike {_pattern(_shape(fmt))}, "
-            f"try_to_timestamp({text}, {text_literal(fmt)}), null)"
-            for fmt in formats
-        ]
+        readings = [_iso(text) if fmt == "iso" else _formatted(text, fmt) for fmt in formats]
         return f"coalesce({', '.join(readings)})"
     if is_numeric(kind) and unit:
         value = present(c, kind)
         micros = f"{value} / 1000" if unit == "ns" else f"try_multiply({value}, {EPOCH_UNITS[unit]}L)"
         return f"timestamp_micros(try_cast({micros} as bigint))"
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        return in_utc(c)
     return f"cast({c} as timestamp)"
 
 
+def in_utc(c: str) -> str:
+    """A date or a timestamp without zone as the moment it is in UTC, whatever the session's zone."""
+    return f"try_cast(concat(cast(cast({c} as timestamp_ntz) as string), 'Z') as timestamp)"
+
+
+def utc_clock(c: str) -> str:
+    """What a clock in UTC shows at a moment, as a timestamp without zone."""
+    seconds = f"cast(cast(unix_micros({c}) as decimal(24,0)) / 1000000BD as decimal(18,6))"
+    return f"(timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
+
+
+def _iso(text: str) -> str:
+    zoned = f"try_cast({text} as timestamp)"
+    plain = in_utc(f"try_cast({text} as timestamp_ntz)")
+    return f"if({text} rlike {_pattern(ISO_PATTERN)}, if({text} rlike {_pattern(ZONED_PATTERN)}, {zoned}, {plain}), null)"
+
+
+def _formatted(text: str, fmt: str) -> str:
+    read = f"try_to_timestamp({text}, {text_literal(fmt)})"
+    if not re.search("[VzOXxZ]", re.sub("'[^']*'", "", fmt)):
+        read = f"try_to_timestamp(concat({text}, ' Z'), {text_literal(fmt + ' X')})"
+    return f"if({text} rlike {_pattern(_shape(fmt))}, {read}, null)"
+
+
 def _shape(fmt: str) -> str:
     """A pattern every text of a date format has, to keep other texts from the parser."""
     parts = []
@@ -173,7 +226,7 @@ def after_day(
     if isinstance(kind, T.TimestampNTZType):
         return f"({c} is null or {c} >= timestamp_ntz'{midnight}')"
     moment = as_timestamp(c, kind, formats, unit)
-    return f"coalesce({moment} >= timestamp_ltz'{midnight}', true)"
+    return f"coalesce({moment} >= timestamp_ltz'{midnight}Z', true)"
 
 
 def latest_micros(
@@ -184,8 +237,7 @@ def latest_micros(
     The maximum is taken on the native value; only the result is converted.
     """
     if isinstance(kind, (T.TimestampNTZType, T.DateType)):
-        utc = f"convert_timezone('UTC', current_timezone(), cast(max({c}) as timestamp_ntz))"
-        return f"unix_micros(cast({utc} as timestamp))"
+        return f"unix_micros({in_utc(f'max({c})')})"
     return f"unix_micros(max({as_timestamp(c, kind, formats, unit)}))"
 
 
@@ -203,6 +255,8 @@ def as_text(c: str, kind: T.DataType) -> str:
         return f"if({wide}, {plain}, cast({c} as string))"
     if isinstance(kind, NESTED):
         return f"to_json({c})"
+    if isinstance(kind, T.TimestampType):
+        return f"cast({utc_clock(c)} as string)"
     return f"cast({c} as string)"
 
 
@@ -214,15 +268,19 @@ def whole_text(c: str, kind: T.DataType) -> str:
 
 
 def is_long(text: str) -> str:
-    return f"octet_length({text}) > {LONG_TEXT_BYTES}"
+    return f"char_length({text}) > {KEY_CHARACTERS}"
 
 
 def groupable(c: str, kind: T.DataType) -> str:
     """A short form of the value that is equal exactly where the value is equal."""
+    if isinstance(kind, T.BinaryType):
+        short = f"concat(substring({c}, 1, {KEY_CHARACTERS}), unhex(sha2({c}, 256)))"
+        return f"if(octet_length({c}) > {KEY_CHARACTERS}, {short}, {c})"
     if not is_text(key_type(kind)):
         return present(c, kind)
     text = whole_text(c, kind)
-    return f"if({is_long(text)}, concat('{DIGEST_PREFIX}', sha2({text}, 256)), {text})"
+    short = f"concat(left({text}, {KEY_CHARACTERS}), '{DIGEST_PREFIX}', sha2({text}, 256))"
+    return f"if({is_long(text)}, {short}, {text})"
 
 
 def key_type(kind: T.DataType) -> T.DataType:
@@ -233,7 +291,10 @@ def outside(c: str, kind: T.DataType, allowed: Iterable[Any]) -> str:
     """A value that is not blank and not in the allow-list."""
     texts = [value_text(v) for v in allowed]
     if is_integral(kind):
-        value, listed = c, [t for t in texts if _is_plain_int(t)]
+        value, listed = c, [f"bigint('{t}')" for t in texts if _is_plain_int(t)]
+    elif isinstance(kind, T.DecimalType):
+        exact = [d for d in map(_decimal_or_none, texts) if d is not None]
+        value, listed = c, [t for t in map(exact_literal, exact) if t]
     elif is_numeric(kind):
         numbers = [f for f in map(_float_or_none, texts) if f is not None]
         value, listed = f"cast({c} as double)", [number_literal(f) for f in numbers]
@@ -246,7 +307,15 @@ def outside(c: str, kind: T.DataType, allowed: Iterable[Any]) -> str:
 
 def _is_plain_int(text: str) -> bool:
     digits = text[1:] if text[:1] == "-" else text
-    return digits.isascii() and digits.isdigit() and len(digits) < 19 and str(int(text)) == text
+    return digits.isascii() and digits.isdigit() and len(digits) < 20 and str(int(text)) == text and abs(int(text)) <= MAX_BIGINT
+
+
+def _decimal_or_none(text: str) -> Decimal | None:
+    try:
+        value = Decimal(text)
+    except InvalidOperation:
+        return None
+    return value if value.is_finite() else None
 
 
 def _float_or_none(text: str) -> float | None:
@@ -264,10 +333,27 @@ def same_footing(
         return groupable(left, left_kind), key_type(left_kind), groupable(right, right_kind)
     if is_integral(left_kind) and is_integral(right_kind):
         return f"cast({left} as bigint)", T.LongType(), f"cast({right} as bigint)"
+    exact = _common_decimal(left_kind, right_kind)
+    if exact is not None:
+        name = exact.simpleString()
+        return f"cast({left} as {name})", exact, f"cast({right} as {name})"
     if is_numeric(left_kind) and is_numeric(right_kind):
         return as_number(left, left_kind), T.DoubleType(), as_number(right, right_kind)
     if is_moment(left_kind) and is_moment(right_kind):
-        return f"cast({left} as timestamp)", T.TimestampType(), f"cast({right} as timestamp)"
+        return as_timestamp(left, left_kind), T.TimestampType(), as_timestamp(right, right_kind)
     text = T.StringType()
     left_text, right_text = as_text(left, left_kind), as_text(right, right_kind)
     return groupable(left_text, text), text, groupable(right_text, text)
+
+
+def _common_decimal(left: T.DataType, right: T.DataType) -> T.DecimalType | None:
+    """A decimal that holds every value of two whole or decimal types, if 38 digits are enough."""
+    digits = scale = 0
+    for kind in (left, right):
+        if is_integral(kind):
+            digits = max(digits, 19)
+        elif isinstance(kind, T.DecimalType):
+            digits, scale = max(digits, kind.precision - kind.scale), max(scale, kind.scale)
+        else:
+            return None
+    return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else None

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from decimal import Decimal, InvalidOperation
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -136,6 +137,16 @@ def _number(expectation: Mapping, name: str, default: Any, convert: type) -> Any
         raise BadRule("bad_parameter", parameter=name) from None
 
 
+def _exact(value: Any) -> Decimal:
+    """A number as it is written: whole numbers and decimals keep all their digits."""
+    if isinstance(value, bool):
+        return Decimal(int(value))
+    try:
+        return Decimal(str(value).strip())
+    except InvalidOperation:
+        raise ValueError(value) from None
+
+
 def _formats(expectation: Mapping) -> tuple[str, ...]:
     formats = expectation.get("formats")
     if formats is None:
@@ -184,12 +195,12 @@ def _range(source: _Source, expectation: Mapping, clock: Clock) -> dict:
     if not V.can_be_number(kind):
         raise BadRule("bad_parameter", parameter="column", column_type=kind.simpleString())
     low, high = expectation.get("min"), expectation.get("max")
-    number = V.as_number(column, kind)
-    tests = [f"{number} is null"]
-    if low is not None:
-        tests.append(f"{number} < {V.number_literal(_number(expectation, 'min', None, float))}")
-    if high is not None:
-        tests.append(f"{number} > {V.number_literal(_number(expectation, 'max', None, float))}")
+    native = V.is_integral(kind) or isinstance(kind, T.DecimalType)
+    tests = [f"{column if native else V.as_number(column, kind)} is null"]
+    for name, bound in (("min", low), ("max", high)):
+        if bound is not None:
+            tests.append(V.beyond(column, kind, _number(expectation, name, None, _exact), name == "max"))
+    tests = [t for t in tests if t is not None]
     return {"threshold": {"min": low, "max": high}, "bad": f"({' or '.join(tests)})"}
 
 

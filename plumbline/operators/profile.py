@@ -10,6 +10,7 @@ native type, and Spark reuses the counted shuffle for both consumers.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -17,11 +18,7 @@ from pyspark.sql import types as T
 from plumbline.functions import values as V
 from plumbline.model import TOP_VALUES
 from plumbline.operators import value_counts as C
-from plumbline.session import settle
-
-# Columns that are planned together; more are profiled in batches, because a plan has a
-# branch per column.
-COLUMNS_PER_PLAN = 64
+from plumbline.session import settle, shared_folder
 
 # The type names of a profile.
 TYPE_NAMES = {
@@ -45,24 +42,38 @@ def type_name(kind: T.DataType) -> str:
 
 
 def profile(datasets: Mapping[str, DataFrame], max_top: int = TOP_VALUES) -> DataFrame:
-    """The profile table of all given datasets.
+    """The profile table of all given datasets, as one lazy plan with a branch per column.
+
+    ``max_top`` is how many of a column's most frequent values are listed.
+    """
+    return C.union_all([_profile_one(d, df, list(enumerate(df.schema.fields)), max_top) for d, df in datasets.items()])
+
+
+def profile_in_batches(
+    datasets: Mapping[str, DataFrame], columns: int, max_top: int = TOP_VALUES
+) -> DataFrame:
+    """The same table, computed now, ``columns`` of a dataset at a time.
 
-    Up to ``COLUMNS_PER_PLAN`` columns it is one lazy plan; beyond that it is computed
-    in batches of columns, and the few rows of each batch are settled.
+    For very wide tables, whose plan as a whole would be too large; the few rows of each
+    batch are settled.
     """
-    batches: list[list[DataFrame]] = [[]]
-    room = COLUMNS_PER_PLAN
+    tables = []
     for dataset_id, df in datasets.items():
         fields = list(enumerate(df.schema.fields))
-        while fields:
-            if room == 0:
-                batches.append([])
-                room = COLUMNS_PER_PLAN
-            taken, fields = fields[:room], fields[room:]
-            batches[-1].append(_profile_one(dataset_id, df, taken, max_top))
-            room -= len(taken)
-    tables = [C.union_all(parts) for parts in batches]
-    return tables[0] if len(tables) == 1 else C.union_all([settle(t) for t in tables])
+        for start in range(0, len(fields), columns):
+            tables.append(settle(_profile_one(dataset_id, df, fields[start : start + columns], max_top)))
+    return C.union_all(tables)
+
+
+def columnar(df: DataFrame) -> DataFrame:
+    """A row-format dataset (CSV, JSON) rewritten once as Parquet in the shared folder.
+
+    Its profile then reads each column by itself, instead of parsing all files again for
+    every column.
+    """
+    path = f"{shared_folder(df.sparkSession)}/columnar-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _profile_one(

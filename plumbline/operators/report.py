@@ -12,6 +12,7 @@ SEVERITY_POLICY = (
     ("medium", False, ("teams",), False),
     ("low", False, (), False),
 )
+# The layout of the severity policy, and the headline below.
 POLICY_LAYOUT = (
     "severity string, stop_pipeline boolean, notify_channels array<string>, "
     "create_ado_task boolean"
@@ -63,11 +64,13 @@ def kpi(results: DataFrame) -> DataFrame:
 
 
 def top_failures(results: DataFrame, limit: int = TOP_FAILURES) -> DataFrame:
-    """The first failures of a run, in the order the rules ran."""
+    """The first failures of each run, in the order the rules ran."""
+    order = Window.partitionBy("run_id").orderBy("seq")
     return (
         results.where(F.col("status") == "fail")
-        .orderBy("seq")
-        .limit(limit)
+        .withColumn("__place", F.row_number().over(order))
+        .where(F.col("__place") <= limit)
+        .orderBy("run_id", "seq")
         .select("dataset_id", "rule_id", "severity", "rule_type", "sample_ref", "observed_value")
     )
 

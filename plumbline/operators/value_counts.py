@@ -16,11 +16,8 @@ from pyspark.sql import types as T
 
 from plumbline.functions import values as V
 
-# A key set is broadcast only when its measured count is below this bound; a key takes at
-# most 71 bytes, so that is some 14 MB.
-BROADCAST_KEYS = 200_000
-# The most frequent keys handled apart when a key set is too large to broadcast; every
-# other key then holds at most 1 / (HOT_KEYS + 1) of the rows.
+# The most frequent keys are handled apart; every other key then holds at most
+# 1 / (HOT_KEYS + 1) of the rows.
 HOT_KEYS = 1_000
 
 
@@ -133,7 +130,7 @@ def with_whole_texts(tops: DataFrame, sources: list[tuple[DataFrame, dict[int, s
     if not long_texts:
         return tops
     digests = tops.selectExpr("branch", "explode(top.value) as value").where(
-        f"startswith(value, '{V.DIGEST_PREFIX}')"
+        V.is_long("value")
     )
     wanted = union_all(long_texts).join(F.broadcast(digests), ["branch", "value"])
     # Equal digests, equal texts: the set of each has one element.  Unlike any_value, it is
@@ -146,14 +143,12 @@ def with_whole_texts(tops: DataFrame, sources: list[tuple[DataFrame, dict[int, s
     return tops.join(whole, "branch", "left").selectExpr("branch", f"{restored} as top")
 
 
-def rows_with_keys(
-    df: DataFrame, key: str, keys: DataFrame, key_count: int | None = None
-) -> DataFrame:
+def rows_with_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """All rows of ``df`` whose ``key`` is in ``keys`` (key, n), null matching null.
 
-    A key set measured to be small is broadcast.  Otherwise the ``HOT_KEYS`` most
-    frequent keys, a fixed number, are broadcast: their rows are found, and taken out of
-    the rest, without a shuffle.  What is left is joined by key, where no key is large.
+    The ``HOT_KEYS`` most frequent keys, a fixed number of bounded size, are broadcast:
+    their rows are found, and taken out of the rest, without a shuffle.  What is left is
+    joined by key, where no key is large.
     """
     marked = df.withColumn("__key", F.expr(key))
 
@@ -161,8 +156,6 @@ def rows_with_keys(
         some = some.select(F.col("key").alias("__wanted"))
         return rows.join(some, F.col("__key").eqNullSafe(F.col("__wanted")), how)
 
-    if key_count is not None and key_count <= BROADCAST_KEYS:
-        return joined(marked, F.broadcast(keys), "left_semi").drop("__key")
     hot = F.broadcast(keys.orderBy(F.desc("n"), F.asc("key")).limit(HOT_KEYS))
     frequent = joined(marked, hot, "left_semi")
     others = joined(joined(marked, hot, "left_anti"), keys, "left_semi")

@@ -10,12 +10,23 @@ runs it all and writes it.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from time import monotonic
 from typing import Any
 
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    SparkRuntimeException,
+    UnsupportedOperationException,
+)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +45,7 @@ from plumbline.model import (
 )
 from plumbline.operators import value_counts as C
 from plumbline.operators.checks import Check, Clock, Grouping, compile_rule
+from plumbline.sources.sinks import append_samples, sample_folder, write_results
 
 # Aggregates per scan; more rules than this are measured in several scans, to keep
 # generated code compilable.
@@ -41,6 +53,19 @@ CHECKS_PER_SCAN = 100
 # Rules that ``execute`` measures in one job; it runs as many jobs as it takes.
 RULES_PER_JOB = 300
 
+# What a rule's expressions can raise.  Anything else, such as a lost executor or a
+# cancelled job, says nothing about the data and ends the run.
+EVALUATION_ERRORS = (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    IllegalArgumentException,
+    NumberFormatException,
+    SparkRuntimeException,
+    UnsupportedOperationException,
+)
+
 Datasets = Mapping[str, DataFrame]
 
 
@@ -338,6 +363,11 @@ def select_rulesets(rulesets: Iterable[RuleSet], datasets: Datasets) -> list[Rul
     by_id = {rs.dataset_id: rs for rs in rulesets}
     chosen = [by_id[d] for d in datasets if d in by_id]
     chosen += [rs for d, rs in by_id.items() if d not in datasets and _runnable(rs, datasets)]
+    unruled = [d for d in datasets if d not in by_id]
+    unloaded = [d for d, rs in by_id.items() if d not in datasets and not _runnable(rs, datasets)]
+    for what, names in (("datasets without a rule set", unruled), ("rule sets without their dataset", unloaded)):
+        if names:
+            warnings.warn(f"not run: {what}: {', '.join(sorted(names))}", stacklevel=2)
     if not chosen:
         raise ValueError("No results produced. Check datasets and rulesets.")
     return chosen
@@ -354,9 +384,7 @@ def _runnable(ruleset: RuleSet, datasets: Datasets) -> bool:
     )
 
 
-def violations(
-    check: Check, datasets: Datasets, key_count: int | None = None
-) -> DataFrame:
+def violations(check: Check, datasets: Datasets) -> DataFrame:
     """Every bad row of one row-level rule, with the dataset's own columns."""
     df = datasets[check.dataset]
     if check.bad is not None:
@@ -364,13 +392,12 @@ def violations(
     if check.grouping is None:
         raise ValueError(f"rule type '{check.rule.rule_type}' has no bad rows")
     keys, key, _ = keys_of(check.grouping, df, datasets)
-    return C.rows_with_keys(df, key, keys, key_count)
+    return C.rows_with_keys(df, key, keys)
 
 
 def sample(
     planned: Iterable[Planned],
     datasets: Datasets,
-    key_counts: Mapping[int, int] | None = None,
     only: Iterable[int] | None = None,
     order_by: Mapping[str, list[str]] | None = None,
     max_samples: int = MAX_SAMPLES,
@@ -382,7 +409,6 @@ def sample(
     scan; the rank filter prunes each partition before its rows are shuffled.
     """
     wanted = None if only is None else set(only)
-    counts = key_counts or {}
     parts = []
     for p in planned:
         local: dict[str, list[Check]] = {}
@@ -393,7 +419,7 @@ def sample(
             if check.bad is not None:
                 local.setdefault(check.dataset, []).append(check)
             else:
-                rows = violations(check, datasets, counts.get(check.seq))
+                rows = violations(check, datasets)
                 order = _order(datasets[check.dataset], check.dataset, order_by)
                 tag = _tag(p.ruleset, check)
                 parts.append(_first_rows(rows, tag, order, max_samples))
@@ -446,9 +472,14 @@ class Run:
     samples: DataFrame | None
 
 
+def new_run_id(now: datetime | None = None) -> str:
+    """A run id that sorts by time: ``run_yyyymmdd_hhmmss`` in UTC."""
+    return (now or datetime.now(timezone.utc)).strftime("run_%Y%m%d_%H%M%S")
+
+
 def execute(
     spark: SparkSession,
-    run_id: str,
+    run_id: str | None,
     rulesets: Iterable[RuleSet],
     datasets: Datasets,
     results_dir: str | None = None,
@@ -458,9 +489,13 @@ def execute(
 ) -> Run:
     """Run the rules, sample the bad rows of failed rules, and write both.
 
-    Only one small row per rule reaches the driver.  Should a joint plan fail,
-    each of its rules is run alone, and a rule that fails again becomes an error row.
+    Only one small row per rule reaches the driver.  Should the data make a joint plan
+    fail, its rules are run by halves, and a rule that fails alone becomes an error row;
+    other faults end the run.  Results are written before samples, and a rule whose rows
+    cannot be sampled loses its own sample only.  A run id that is already there is
+    replaced, with its samples; without one a new id is made.
     """
+    run_id = run_id or new_run_id()
     clock = Clock.at(as_of)
     planned = plan(select_rulesets(rulesets, datasets), datasets, clock)
     measured = [row for part in _jobs(planned) for row in _collect(spark, part, datasets, clock)]
@@ -469,32 +504,35 @@ def execute(
         for m in measured
         if m["status"] == "fail" and m["rule_type"] in SAMPLED_TYPES and m["failed"]
     ]
-    key_counts = {m["seq"]: m["keys"] for m in measured if m["keys"] is not None}
-    samples = None
-    if failing:
-        samples = sample(planned, datasets, key_counts, failing, order_by, max_samples)
-        samples = samples.select(F.lit(run_id).alias("run_id"), "*")
-        if results_dir:
-            from plumbline.sources.sinks import append_samples
-
-            append_samples(samples, results_dir)
     rows = []
     for m in sorted(measured, key=lambda m: m["seq"]):
         ref = None
         if results_dir and m["seq"] in failing:
-            ref = (
-                f"{results_dir}/bad_samples/run_id={run_id}"
-                f"/dataset_id={m['dataset_id']}/rule_id={m['rule_id']}"
-            )
+            ref = sample_folder(results_dir, run_id, m["dataset_id"], m["rule_id"])
         rows.append({**m, "run_id": run_id, "sample_ref": ref})
     fields = [f.name for f in RESULTS_SCHEMA.fields]
     table = spark.createDataFrame([tuple(r[f] for f in fields) for r in rows], RESULTS_SCHEMA)
     table = table.select(*RESULT_COLUMNS, "seq")
     if results_dir:
-        from plumbline.sources.sinks import append_results
+        write_results(table, results_dir, run_id)
+
+    def bad_rows(some: list[int]) -> DataFrame:
+        found = sample(planned, datasets, some, order_by, max_samples)
+        return found.select(F.lit(run_id).alias("run_id"), "*")
 
-        append_results(table, results_dir)
-    return Run(run_id, table, samples)
+    def write_samples(some: list[int]) -> None:
+        try:
+            append_samples(bad_rows(some), results_dir)
+        except EVALUATION_ERRORS as problem:
+            if len(some) == 1:
+                warnings.warn(f"no sample of rule {some[0]}: {_condition(problem)}", stacklevel=2)
+            for half in (some[: len(some) // 2], some[len(some) // 2 :]):
+                if len(some) > 1:
+                    write_samples(half)
+
+    if failing and results_dir:
+        write_samples(failing)
+    return Run(run_id, table, bad_rows(failing) if failing else None)
 
 
 def _jobs(planned: list[Planned]) -> list[list[Planned]]:
@@ -502,11 +540,14 @@ def _jobs(planned: list[Planned]) -> list[list[Planned]]:
     parts: list[list[Planned]] = []
     room = 0
     for p in planned:
-        if not parts or len(p.checks) > room:
-            parts.append([])
-            room = RULES_PER_JOB
-        parts[-1].append(p)
-        room -= len(p.checks)
+        if parts and len(p.checks) <= room:
+            parts[-1].append(p)
+            room -= len(p.checks)
+            continue
+        for start in range(0, len(p.checks), RULES_PER_JOB):
+            some = p.checks[start : start + RULES_PER_JOB]
+            parts.append([Planned(p.ruleset, some)])
+            room = RULES_PER_JOB - len(some)
     return parts
 
 
@@ -528,33 +569,39 @@ def _collect(
 
     try:
         return timed(planned)
-    except Exception:  # noqa: BLE001 - any failure of the joint plan is retried rule by rule
-        rows = []
-        for p in planned:
-            for check in p.checks:
-                try:
-                    rows += timed([Planned(p.ruleset, (check,))])
-                except Exception as problem:  # noqa: BLE001 - becomes the rule's result
-                    now = _utc_now()
-                    rows.append(
-                        {
-                            "seq": check.seq,
-                            "dataset_id": p.ruleset.dataset_id,
-                            "ruleset_version": p.ruleset.ruleset_version,
-                            "rule_id": check.rule.rule_id,
-                            "rule_type": check.rule.rule_type,
-                            "severity": check.rule.severity,
-                            "status": "fail",
-                            "failed": None,
-                            "keys": None,
-                            "observed_value": json_text({"error": str(problem)[:2000]}),
-                            "threshold": json_text(dict(check.rule.expectation or {})),
-                            "started_at": now,
-                            "finished_at": now,
-                            "execution_ms": 0,
-                        }
-                    )
-        return rows
+    except EVALUATION_ERRORS as problem:
+        single = [Planned(p.ruleset, (check,)) for p in planned for check in p.checks]
+        if len(single) > 1:
+            middle = len(single) // 2
+            halves = (single[:middle], single[middle:])
+            return [row for half in halves for row in _collect(spark, half, datasets, clock)]
+        (p,) = single
+        return [_error_row(p.ruleset, p.checks[0], problem)]
+
+
+def _condition(problem: Exception) -> str:
+    """The stable name of what went wrong."""
+    return getattr(problem, "getCondition", lambda: None)() or type(problem).__name__
+
+
+def _error_row(ruleset: RuleSet, check: Check, problem: Exception) -> dict[str, Any]:
+    now = _utc_now()
+    return {
+        "seq": check.seq,
+        "dataset_id": ruleset.dataset_id,
+        "ruleset_version": ruleset.ruleset_version,
+        "rule_id": check.rule.rule_id,
+        "rule_type": check.rule.rule_type,
+        "severity": check.rule.severity,
+        "status": "fail",
+        "failed": None,
+        "keys": None,
+        "observed_value": json_text({"error": _condition(problem), "message": str(problem)}),
+        "threshold": json_text(dict(check.rule.expectation or {})),
+        "started_at": now,
+        "finished_at": now,
+        "execution_ms": 0,
+    }
 
 
 def _utc_now() -> str:

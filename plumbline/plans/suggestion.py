@@ -21,7 +21,7 @@ from plumbline.operators.merging import (
     stamp_version,
 )
 from plumbline.operators.profile import profile
-from plumbline.operators.proposals import MAX_RULES_TO_ADD, baseline_rules, propose_rules
+from plumbline.operators.proposals import MAX_LISTED_VALUES, MAX_RULES_TO_ADD, baseline_rules, propose_rules
 from plumbline.session import settle
 from plumbline.sources.catalog import catalog_table
 from plumbline.sources.registry import current_rules
@@ -58,7 +58,7 @@ def suggest(
     column or rule, settled between steps so that none is computed twice.
     """
     entries = [e for e in catalog if e["dataset_id"] in datasets]
-    profiled = settle(profile(datasets))
+    profiled = settle(profile(datasets, MAX_LISTED_VALUES))
     columns = profiled.select("dataset_id", "column")
     wanted = catalog_table(spark, entries)
     existing = current_rules(rules).join(
@@ -88,7 +88,7 @@ def suggest(
     )
     accepted = decisions.where(F.col("decision") == "accepted")
     merged = merge_rules(document, accepted, PATCH_AUTHOR, "medium")
-    suggested = settle(_with_owner(stamp_version(merged, current_rules(rules)), wanted))
+    suggested = settle(_with_owner(stamp_version(merged, rules), wanted))
 
     found = keys.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("key_candidates"))
     versions = suggested.groupBy("dataset_id").agg(

@@ -16,7 +16,7 @@ Entry = Mapping[str, Any]
 
 
 def load_dataset(spark: SparkSession, entry: Entry, root: str | None = None) -> DataFrame:
-    """A lazy DataFrame for one catalog entry."""
+    """A lazy DataFrame for one catalog entry; its ``options`` go to the reader."""
     kind = str(entry["source_type"]).lower()
     location = entry["source_location"]
     if kind == "table":
@@ -24,9 +24,9 @@ def load_dataset(spark: SparkSession, entry: Entry, root: str | None = None) ->
     if root and "://" not in location and not location.startswith("/"):
         location = f"{root.rstrip('/')}/{location}"
     if kind == "csv":
-        return read_csv(spark, location, entry.get("schema"))
+        return read_csv(spark, location, entry.get("schema"), **(entry.get("options") or {}))
     if kind in FILE_TYPES:
-        reader = spark.read.format(kind)
+        reader = spark.read.format(kind).options(**(entry.get("options") or {}))
         if entry.get("schema") is not None:
             reader = reader.schema(entry["schema"])
         return reader.load(location)

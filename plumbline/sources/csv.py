@@ -35,7 +35,7 @@ NULL_TOKENS = (
 # The texts read as booleans.
 BOOLEAN_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
-INTEGER_PATTERN = r"^\s*[+-]?\d{1,18}\s*$"
+INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 
 
 def read_csv(
@@ -47,7 +47,8 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV with a header line.
 
-    With a ``schema`` the files are read once, and values that do not fit become
+    ``options`` go to the reader; ``multiLine="true"`` reads fields with line breaks,
+    at the price that a file is read by one task.  With a ``schema`` the files are read once, and values that do not fit become
     null.  Without one a first pass finds the narrowest of bigint, double, boolean
     and string for each column, all columns in one aggregate.
     """
@@ -65,7 +66,7 @@ def read_csv(
 def _type_tests(c: str) -> dict[str, str]:
     booleans = ", ".join(f"'{t}'" for t in BOOLEAN_TOKENS)
     return {
-        "bigint": f"{c} rlike r'{INTEGER_PATTERN}'",
+        "bigint": f"{c} rlike r'{INTEGER_PATTERN}' and try_cast(btrim({c}, {V.SPACE}) as bigint) is not null",
         "double": f"{V.as_number(c, T.StringType())} is not null",
         "boolean": f"{c} in ({booleans})",
     }

@@ -8,6 +8,33 @@ from pyspark.sql import functions as F
 from plumbline.model import RESULT_COLUMNS, RESULTS_SCHEMA, RULES_SCHEMA, SAMPLES_SCHEMA
 
 
+# Characters that Spark writes as %XX in the name of a partition's folder.
+ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | {chr(n) for n in range(1, 32)}
+
+
+def _folder(column: str, value: str) -> str:
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
+
+def sample_folder(results_dir: str, run_id: str, dataset_id: str, rule_id: str) -> str:
+    """Where the bad rows of one rule of a run are."""
+    parts = [_folder("run_id", run_id), _folder("dataset_id", dataset_id), _folder("rule_id", rule_id)]
+    return "/".join([f"{results_dir}/bad_samples", *parts])
+
+
+def _clear(spark: SparkSession, folder: str) -> None:
+    """Remove what an earlier run of the same id has left."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_results(results: DataFrame, results_dir: str, run_id: str) -> None:
+    """The result rows of one run in the place of any it had before, its samples included."""
+    for table in ("rule_results", "bad_samples"):
+        _clear(results.sparkSession, f"{results_dir}/{table}/{_folder('run_id', run_id)}")
+    append_results(results, results_dir)
+
+
 def append_results(results: DataFrame, results_dir: str) -> None:
     """Result rows of a run, one folder per run and dataset."""
     results.write.mode("append").partitionBy("run_id", "dataset_id").parquet(
@@ -23,7 +50,17 @@ def append_samples(samples: DataFrame, results_dir: str) -> None:
 
 
 def append_summary(summary: DataFrame, results_dir: str) -> None:
-    summary.write.mode("append").json(f"{results_dir}/run_summaries")
+    """Summaries as JSON; read them with ``read_summaries``, which takes the last of each run."""
+    stamped = summary.withColumn("written_at", F.current_timestamp())
+    stamped.write.mode("append").json(f"{results_dir}/run_summaries")
+
+
+def read_summaries(spark: SparkSession, results_dir: str) -> DataFrame:
+    """One summary per run id: a run that was repeated counts once, as it was last."""
+    table = spark.read.json(f"{results_dir}/run_summaries")
+    others = [c for c in table.columns if c not in ("run_id", "written_at")]
+    last = F.max_by(F.struct(*others), "written_at").alias("last")
+    return table.groupBy("run_id").agg(last).select("run_id", "last.*")
 
 
 def append_rules(rules: DataFrame, registry_dir: str) -> None:

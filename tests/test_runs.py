@@ -95,6 +95,36 @@ def test_execute_writes_results_and_samples(spark, datasets, rulesets, tmp_path)
     assert len(spark.read.parquet(refs["facts", "R001"]).collect()) == 5
 
 
+def test_a_run_id_that_is_there_is_replaced(spark, datasets, rulesets, tmp_path):
+    base, run_id = str(tmp_path / "out"), "a/b=c:1%"
+    counts = []
+    for _ in range(2):
+        R.execute(spark, run_id, rulesets, datasets, base, AS_OF, max_samples=3)
+        R.execute(spark, "other", rulesets, datasets, base, AS_OF, max_samples=2)
+        rows = sinks.read_results(spark, base, run_id).collect()
+        counts.append((len(rows), sinks.read_samples(spark, base).where(F.col("run_id") == run_id).count()))
+    assert counts[0] == counts[1] and counts[0][0] == 8
+    for ref in [r["sample_ref"] for r in rows if r["sample_ref"]]:
+        assert spark.read.parquet(ref).count() == 3
+
+
+def test_other_faults_end_a_run(spark, datasets, rulesets, monkeypatch):
+    def lost(*args):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(R, "_measure", lost)
+    with pytest.raises(RuntimeError):
+        R.execute(spark, "r", rulesets, datasets, None, AS_OF)
+
+
+def test_what_is_not_run_is_said(spark, datasets):
+    orphan = RuleSet("absent", 1, (Rule("C", "completeness", "critical", {"column": "x"}),))
+    facts = RuleSet("facts", 1, (Rule("C", "completeness", "low", {"column": "x"}),))
+    with pytest.warns(UserWarning) as said:
+        assert R.select_rulesets([orphan, facts], datasets) == [facts]
+    assert any("absent" in str(w.message) for w in said)
+
+
 def test_sample_has_the_first_ten_columns(spark):
     df = spark.createDataFrame([tuple(range(12))], ", ".join(f"c{i} int" for i in range(12)))
     rule = RuleSet("wide", 1, (Rule("R", "range", "low", {"column": "c11", "max": 0}),))
@@ -112,7 +142,8 @@ def test_a_failing_plan_is_retried_rule_by_rule(spark, tmp_path):
     ))
     rows = R.execute(spark, "r", [rules], {"d": broken}, None, AS_OF).results.orderBy("seq").collect()
     assert [r["status"] for r in rows] == ["pass", "fail"]
-    assert "boom" in json.loads(rows[1]["observed_value"])["error"]
+    observed = json.loads(rows[1]["observed_value"])
+    assert observed["error"] == "CAST_INVALID_INPUT" and "boom" in observed["message"]
     assert json.loads(rows[1]["threshold"]) == {"column": "n"}
 
 
@@ -126,7 +157,7 @@ def test_many_rules_take_several_scans(spark, datasets, monkeypatch):
 def test_many_rule_sets_take_several_jobs(spark, datasets, rulesets, monkeypatch):
     monkeypatch.setattr(R, "RULES_PER_JOB", 4)
     jobs = R._jobs(R.plan(R.select_rulesets(rulesets, datasets), datasets, Clock.at(AS_OF)))
-    assert [[len(p.checks) for p in job] for job in jobs] == [[7], [1]]
+    assert [[len(p.checks) for p in job] for job in jobs] == [[4], [3, 1]]
     rows = R.execute(spark, "r", rulesets, datasets, None, AS_OF).results.orderBy("seq").collect()
     assert [r["seq"] for r in rows] == list(range(8))
 

@@ -16,7 +16,7 @@ from plumbline.operators import key_detection as K
 from plumbline.operators import merging as M
 from plumbline.operators import numbering as N
 from plumbline.operators import proposals as H
-from plumbline.operators.profile import profile
+from plumbline.operators.profile import columnar, profile, profile_in_batches
 from plumbline.plans.suggestion import suggest
 from plumbline.sources.registry import current_rules, rules_table
 
@@ -31,10 +31,11 @@ def columns_of(df):
 
 
 def test_profile_of_an_empty_column_and_of_nulls(spark):
-    found = columns_of(spark.createDataFrame([(1.0, None), (1.0, None), (2.0, None), (None, None)], "k double, e string"))
-    k, e = found["k"], found["e"]
-    assert (k["non_null_count"], k["distinct_count"], k["distinct_ratio_non_null"]) == (3, 2, 2 / 3)
-    assert (k["min"], k["max"], k["mean"], k["max_dup_count"], k["duplicate_count"]) == (1, 2, 4 / 3, 2, 1)
+    readings = [2.5, 2.5, 2.5, 8.0, 8.0, -3.5, None, None, None]
+    found = columns_of(spark.createDataFrame([(x, None) for x in readings], "reading double, remark string"))
+    k, e = found["reading"], found["remark"]
+    assert (k["non_null_count"], k["distinct_count"], k["distinct_ratio_non_null"]) == (6, 3, 0.5)
+    assert (k["min"], k["max"], k["mean"], k["max_dup_count"], k["duplicate_count"]) == (-3.5, 8.0, 20 / 6, 3, 3)
     assert (e["non_null_count"], e["distinct_count"], e["distinct_ratio_non_null"], e["max_dup_count"]) == (0, 0, 0.0, 0)
     assert e["top_values"] == [] and e["min"] is None
 
@@ -59,14 +60,33 @@ def test_profile_types(spark):
     assert [(v["value"], v["count"]) for v in found["o"]["top_values"]] == [('{"a":1}', 2)]
 
 
-def test_profile_in_batches_of_columns(spark, monkeypatch):
-    from plumbline.operators import profile as module
+def test_profiles_of_many_columns_are_lazy(spark):
+    wide = spark.createDataFrame([tuple(range(65))], ", ".join(f"c{i} int" for i in range(65)))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "planning only")
+    try:
+        planned = profile({"wide": wide})
+        assert len(tracker.getJobIdsForGroup("lazy")) == 0
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert planned.schema["ordinal"] is not None
 
+
+def test_a_csv_is_parsed_once_for_all_columns(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(50).selectExpr("id", "id % 3 as k", "'x' as s").write.option("header", "true").csv(path)
+    df = spark.read.option("header", "true").schema("id bigint, k bigint, s string").csv(path)
+    rewritten = profile({"d": columnar(df)})
+    order = ["ordinal"]
+    assert rewritten.orderBy(*order).collect() == profile({"d": df}).orderBy(*order).collect()
+    assert "csv" not in rewritten._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_profile_in_batches_of_columns(spark):
     wide = spark.createDataFrame([(i, "x", i % 2, None) for i in range(6)], "a int, b string, c int, d string")
     other = spark.createDataFrame([(1, 2)], "`e{f}` int, `it's ``g``.h` int")
     whole = profile({"wide": wide, "other": other})
-    monkeypatch.setattr(module, "COLUMNS_PER_PLAN", 3)
-    batched = profile({"wide": wide, "other": other})
+    batched = profile_in_batches({"wide": wide, "other": other}, 3)
     order = ["dataset_id", "ordinal"]
     rows = whole.orderBy(*order).collect()
     assert rows == batched.orderBy(*order).collect()
@@ -93,35 +113,35 @@ def keys_of(df, policy=K.STANDARD_POLICY):
 
 
 def test_key_candidate_and_its_rules(spark):
-    df = spark.createDataFrame([(i, "AB"[i % 2]) for i in range(100)], "customer_id int, status string")
+    df = spark.createDataFrame([(7000 + 3 * i, ["open", "shut", "lost"][i % 3]) for i in range(42)], "ticket_id int, state string")
     (key,) = keys_of(df)
-    assert key["columns"] == ["customer_id"] and key["confidence"] == 1.0 and key["notes"] == []
+    assert key["columns"] == ["ticket_id"] and key["confidence"] == 1.0 and key["notes"] == []
     assert key["evidence"]["name_signals"]["positive"] == ["(^|_)id$"]
-    assert key["evidence"]["distinct_count"] == 100
+    assert key["evidence"]["distinct_count"] == 42
     rules = K.key_rules(K.key_candidates(profile({"d": df}))).orderBy("ordinal").collect()
     assert [(r["rule_type"], r["column"], r["severity"]) for r in rules] == [
-        ("uniqueness", "customer_id", "high"), ("completeness", "customer_id", "high"),
+        ("uniqueness", "ticket_id", "high"), ("completeness", "ticket_id", "high"),
     ]
 
 
 def test_key_candidates_are_capped_in_column_order(spark):
-    df = spark.createDataFrame([(i, i, i) for i in range(100)], "id1 int, id2 int, id3 int")
-    policy = K.KeyPolicy.of({"suggestions": {"key_detection": {"max_candidates": 2}}})
-    assert [k["columns"][0] for k in keys_of(df, policy)] == ["id1", "id2"]
+    df = spark.createDataFrame([(i, -i, 5 * i, i + 9) for i in range(33)], "east_id int, north_id int, south_id int, west_id int")
+    policy = K.KeyPolicy.of({"suggestions": {"key_detection": {"max_candidates": 3}}})
+    assert [k["columns"][0] for k in keys_of(df, policy)] == ["east_id", "north_id", "south_id"]
 
 
 def test_nulls_and_missing_policy_give_no_keys(spark):
-    half = spark.createDataFrame([(1.0 * i if i % 2 else None,) for i in range(200)], "id double")
-    assert keys_of(half) == []
-    assert keys_of(spark.createDataFrame([(i,) for i in range(9)], "id int"), K.KeyPolicy.of({})) == []
+    gaps = spark.createDataFrame([(f"k{i}" if i % 3 else None,) for i in range(90)], "order_id string")
+    assert keys_of(gaps) == []
+    assert keys_of(spark.createDataFrame([(i * i,) for i in range(14)], "order_id int"), K.KeyPolicy.of({})) == []
 
 
 def test_near_unique_key(spark):
-    df = spark.createDataFrame([(i,) for i in [*range(99), 98]], "id int")
+    df = spark.createDataFrame([(f"c{i}",) for i in [*range(246), 17, 18, 19, 20]], "batch_id string")
     (key,) = keys_of(df)
     assert key["notes"] == ["near-unique (within near-unique thresholds)", "max_dup_count=2"]
-    # 0.4 near + 0.2 * (0.99 - 0.85) / 0.15 + 0.1 no nulls + 0.1 name
-    assert key["confidence"] == pytest.approx(0.4 + 0.2 * 0.14 / 0.15 + 0.1 + 0.1)
+    # 0.4 near + 0.2 * (246/250 - 0.85) / 0.15 + 0.1 no nulls + 0.1 name
+    assert key["confidence"] == pytest.approx(0.4 + 0.2 * (246 / 250 - 0.85) / 0.15 + 0.1 + 0.1)
 
 
 def test_key_confidence_of_200_values_in_202_rows(spark):
@@ -138,13 +158,13 @@ def candidates(df, kind, **limits):
 
 
 def test_candidates_by_rule_type(spark):
-    df = spark.createDataFrame([(10.0, "A", 1, True), (20.0, "B", 2, True), (30.0, "C", 3, False)],
-                               "price double, status string, count int, flag boolean")
-    assert candidates(df, "range") == ["price", "count"]
-    assert candidates(df, "domain", domain_threshold=2) == ["flag"]
-    assert candidates(df, "domain") == ["flag", "price", "status", "count"]
-    assert candidates(df, "completeness") == ["price", "status", "count", "flag"]
-    assert candidates(df, "uniqueness", uniqueness_threshold=0.9) == ["price", "status", "count"]
+    rows = [(1.25, "north", 40, True), (-7.5, "south", 41, True), (0.0, "east", 42, False), (3.0, "west", 43, False)]
+    df = spark.createDataFrame(rows, "height double, side string, floor int, lit boolean")
+    assert candidates(df, "range") == ["height", "floor"]
+    assert candidates(df, "domain", domain_threshold=3) == ["lit"]
+    assert candidates(df, "domain") == ["lit", "height", "side", "floor"]
+    assert candidates(df, "completeness") == ["height", "side", "floor", "lit"]
+    assert candidates(df, "uniqueness", uniqueness_threshold=0.8) == ["height", "side", "floor"]
 
 
 def test_candidate_caps_and_date_names(spark):
@@ -172,6 +192,9 @@ def test_heuristic_proposals(spark):
 
 
 def test_a_domain_is_proposed_only_if_all_values_are_listed(spark):
+    some = spark.createDataFrame([(f"v{i % 12}",) for i in range(50)], "kind string")
+    (found,) = H.propose_rules(profile({"d": some}, H.MAX_LISTED_VALUES)).collect()
+    assert sorted(json.loads(found["params"])["allowed_values"]) == sorted(f"v{i}" for i in range(12))
     df = spark.createDataFrame([(f"v{i % 11}",) for i in range(50)], "kind string")
     assert H.propose_rules(profile({"d": df})).count() == 0
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from workload.data import RUN_ID
 
-TEXT_KEY = "case when strlen(text) > 64 then 'sha256:' || sha256(text) else text end"
+# ties of texts: by the first 200 characters, then by digest
+TEXT_KEY = "case when length(text) > 200 then left(text, 200) || 'sha256:' || sha256(text) else text end"
 
 ORDERS = """(select * replace (case o_orderpriority when '5-LOW' then null
     when '1-URGENT' then ' ' || chr(9) else o_orderpriority end as o_orderpriority) from orders)"""
@@ -100,6 +101,20 @@ def _checks() -> dict[str, str]:
         ]
     )
 
+    keys = "(select cast(o_orderkey as hugeint) as key from orders)"
+    odd = f"(select key from {keys} where key % 2 = 1)"
+    sql["check_exact_numbers"] = " union all ".join(
+        f"""select '{rule}' as rule_id, case when failed = 0 then 'pass' else 'fail' end as status, failed, total
+          from (select {failed} as failed, count(*) as total from {source})"""
+        for rule, failed, source in (
+            ("R001", "count(*) filter (where key > 100)", keys),
+            ("R002", "count(*) filter (where key < 50 or key > 1000)", odd),
+            ("D001", "count(*) filter (where key not between 1 and 99)", keys),
+            ("U001", "count(*) - count(distinct key)", keys),
+            ("K001", f"count(*) filter (where key not in {odd})", keys),
+        )
+    )
+
     def invalid(column: str, bad: str) -> str:
         return f"""select cast({column} as varchar) as value, count(*) as n from {ORDERS}
             where {bad} group by {column}"""
