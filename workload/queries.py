@@ -256,9 +256,8 @@ def bad_samples(spark: SparkSession, folder: str) -> DataFrame:
     clock = Clock.at(D.AS_OF)
     planned = R.plan([D.LINEITEM_RULES], datasets, clock)
     measured = R.measure(spark, [D.LINEITEM_RULES], datasets, D.AS_OF)
-    failing = measured.where((F.col("status") == "fail") & (F.col("failed") > 0)).select("seq", "keys").collect()
-    keys = {r["seq"]: r["keys"] for r in failing if r["keys"] is not None}
-    found = R.sample(planned, datasets, keys, [r["seq"] for r in failing])
+    failing = measured.where((F.col("status") == "fail") & (F.col("failed") > 0)).select("seq").collect()
+    found = R.sample(planned, datasets, [r["seq"] for r in failing])
     fields = {"l_orderkey": "bigint", "l_linenumber": "bigint", "l_quantity": "double", "l_returnflag": "string"}
     shown = [F.get_json_object("payload", f"$.{c}").cast(t).alias(c) for c, t in fields.items()]
     return found.select("dataset_id", "rule_id", F.col("position").cast("bigint").alias("position"), *shown)
