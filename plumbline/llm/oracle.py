@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import mixing, secret_scan
+from plumbline.llm import mixing, near_vectors, secret_scan, warc
 
 _DOCS = "SELECT doc_id, coalesce(text, '') AS t FROM documents"
 
@@ -59,7 +59,56 @@ def _mixing() -> str:
         FROM (SELECT *, unnest(range(1, n + 1)) AS r FROM counts)"""
 
 
+#: nodes of ``p`` (x, y), both ways, with the smallest node that each reaches
+_REACHED = """reach AS (SELECT x, y FROM p UNION SELECT r.x, p.y FROM reach r JOIN p ON r.y = p.x),
+              roots AS (SELECT x AS node, min(y) AS root FROM reach GROUP BY x)"""
+
+
+def _ngram_join() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(t, '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w FROM ({_DOCS})),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS sh
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_ AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY x, y),
+        p AS (SELECT x, y FROM both_ JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * c >= 75 * (a.n + b.n - c)),
+        {_REACHED}
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(root, w.doc_id)) AS component_id
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN roots ON node = w.doc_id"""
+
+
+def _warc() -> str:
+    letters = " || ".join(
+        f"substr('{warc.BASE32}', ((CAST('0x' || substr(s, {at}, 5) AS INTEGER) >> {shift}) & 31) + 1, 1)"
+        for at in range(1, 41, 5)
+        for shift in (15, 10, 5, 0)
+    )
+    return f"""
+        WITH h AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY s) AS last FROM h)
+        SELECT page_id, strlen(h) AS payload_bytes, {letters} AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to, page_id + {warc.FIRST_SECOND} AS captured_at FROM m"""
+
+
+def _near_vectors() -> str:
+    return f"""
+        WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        good AS (SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+              WHERE list_cosine_similarity(a.v, b.v) >= {near_vectors.LEAST_COSINE}),
+        {_REACHED}, links AS (SELECT x AS node, count(*) AS n FROM p GROUP BY x)
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(root, e.vec_id)) AS component_id,
+               e.vec_id <= coalesce(root, e.vec_id) AS kept
+        FROM e LEFT JOIN links ON links.node = e.vec_id LEFT JOIN roots ON roots.node = e.vec_id"""
+
+
 ORACLE = {
     "op1_secret_scan": _secret_scan(),
+    "op3_ngram_join": _ngram_join(),
+    "op4_warc": _warc(),
+    "op7_near_vectors": _near_vectors(),
     "op10_mixing": _mixing(),
 }
