@@ -101,6 +101,13 @@ def _checks() -> dict[str, str]:
         ]
     )
 
+    sql["source_formats"] = """select format, c_mktsegment, count(*) as n, cast(sum(c_custkey) as bigint) as keys,
+          round(sum(c_acctbal), 2) as balance
+        from customer, (values ('csv'), ('parquet'), ('orc'), ('json'), ('table')) f(format) group by all"""
+    sql["run_containment"] = """select 'C001' as rule_id, 'pass' as status, null as error, count(*) as total, 0 as failed from orders
+        union all select 'C002', 'fail', 'CAST_INVALID_INPUT', null, null
+        union all select 'R001', if(count(*) filter (where o_totalprice > 100000) > 0, 'fail', 'pass'), null, count(*),
+          count(*) filter (where o_totalprice > 100000 or o_totalprice is null) from orders"""
     keys = "(select cast(o_orderkey as hugeint) as key from orders)"
     odd = f"(select key from {keys} where key % 2 = 1)"
     sql["check_exact_numbers"] = " union all ".join(

@@ -18,11 +18,12 @@ from plumbline.operators import proposals as H
 from plumbline.operators import report as P
 from plumbline.operators.checks import Clock
 from plumbline.operators.profile import profile
+from plumbline.operators.value_counts import union_all
 from plumbline.plans import ruleset_run as R
 from plumbline.plans.suggestion import suggest
 from plumbline.session import settle, shared_folder
 from plumbline.sources import sinks
-from plumbline.sources.catalog import load_datasets
+from plumbline.sources.catalog import load_by_id, load_datasets
 from plumbline.sources.registry import current_rules, load_rulesets, rules_table
 from workload import data as D
 
@@ -362,6 +363,47 @@ def source_csv(spark: SparkSession, folder: str) -> DataFrame:
     return load_datasets(spark, [entry])["customer"]
 
 
+def source_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """One table written in every format a catalog knows, each loaded by its id."""
+    base = _new_folder(spark)
+    customer = D.table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    entries = []
+    for kind in ("csv", "parquet", "orc", "json"):
+        writer = customer.write.format(kind)
+        (writer.option("header", "true") if kind == "csv" else writer).save(f"{base}/{kind}")
+        entries.append({"dataset_id": kind, "source_type": kind.upper(), "source_location": kind})
+    view = f"customer_{uuid4().hex}"
+    customer.createOrReplaceTempView(view)
+    entries.append({"dataset_id": "table", "source_type": "table", "source_location": view})
+    loaded = [
+        load_by_id(spark, entries, e["dataset_id"], base)
+        .groupBy(F.lit(e["dataset_id"]).alias("format"), "c_mktsegment")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+        for e in entries
+    ]
+    return union_all(loaded)
+
+
+def run_containment(spark: SparkSession, folder: str) -> DataFrame:
+    """A rule whose column cannot be read, among rules that can: it fails alone, with its error."""
+    orders = D.table(spark, folder, "orders")
+    broken = orders.selectExpr("o_orderkey", "o_totalprice", "cast(concat(o_orderstatus, '?') as int) as o_code")
+    rules = (
+        Rule("C001", "completeness", "high", {"column": "o_orderkey"}),
+        Rule("C002", "completeness", "high", {"column": "o_code"}),
+        Rule("R001", "range", "low", {"column": "o_totalprice", "max": 100000}),
+    )
+    run = R.execute(spark, D.RUN_ID, [RuleSet("orders", 1, rules)], {"orders": broken}, None, D.AS_OF)
+    observed = F.col("observed_value")
+    return run.results.select(
+        "rule_id",
+        "status",
+        F.get_json_object(observed, "$.error").alias("error"),
+        F.get_json_object(observed, "$.total").cast("bigint").alias("total"),
+        F.coalesce(F.get_json_object(observed, "$.failed"), F.get_json_object(observed, "$.null_count")).cast("bigint").alias("failed"),
+    )
+
+
 # Added to keys to make them whole numbers of 19 digits, which doubles cannot tell apart.
 LARGE = 1_234_567_890_120_000_000
 
@@ -761,6 +803,8 @@ QUERIES: dict[str, Query] = {
         report_run_actions,
         report_latest,
         source_csv,
+        source_formats,
+        run_containment,
         check_exact_numbers,
         sink_results,
         sink_summary,
