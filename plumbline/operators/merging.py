@@ -49,14 +49,11 @@ def allocate_ids(new: DataFrame, used: DataFrame) -> DataFrame:
     """Give every row of ``new`` (dataset_id, prefix, ordinal) the next free rule id.
 
     The k-th new rule of a prefix gets the k-th number that is not in use.  Among the
-    first (new + used) numbers there are always enough free ones, and numbering the
-    rows themselves yields exactly those numbers.
+    first (new + used) numbers there are always enough free ones.
     """
     group = ["dataset_id", "prefix"]
-    pool = new.select(*group, "ordinal").unionByName(
-        used.select(*group, (-F.col("n")).alias("ordinal"))
-    )
-    numbers = number_within(pool, group, "ordinal", "n").select(*group, "n")
+    sizes = new.select(*group).unionByName(used.select(*group)).groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    numbers = sizes.select(*group, F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")).alias("n"))
     free = numbers.join(used, [*group, "n"], "left_anti")
     free = number_within(free, group, "n", "k").select(*group, "k", "n")
     placed = number_within(new, group, "ordinal", "k").join(free, [*group, "k"])
