@@ -109,6 +109,7 @@ RULES_SCHEMA = _struct(
     ("ai_evidence_used", _S),
 )
 
+# The columns of a result row, in their order.
 RESULT_COLUMNS = (
     "run_id",
     "dataset_id",

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from plumbline.functions import values as V
-from plumbline.model import RULE_TYPES, Rule, json_text, value_text
+from plumbline.model import RULE_TYPES, Rule
 
 
 @dataclass(frozen=True)
@@ -280,5 +280,3 @@ _BUILDERS = {
     "freshness": _freshness,
 }
 assert set(_BUILDERS) == set(RULE_TYPES)
-
-__all__ = ["BadRule", "Check", "Clock", "Grouping", "compile_rule", "json_text", "value_text"]

@@ -92,6 +92,7 @@ STANDARD_POLICY = KeyPolicy(
     min_confidence_to_return=0.55,
 )
 
+# The fields of the evidence; the texts of the notes further down are fixed too.
 EVIDENCE = (
     "row_count",
     "non_null_count",
@@ -145,6 +146,7 @@ def key_candidates(profile: DataFrame, policy: KeyPolicy = STANDARD_POLICY) -> D
         + F.when(F.size(negative) > 0, policy.weight("negative_name_hint")).otherwise(0.0)
     )
     repeats = F.col("max_dup_count")
+    # fixed texts
     notes = F.array_compact(
         F.array(
             F.when(~exact & near, F.lit("near-unique (within near-unique thresholds)")),

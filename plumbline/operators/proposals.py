@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.values import SPACE, text_literal
-from plumbline.model import PROPOSALS_SCHEMA, RULE_TYPES, RULES_SCHEMA
+from plumbline.model import PROPOSALS_SCHEMA, RULE_TYPES
 from plumbline.operators.candidates import CANDIDATE_TYPES, CandidateLimits, column_candidates
 
 # What the heuristics propose and how sure they are.
@@ -49,7 +49,7 @@ def propose_rules(
         F.col("ordinal") <= max_rules_to_add
     )
     listed = "transform(slice(top_values, 1, 5), v -> concat('[', v.value, ', ', v.count, ']'))"
-    return _as_proposals(
+    return as_proposals(
         capped.selectExpr(
             "dataset_id",
             "ordinal",
@@ -109,7 +109,7 @@ def parse_proposals(raw: DataFrame) -> DataFrame:
     return parsed.selectExpr("dataset_id", "ordinal", *guarded, f"not {is_object} as malformed")
 
 
-def _as_proposals(df: DataFrame) -> DataFrame:
+def as_proposals(df: DataFrame) -> DataFrame:
     """Add the proposal columns that are not there, and put them in order."""
     have = set(df.columns)
     return df.select(
@@ -122,10 +122,6 @@ def _as_proposals(df: DataFrame) -> DataFrame:
     )
 
 
-def as_proposals(df: DataFrame) -> DataFrame:
-    return _as_proposals(df)
-
-
 # Ids and texts of the rules that follow from the catalog.
 BASELINE_AUTHOR = "dataset_config"
 SCHEMA_RULE_ID = "schema_0001"
@@ -258,14 +254,3 @@ def template_rules(
              when 'freshness' then to_json(struct(column, max_age_days, 'UTC' as timezone))
              else to_json(struct(column)) end as expectation""",
     )
-
-
-__all__ = [
-    "RULES_SCHEMA",
-    "Template",
-    "as_proposals",
-    "baseline_rules",
-    "parse_proposals",
-    "propose_rules",
-    "template_rules",
-]
