@@ -43,7 +43,7 @@ HOT_LIST = 4096
 #: bits of the filter that keeps texts of no interest where they are
 FILTER_BITS = 1 << 27
 
-SET_SCHEMA = "doc_id long, n_shingles long, fp long, sketch binary"
+SET_SCHEMA = "doc_id long, text_hash long, n_shingles long, fp long, sketch binary"
 BLOB_SCHEMA = "part int, data binary"
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -151,10 +151,15 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 size.append(len(s))
                 fp.append(digest(s) if len(s) else None)
                 sketch.append((s[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes())
-            columns = [batch["doc_id"], pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(sketch, pa.binary())]
-            yield pa.record_batch(columns, names=["doc_id", "n_shingles", "fp", "sketch"])
+            columns = [batch["doc_id"], batch["text_hash"], pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(sketch, pa.binary())]
+            yield pa.record_batch(columns, names=["doc_id", "text_hash", "n_shingles", "fp", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SET_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash()).mapInArrow(rows, SET_SCHEMA)
+
+
+def _text_hash():
+    """A name for a text that is found without its shingles."""
+    return F.xxhash64("text").alias("text_hash")
 
 
 # ------------------------------------------------------------------ frequencies
@@ -434,7 +439,7 @@ def _membership_filter(ids: DataFrame) -> np.ndarray:
         field[group["bit"].to_numpy()] = True
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([np.packbits(field).tobytes()], pa.binary())})
 
-    spots = ids.select(F.explode(F.array(*[F.pmod(F.xxhash64("fp", F.lit(k)), F.lit(bits)) for k in range(2)])).alias("spot")).distinct()
+    spots = ids.select(F.explode(F.array(*_spots(bits))).alias("spot")).distinct()
     dealt = spots.select(F.floor(F.col("spot") / span).cast("int").alias("part"), (F.col("spot") % span).alias("bit"))
     table = np.zeros((parts, span // 8), np.uint8)
     for row in dealt.groupBy("part").applyInArrow(build, BLOB_SCHEMA).collect():
@@ -442,30 +447,37 @@ def _membership_filter(ids: DataFrame) -> np.ndarray:
     return table.reshape(-1)
 
 
+def _spots(bits: int) -> list:
+    return [F.pmod(F.xxhash64("text_hash", F.lit(k)), F.lit(bits)).alias(f"h{k}") for k in range(2)]
+
+
 def _compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links, by their whole texts."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    """The pairs (a, b) that are links, by their whole texts.
+
+    One text stands for each class.  Only texts that the filter lets pass leave
+    the task that reads them.
+    """
+    one = sets.where("fp is not null").groupBy("fp").agg(F.min("text_hash").alias("text_hash"))
+    ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(one, "fp"), "texts")
     bits = docs.sparkSession.sparkContext.broadcast(_membership_filter(ids))
-    width = 8 * len(bits.value)
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value
-        seen = set()
+        table, seen = bits.value, set()
         for batch in batches:
             spots = np.stack([batch[f"h{k}"].to_numpy() for k in range(2)])
             hit = ((table[spots >> 3] >> (7 - (spots & 7)).astype(np.uint8)) & 1).all(axis=0)
-            fps = batch["fp"].to_numpy(zero_copy_only=False)
+            names = batch["text_hash"].to_numpy()
             for i in np.flatnonzero(hit):
-                hit[i] = fps[i] not in seen
-                seen.add(fps[i])
-            yield batch.select(["fp", "text"]).filter(pa.array(hit))
+                hit[i] = names[i] not in seen
+                seen.add(names[i])
+            yield batch.select(["text_hash", "text"]).filter(pa.array(hit))
 
-    # the digest of a text is computed once more: it is cheaper than a shuffle of all texts
     texts = (
-        _with_digest(docs)
-        .select("fp", "text", *[F.pmod(F.xxhash64("fp", F.lit(k)), F.lit(width)).alias(f"h{k}") for k in range(2)])
-        .mapInArrow(wanted, "fp long, text string")
-        .groupBy("fp")
+        docs.where("text is not null")
+        .select("text", _text_hash())
+        .select("text_hash", "text", *_spots(8 * len(bits.value)))
+        .mapInArrow(wanted, "text_hash long, text string")
+        .groupBy("text_hash")
         .agg(F.first("text").alias("text"))
     )
 
@@ -479,22 +491,12 @@ def _compared(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(linked(held, shingle(y.as_py())))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b").join(
-        texts.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a"
-    )
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
-
-
-def _with_digest(docs: DataFrame) -> DataFrame:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler()
-        for batch in batches:
-            sets = (shingle(t.as_py() or "") for t in batch["text"])
-            fps = pa.array([digest(s) if len(s) else None for s in sets], pa.int64())
-            out = pa.record_batch([fps, batch["text"]], names=["fp", "text"])
-            yield out.filter(fps.is_valid())
-
-    return docs.select("text").mapInArrow(rows, "fp long, text string")
+    named = pairs.select("a", "b")
+    for end, text in (("a", "ta"), ("b", "tb")):
+        named = named.join(ids.select(F.col("fp").alias(end), F.col("text_hash").alias(text)), end)
+    for text, end in (("tb", "y"), ("ta", "x")):
+        named = named.join(texts.select(F.col("text_hash").alias(text), F.col("text").alias(end)), text)
+    return named.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 # ------------------------------------------------------------------ the join
