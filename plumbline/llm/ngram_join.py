@@ -40,6 +40,8 @@ SCREEN = 0.36
 COUNTERS = 1 << 25
 #: lists expected to be longer are dealt to several tasks
 HOT_LIST = 4096
+#: members of a list that wait in one row for those outside its largest component
+BLOCK_MEMBERS = 4096
 #: bits of the filter that keeps texts of no interest where they are
 FILTER_BITS = 1 << 27
 
@@ -564,16 +566,24 @@ def _across(lists: DataFrame, roots: DataFrame) -> DataFrame:
     members = lists.select("list", F.col("a").alias("fp"), "n", "place").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     members = members.select("list", "fp", "n", "place", F.coalesce("root", "fp").alias("root"))
     sizes = members.groupBy("list", "root").agg(F.count("*").alias("c"))
-    mixed = sizes.groupBy("list").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
-    inside = members.join(mixed.select("list", F.col("m.root").alias("largest")), "list")
-    one = inside.where("root <> largest").select("list", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("place").alias("i"), F.col("root").alias("ra"))
-    other = inside.select("list", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("place").alias("j"), F.col("root").alias("rb"))
+    mixed = sizes.groupBy("list").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"), F.sum("c").alias("members")).where("roots > 1")
+    inside = members.join(mixed.select("list", F.col("m.root").alias("largest"), "members"), "list")
+    # members wait in blocks of bounded size, so a pair that shares many lists is not a row for each
+    block = F.pmod(F.xxhash64("fp"), F.ceil(F.col("members") / BLOCK_MEMBERS)).alias("block")
+    blocks = inside.select("list", block, F.struct("fp", "n", "place", "root").alias("y")).groupBy("list", "block").agg(F.collect_list("y").alias("ys"))
+    strangers = inside.where("root <> largest").select("list", F.col("fp").alias("a"), "n", "place", "root")
     p, q = LEAST
-    need = F.ceil(F.lit(p) * (F.col("na") + F.col("nb")) / F.lit(p + q))
-    fits = (
-        (F.col("ra") != F.col("rb"))
-        & (q * F.col("na") >= p * F.col("nb"))
-        & (q * F.col("nb") >= p * F.col("na"))
-        & (F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= need)
-    )
-    return one.join(other, "list").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def fits(y):
+        need = F.ceil(F.lit(p) * (F.col("n") + y["n"]) / F.lit(p + q))
+        return (
+            (F.col("root") != y["root"])
+            & (q * F.col("n") >= p * y["n"])
+            & (q * y["n"] >= p * F.col("n"))
+            & (F.least(F.col("n") - F.col("place"), y["n"] - y["place"]) >= need)
+        )
+
+    met = strangers.join(blocks, "list").select("a", F.transform(F.filter("ys", fits), lambda y: y["fp"]).alias("bs")).where("size(bs) > 0")
+    once = met.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs"))
+    pairs = once.select("a", F.explode("bs").alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
