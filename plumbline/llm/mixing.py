@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 SEED = "mix-1"
 #: exponent of the actual sizes in the target weights where none are given: 0 equal, 1 as they are
 EXPONENT = 0.5
+#: parts that the rows of a source are dealt to
+PARTS = 32
 
 
 def _unit(*parts: Column) -> Column:
@@ -79,7 +81,11 @@ def replicas(docs: DataFrame, weights: dict[str, float] | None = None, budget: f
     by_source = rates(docs, weights, budget).select("_source", "steps")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     draw = _unit(F.lit(seed), key)
-    joined = docs.withColumn("_source", F.coalesce("source", F.lit(""))).join(by_source, "_source")
+    # a source with a third of all rows meets its rate in PARTS places
+    every = by_source.select("*", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_part"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")
+    placed = docs.withColumn("_source", F.coalesce("source", F.lit(""))).withColumn("_part", part)
+    joined = placed.join(every, ["_source", "_part"])
     counted = joined.select(*columns, F.size(F.filter("steps", lambda p: p <= draw)).alias("_count"))
     copies = counted.where("_count > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("replica"))
     return copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), key, F.col("replica").cast("string"))))
