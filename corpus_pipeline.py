@@ -2,7 +2,7 @@
 
 ``STAGES`` are (name, function); a function takes (spark, docs, sf_dir) and
 returns the documents it keeps or changes, with the columns of ``documents``.
-The last one returns the packed pieces.  Between stages the documents are
+The last one returns the packed pieces and sequences.  Between stages the documents are
 written as Parquet and read again.
 """
 
@@ -49,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents and their places in training sequences."""
+    """Token pieces of all documents, their places in training sequences, and the ids of these."""
     return packing.pack(docs.select("doc_id", "text"))
 
 

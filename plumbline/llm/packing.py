@@ -1,8 +1,9 @@
 """Packing token sequences into windows of fixed size by best-fit decreasing.
 
 Documents are tokenized where they lie and cut into full windows first; what
-remains of each is shorter than a window.  The pieces, small rows without text,
-are dealt to partitions of bounded size, and each partition packs its own.
+remains of each is shorter than a window.  The pieces with their ids are dealt
+to partitions of bounded size, and each partition packs its own and writes the
+ids of every sequence as one array.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +39,16 @@ MEMORY = 600_000
 #: texts whose words are looked up together
 TEXTS_AT_ONCE = 256
 
+#: sequences that leave a task together
+SEQUENCES_AT_ONCE = 512
+
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PIECE_NAMES = [c.split()[0] for c in PIECE_SCHEMA.split(", ")]
 PACKED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long, padded_length long"
+PLACED_NAMES = ["doc_id", "start", "length", "doc_tokens", "offset"]
+SEQUENCE_SCHEMA = (
+    "sequence_id long, padded_length long, ids array<int>, pieces array<struct<" + ", ".join(f"{n}: long" for n in PLACED_NAMES) + ">>"
+)
 
 
 class Encoder:
@@ -89,8 +98,13 @@ class Encoder:
             self.known[word] = every[at:end]
 
 
+def _lists(lengths: np.ndarray, values) -> pa.ListArray:
+    """Lists of these lengths from the values in their order."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Full windows and remainders of every row: ``PIECE_SCHEMA``.
+    """Full windows and remainders of every row: ``PIECE_SCHEMA`` and ``ids``.
 
     ``doc_id`` and ``text`` are read; a null text is empty, and an empty one is
     the closing id alone.  Repeated rows are cut each by itself.
@@ -99,7 +113,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
         for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
-            rows = []
+            rows, coming = [], []
             texts = [t or "" for t in batch["text"].to_pylist()]
             for doc_id, coded in zip(batch["doc_id"].to_pylist(), encoder.ids(texts), strict=True):
                 ids = memoryview(coded + END_ID.to_bytes(4, "little"))
@@ -107,10 +121,11 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
                 for at in range(0, total, WINDOW):
                     part = ids[4 * at : 4 * (at + WINDOW)]
                     rows.append((doc_id, at, len(part) // 4, zlib.crc32(part), total))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=PIECE_NAMES)
+                coming.append(ids)
+            columns = [pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True)) or [[]] * 5]
+            yield pa.record_batch([*columns, _lists(columns[2].to_numpy(), np.frombuffer(b"".join(coming), "<i4"))], names=[*PIECE_NAMES, "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECE_SCHEMA + ", ids array<int>")
 
 
 class OpenWindows:
@@ -163,30 +178,87 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
     return sequence, offset
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    rows = pa.Table.from_batches(parts).sort_by([(n, "ascending") for n in ("doc_id", "start", "ids_crc32")])
+def _packed(rows: pa.Table, first: int) -> tuple[pa.Table, int]:
+    """The sequences of some pieces, counted from ``first``, and how many there are."""
+    rows = rows.combine_chunks()
     lengths = rows["length"].to_numpy()
     sequence, offset = best_fit_decreasing(lengths)
-    used = np.bincount(sequence, weights=lengths).astype("i8")[sequence]
-    padded = np.where((used & (used - 1)) == 0, used, WINDOW)
-    first = TaskContext.get().partitionId() << 33
-    for name, column in (("sequence_id", sequence + first), ("offset", offset), ("padded_length", padded)):
-        rows = rows.append_column(name, pa.array(column, pa.int64()))
-    yield from rows.to_batches()
-
-
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Every piece of every row with its place: ``PACKED_SCHEMA``.
-
-    A sequence holds pieces without gaps from offset 0 and at most ``WINDOW``
-    ids; ``padded_length`` is its size with padding, which is the window, or no
-    padding at all where the ids fill a power of two.  Repeated rows are packed
-    each, rows with a null id under that null; an empty table gives no rows.
+    order = np.lexsort((offset, sequence))
+    rows = rows.append_column("offset", pa.array(offset)).take(pa.array(order))
+    used = np.bincount(sequence, weights=lengths).astype("i8")
+    places = pa.StructArray.from_arrays([rows[n].combine_chunks() for n in PLACED_NAMES], PLACED_NAMES)
+    columns = {
+        "sequence_id": pa.array(np.arange(first, first + len(used)), pa.int64()),
+        "padded_length": pa.array(np.where((used & (used - 1)) == 0, used, WINDOW), pa.int64()),
+        "ids": _lists(used, rows["ids"].combine_chunks().flatten()),
+        "pieces": _lists(np.bincount(sequence), places),
+    }
+    return pa.table(columns), len(used)
+
+
+def _packer(most: int):
+    """Packs a partition, ``most`` pieces at a time: copies of a row lie in one, however many they are."""
+
+    def pack_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held, room = TaskContext.get().partitionId() << 33, [], most
+        for batch in batches:
+            while batch.num_rows:
+                held.append(batch.slice(0, room))
+                batch = batch.slice(room)
+                room -= held[-1].num_rows
+                if not room:
+                    made, n = _packed(pa.Table.from_batches(held), first)
+                    yield from made.to_batches(max_chunksize=SEQUENCES_AT_ONCE)
+                    first, held, room = first + n, [], most
+        if held:
+            yield from _packed(pa.Table.from_batches(held), first)[0].to_batches(max_chunksize=SEQUENCES_AT_ONCE)
+
+    return pack_all
+
+
+def sequences(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """The packed training sequences, one row each: ``SEQUENCE_SCHEMA``.
+
+    ``ids`` holds the sequence's tokens, at most ``WINDOW``; ``pieces`` says which
+    document each run of them is from, without gaps from offset 0.  ``padded_length``
+    is the size with padding, which is the window, or no padding at all where the
+    ids fill a power of two.  Repeated rows are packed each, rows with a null id
+    under that null; an empty table gives no rows.
     """
     cut = kept(pieces(docs, tokenizer), "pieces")
     n = max(1, -(-cut.count() // PIECES_PER_TASK))
     dealt = cut.repartition(n, F.xxhash64("doc_id", "start", "ids_crc32"))
-    return dealt.mapInArrow(_pack, PACKED_SCHEMA)
+    return dealt.sortWithinPartitions("doc_id", "start", "ids_crc32").mapInArrow(_packer(2 * PIECES_PER_TASK), SEQUENCE_SCHEMA)
+
+
+def places(packed: DataFrame, whole: bool = False) -> DataFrame:
+    """Every piece of ``sequences`` with its place: ``PACKED_SCHEMA``, its digest from the sequence's ids.
+
+    With ``whole`` also ``sequence``: the ids of the whole sequence in the row of
+    its first piece (offset 0), none in the others.
+    """
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, SEQUENCES_AT_ONCE) for b in batches for at in range(0, b.num_rows, SEQUENCES_AT_ONCE)):
+            found, count = batch["pieces"].flatten(), pc.list_value_length(batch["pieces"]).to_numpy()
+            columns = {n: found.field(k) for k, n in enumerate(PLACED_NAMES)}
+            ids = memoryview(batch["ids"].flatten().to_numpy().astype("<u4").tobytes())
+            ends = 4 * np.cumsum(columns["length"].to_numpy())
+            begins = [0, *ends[:-1].tolist()]
+            columns["ids_crc32"] = pa.array([zlib.crc32(ids[a:z]) for a, z in zip(begins, ends.tolist(), strict=True)], pa.int64())
+            for n in ("sequence_id", "padded_length"):
+                columns[n] = pa.array(np.repeat(batch[n].to_numpy(), count), pa.int64())
+            if whole:
+                size = np.zeros(len(found), "i8")
+                size[np.cumsum(count) - count] = pc.list_value_length(batch["ids"]).to_numpy()
+                columns["sequence"] = _lists(size, batch["ids"].flatten())
+            yield pa.record_batch([columns[n] for n in names], names=names)
+
+    schema = PACKED_SCHEMA + (", sequence array<int>" if whole else "")
+    names = [c.split()[0] for c in schema.split(", ")]
+    return packed.mapInArrow(told, schema)
+
+
+def pack(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """Every piece of every row with its place, and ``sequences`` with them: ``places`` of the whole."""
+    return places(sequences(docs, tokenizer), whole=True)

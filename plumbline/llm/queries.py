@@ -51,7 +51,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+    # the digests of the sequences; their ids stay with ``packing.sequences``
+    return packing.places(packing.sequences(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
 QUERIES = {

@@ -70,5 +70,25 @@ def test_pieces_cover_each_document_and_sequences_have_no_gaps(docs, encoder):
     assert got["length"].sum() / P.WINDOW / got["sequence_id"].nunique() > 0.95
 
 
+def test_sequences_hold_the_ids_of_their_pieces(docs, encoder, monkeypatch):
+    rows = [*enumerate(TEXTS), (None, "no id"), *[(100 + i, "some words " * (i * 13)) for i in range(60)], *[(500, "copy " * 7)] * 40]
+    text = {i: t for i, t in rows}
+    ids = {i: [*whole(encoder, t), P.END_ID] for i, t in text.items()}
+    expected = sum(len(ids[i]) for i, _ in rows)
+    for most in (P.PIECES_PER_TASK, 10):  # also where copies overfill a partition
+        monkeypatch.setattr(P, "PIECES_PER_TASK", most)
+        got = P.sequences(docs(*rows)).collect()
+        assert sum(len(s["ids"]) for s in got) == expected and len({s["sequence_id"] for s in got}) == len(got)
+        for s in got:
+            assert len(s["ids"]) <= P.WINDOW
+            assert s["ids"] == [t for p in s["pieces"] for t in ids[p["doc_id"]][p["start"] : p["start"] + p["length"]]]
+        packed = P.pack(docs(*rows))
+        whole_ones = {tuple(r["sequence"]) for r in packed.where("offset = 0").collect()}
+        assert sum(len(r["sequence"]) for r in packed.collect()) == expected
+        if most == 10:
+            continue
+        assert whole_ones == {tuple(s["ids"]) for s in got}
+
+
 def test_empty_table(docs):
     assert P.pack(docs()).count() == 0
