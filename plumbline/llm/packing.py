@@ -58,7 +58,8 @@ class Encoder:
     character follows, and byte pairs never cross a pre-token.  So the ids of a
     text are those of its words, each with the space before it.  New words are
     encoded together, by the same vocabulary in its fast form.  Texts with other
-    spacing, or with characters outside ``UNALIKE``, are encoded whole.
+    spacing, with characters of ``UNALIKE``, or with an added token such as
+    ``<|endoftext|>`` are encoded whole.
     """
 
     def __init__(self, name: str):
@@ -67,7 +68,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: unusual spacing or letters, or a token that only the tokenizer knows
+        self.odd = re.compile("|".join([UNALIKE.pattern, UNEVEN.pattern, *added]))
         vocabulary = Path(public_tokenizers.path(str(Path(name).with_suffix(".tiktoken")))).read_bytes()
         ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, vocabulary.splitlines())}
         self.fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -76,7 +79,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        even = [None if UNALIKE.search(t) or UNEVEN.search(t) else t.split(" ") for t in texts]
+        even = [None if self.odd.search(t) else t.split(" ") for t in texts]
         self.learn(set().union(*[w[1:] for w in even if w]))
         return [self._whole(t) if w is None else self._joined(w) for t, w in zip(texts, even, strict=True)]
 

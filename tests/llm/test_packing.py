@@ -3,9 +3,11 @@
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from plumbline.llm import packing as P
 
@@ -26,6 +28,14 @@ def test_ids_of_awkward_texts(encoder):
         assert np.frombuffer(ids, "<u4").tolist() == whole(encoder, text), text
 
 
+def test_added_tokens_are_those_of_the_tokenizer_as_it_is(encoder):
+    own = Tokenizer.from_file(public_tokenizers.path(P.TOKENIZER))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "a <|endoftext| > b", "plain words", *TEXTS]
+    for text, ids in zip(texts, encoder.ids(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
+    assert np.frombuffer(encoder.ids(texts)[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
 @settings(max_examples=300, deadline=None)
 @given(text=st.text(alphabet=st.sampled_from("ab Zé1'\n\t.,-ßĀ\x1c漢") | st.characters(max_codepoint=0x250)))
 def test_ids_of_any_text(encoder, text):
