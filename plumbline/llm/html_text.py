@@ -13,7 +13,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,13 +35,15 @@ RAW_TAGS = frozenset("script style textarea title noscript iframe template svg m
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 #: words of class, id and role attributes around the article, and of the article itself
 ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|widget\w*|related|recommend\w*"
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|widget\w*|related|recommend\w*"
     r"|share|sharing|social|cookies?|consent|gdpr|notice|newsletter|subscribe|signup|login|popup|modal|overlay|footer\w*|header\w*"
     r"|masthead|topbar|toolbar|comments?|commentlist|disqus|respond|reply|replies|pagination|pager|search|copyright|legal"
-    r"|contentinfo|complementary|navigation|alert|dialog)(?:$|[\s_-])",
-    re.I,
+    r"|contentinfo|complementary|navigation|alert|dialog)"
 )
-MAIN_WORDS = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|main|content|body|text)(?:$|[\s_-])", re.I)
+MAIN_WORDS = re.compile(r"article\w*|post|entry|story|main|content|body|text")
+#: words that name no part of a page, before or behind those that do
+PLACE_WORDS = frozenset("site page top bottom global primary secondary".split())
+BOX_WORDS = frozenset("area bar block box buttons container form inner items links list section wrap wrapper".split())
 
 FEATURES = (
     "words", "links", "before_words", "before_links", "after_words", "after_links", "aside", "article", "heading",
@@ -169,12 +171,50 @@ def classified(tree, block: tuple) -> int:
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)", re.S
 )
-_HINT = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _SPACE = re.compile(r"\s+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW_TAGS}
 
 
+@lru_cache(4096)
+def token_kind(token: str) -> str:
+    """What one class, id or role says: aside (one word), part (a compound such as post-comments), main, header or nothing.
+
+    A compound stands aside by its last word, and only if the words before it
+    are such words too, places or parts of the article: site-footer, but neither
+    has-sidebar nor category-social.
+    """
+    words = [w for w in re.split(r"[_-]+", token) if w]
+    if len(words) == 1 or ASIDE_WORDS.fullmatch(token):
+        alone = words[0] if len(words) == 1 else token
+        if ASIDE_WORDS.fullmatch(alone):
+            return "header" if alone.startswith("header") else "aside"
+        return "main" if MAIN_WORDS.fullmatch(alone) else ""
+    main = any(map(MAIN_WORDS.fullmatch, words))
+    named = list(words)
+    while len(named) > 1 and named[-1] in BOX_WORDS:
+        named.pop()
+    of_page = all(ASIDE_WORDS.fullmatch(w) or MAIN_WORDS.fullmatch(w) or w in PLACE_WORDS for w in named)
+    # content-sidebar-wrap holds both
+    if of_page and ASIDE_WORDS.fullmatch(named[-1]) and (len(named) == len(words) or not main):
+        return ("main" if main else "header") if named[-1].startswith("header") else "part"
+    return "main" if main else ""
+
+
+@lru_cache(4096)
+def said(attributes: str) -> tuple[bool, frozenset[str]]:
+    """Whether an element is hidden, and the kinds of its class, id, role and itemprop tokens."""
+    hidden, kinds = False, set()
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in ("class", "id", "role", "itemprop"):
+            kinds.update(map(token_kind, value.lower().split()))
+        elif name == "hidden" or name == "style" and _UNSEEN.search(value) or name == "aria-hidden" and value.strip().lower() == "true":
+            hidden = True
+    return hidden, frozenset(kinds)
+
+
 class Blocks:
     """Collects the blocks of one page: (text, words, link density, aside, article, heading)."""
 
@@ -217,17 +257,19 @@ class Blocks:
             self.in_link += 1
         elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self.heading = 1
-        hints = " ".join(next(filter(None, m.groups()), "") for m in _HINT.finditer(attributes)) if attributes else ""
         if tag in ("article", "main"):
             self.article += 1
         elif tag in ASIDE_TAGS or tag == "header" and not self.article:
             self.aside += 1
         if attributes and tag not in ("main", "body", "html"):
-            word = ASIDE_WORDS.search(hints)
-            own = word and word[1][:6].lower() == "header" and (self.article or MAIN_WORDS.search(hints))
-            if _HIDDEN.search(attributes) or word and not own:
+            hidden, kinds = said(attributes)
+            main = "main" in kinds
+            own = "header" in kinds and (self.article or main)
+            # an article, or what is named as one, stands aside by a whole word only
+            part = "part" in kinds and tag != "article" and not main
+            if hidden or "aside" in kinds or part or "header" in kinds and not own:
                 self.aside += 1
-            elif hints and MAIN_WORDS.search(hints) and tag in ("div", "section", "td"):
+            elif main and tag in ("div", "section", "td"):
                 self.article += 1
 
     def close(self, tag: str, within: tuple = ()) -> None:

@@ -42,6 +42,31 @@ def test_main_text(name):
     assert main_text(page)[0] == expected
 
 
+WRAPPERS = [
+    "<article class='post category-social'>{}</article>", "<article class='post has-post-thumbnail no-sidebar tag-ads'>{}</article>",
+    "<div class='content has-sidebar'>{}</div>", "<div class='entry tag-legal'>{}</div>", "<div id=page class='with-sidebar'><article>{}</article></div>",
+    "<div class='content-sidebar-wrap'>{}</div>", "<section title='a hidden gem'>{}</section>", "<article data-note='display:none' data-role=menu>{}</article>",
+    "<div style='overflow: hidden ;'>{}</div>", "<article aria-hidden=false>{}</article>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_an_article_is_not_lost_by_one_word_of_its_attributes(wrapper):
+    page = f"<nav><a href=a>Home</a></nav>{wrapper.format(f'<h1 title="what is hidden here">Title</h1><p>{LONG}</p>')}<footer>End</footer>"
+    assert main_text(page)[0] == f"Title\n\n{LONG}"
+
+
+ASIDES = [
+    "class=comment", "class='post-comments'", "class='site-footer'", "id=cookie-notice", "class='widget box'", "class='main-nav'", "class='share-buttons'",
+    "hidden", "style='color: red; display:none'", "style='visibility:hidden'", "aria-hidden='true'", "role=dialog", "class='Sidebar'", "class='nav_menu'",
+]
+
+
+@pytest.mark.parametrize("attribute", ASIDES)
+def test_what_stands_aside_is_still_left_out(attribute):
+    assert main_text(f"<article><p>{LONG}</p><div {attribute}><p>{LONG} aside</p></div></article>")[0] == LONG
+
+
 def test_blocks_know_links_and_containers():
     found = blocks("<nav><a href=x>a b</a> c</nav><p>d <a>e</a></p><h2>f</h2>")
     assert [(b[0], b[1], round(b[2], 2), b[3], b[5]) for b in found] == [("a b c", 3, 0.67, 1, 0), ("d e", 2, 0.5, 0, 0), ("f", 1, 0.0, 0, 1)]
