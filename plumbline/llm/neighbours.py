@@ -141,6 +141,8 @@ def nearest(
     table without queries gives no rows.
     """
     good = usable(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")).where("vec_id is not null")
+    # rows that repeat an id and vector are one before anything is counted or placed
+    good = kept(good.groupBy("vec_id", "embedding").agg(F.count("*").alias("copies")).drop("copies"), "vectors")
     kind = good.schema["embedding"].dataType.simpleString()
     forests = {d: Forest(x, trees) for d, x in _sampled(good, sample).items()}
     shared = vectors.sparkSession.sparkContext.broadcast(forests)
@@ -198,14 +200,19 @@ def _ranked(k: int):
             d = key[0].as_py()
             x, ids = _matrix(rows["embedding"].combine_chunks(), d), rows["vec_id"].to_numpy()
             q, names = _matrix(asked["embedding"].combine_chunks(), d), asked["vec_id"].to_numpy()
+            # an id may have several vectors: rows lie by id, and k ids are wanted, not k rows
+            by_id = np.argsort(ids, kind="stable")
+            x, ids = x[by_id], ids[by_id]
+            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
             square = (x**2).sum(1)
             for at in range(0, len(q), 256):
                 some, who = q[at : at + 256], names[at : at + 256]
                 rough = square[None, :] - 2 * some @ x.T
                 rough[who[:, None] == ids[None, :]] = np.inf
+                least = np.minimum.reduceat(rough, starts, axis=1) if len(starts) < len(ids) else rough
                 for i in range(len(some)):
                     row = rough[i]
-                    bound = np.partition(row, k)[k] if len(row) > k else np.inf
+                    bound = np.partition(least[i], k)[k] if len(starts) > k else np.inf
                     near = np.flatnonzero((row <= bound + 1e-9 * (1 + abs(bound))) & (row < np.inf)) if np.isfinite(bound) else np.flatnonzero(row < np.inf)
                     exact = np.sqrt(((x[near] - some[i]) ** 2).sum(1))
                     first = np.lexsort((ids[near], exact))

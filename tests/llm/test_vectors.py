@@ -88,6 +88,22 @@ def test_neighbours_when_all_leaves_are_visited(spark):
     assert np.allclose([f[3] for f in found], [e[3] for e in expected], rtol=1e-14)
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_repeated_ids_take_no_places_of_others(spark, same):
+    r = np.random.default_rng(5)
+    base = r.standard_normal((40, 8))
+    # each row 12 times, or 12 vectors of each id that lie close together; all in one leaf
+    table = [(i, 0, [float(x) for x in np.float32(v + (0 if same or i == 0 else 1e-3 * n))]) for i, v in enumerate(base) for n in range(12)]
+    got = sorted(map(tuple, K.nearest(spark.createDataFrame(table, SCHEMA), "vec_id = 0", 10, sample=5, visited=99).collect()))
+    q = np.float32(base[0]).astype("f8")
+    least = {}
+    for i, _, v in table[12:]:
+        least[i] = min(least.get(i, INF), float(np.sqrt(((np.array(v) - q) ** 2).sum())))
+    expected = sorted((s, i) for i, s in least.items())[:10]
+    assert [(g[1], g[2]) for g in got] == [(n + 1, i) for n, (_, i) in enumerate(expected)]
+    assert np.allclose([g[3] for g in got], [s for s, _ in expected], rtol=1e-12)
+
+
 def test_recall_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(K, "LEAF_ROWS", 60)
     monkeypatch.setattr(K, "LEAF_QUERIES", 3)
