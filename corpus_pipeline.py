@@ -26,16 +26,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, that with the smallest id.
 
-    Documents without words have no near copies and stay.  Of rows that repeat
-    an id one stays; rows without id stay where no row of their component has one.
+    Where several texts of a component have that id, or none has an id, the one
+    with the smallest hash stays.  Documents without words have no near copies
+    and stay.  Of rows that repeat an id and text one stays; rows that have
+    neither an id nor words all stay.
     """
     docs = docs.select(*COLUMNS)
-    told = ngram_join.joined(docs)
-    stay = told.where("doc_id is not null and doc_id = component_id").select("doc_id", F.lit(True).alias("_stay")).distinct()
-    numbered = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
-    once = numbered.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")).select("doc_id", "r.*")
-    nameless = docs.where("doc_id is null").select(*COLUMNS)
-    return once.select(*COLUMNS).unionByName(nameless)
+    told = ngram_join.rooted(docs)
+    name = [F.col("doc_id").isNull().alias("_none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id")]
+    key = ["_none", "_id", "text_hash"]
+    first = told.where("root is not null").groupBy("root").agg(F.min(F.struct(*name, "text_hash")).alias("r")).select("r.*", F.lit(False).alias("_bare"))
+    bare = told.where("root is null").select(*name, "text_hash", F.lit(True).alias("_bare")).distinct()
+    stay = docs.select(*COLUMNS, *name, F.xxhash64("text").alias("text_hash")).join(first.unionByName(bare), key)
+    once = stay.where("not (_none and _bare)").groupBy(*key).agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")
+    return once.unionByName(stay.where("_none and _bare").select(*COLUMNS))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -514,17 +514,22 @@ def joined(docs: DataFrame) -> DataFrame:
     of a component are null.  An empty table gives no rows.  Other columns than
     ``doc_id`` and ``text`` are not read.
     """
-    docs = docs.select("doc_id", "text")
-    sets = kept(shingle_sets(docs), "sets")
-    roots = components(docs, sets)
-    rows = sets.select("doc_id", "n_shingles", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "fp"))
+    rows = rooted(docs)
     names = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows.join(names, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def rooted(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, text_hash, n_shingles, root``; rows of one component share a root, empty sets have none."""
+    docs = docs.select("doc_id", "text")
+    sets = kept(shingle_sets(docs), "sets")
+    roots = components(docs, sets)
+    rows = sets.select("doc_id", "text_hash", "n_shingles", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return rows.select("doc_id", "text_hash", "n_shingles", F.coalesce("root", "fp").alias("root"))
+
+
 def components(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, root) of every class of equal sets that has a link to another."""
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0

@@ -103,6 +103,14 @@ def test_all_stages_but_the_last_keep_the_columns(staged):
         assert list(staged[name].columns) == list(corpus_pipeline.COLUMNS)
 
 
+def test_one_text_of_each_component_stays(spark, docs):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(5, a), (7, a + " end"), (7, b), (8, c), (8, d), (8, d), (None, d), (None, "z " + d[::-1]), (None, "z " + d[::-1]), (9, None), (None, ""), (None, "")]
+    got = corpus_pipeline.drop_near_copies(spark, docs(*rows), SF).select("doc_id", "text").collect()
+    expected = [(5, a), (7, b), (8, c), (8, d), (None, "z " + d[::-1]), (9, None), (None, ""), (None, "")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+
+
 def test_stages_take_empty_and_odd_tables(spark, docs):
     from corpus_pipeline import STAGES
 
