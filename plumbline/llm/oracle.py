@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import mixing, near_vectors, secret_scan, warc
+from plumbline.llm import mixing, near_vectors, ranked_search, secret_scan, warc
 
 _DOCS = "SELECT doc_id, coalesce(text, '') AS t FROM documents"
 
@@ -105,10 +105,33 @@ def _near_vectors() -> str:
         FROM e LEFT JOIN links ON links.node = e.vec_id LEFT JOIN roots ON roots.node = e.vec_id"""
 
 
+def _ranked_search() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    term = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+    def terms(table: str, key: str) -> str:
+        return f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{term}') AS t FROM {table}"
+
+    return f"""
+        WITH d AS (SELECT doc_id, t, len(t) AS n FROM ({terms("documents", "doc_id")}) WHERE len(t) > 0),
+        whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+        q AS (SELECT DISTINCT item_id, unnest(t) AS term FROM ({terms("benchmark", "item_id")})),
+        tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM d)
+               WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, docs),
+        parts AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * ({100 - ranked_search.LENGTH_SHARE} + ({ranked_search.LENGTH_SHARE} * n * docs) // terms))) AS part
+                  FROM tf JOIN w USING (term), whole),
+        scores AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN parts USING (term) GROUP BY item_id, doc_id),
+        ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+                   FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {ranked_search.BEST}"""
+
+
 ORACLE = {
     "op1_secret_scan": _secret_scan(),
     "op3_ngram_join": _ngram_join(),
     "op4_warc": _warc(),
     "op7_near_vectors": _near_vectors(),
     "op10_mixing": _mixing(),
+    "op11_ranked_search": _ranked_search(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, secret_scan, site_quality, toxicity, warc
+from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, ranked_search, secret_scan, site_quality, toxicity, warc
 from plumbline.llm.tables import table
 
 
@@ -55,6 +55,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.places(packing.sequences(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_text": op2_html_text,
@@ -66,4 +70,5 @@ QUERIES = {
     "op8_site_quality": op8_site_quality,
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
+    "op11_ranked_search": op11_ranked_search,
 }

@@ -27,3 +27,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+#: bytes of an Arrow batch on its way to a Python worker; a text that is longer travels alone
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker is handed at once by bytes, not by rows alone.
+
+    A session that has a bound of its own keeps it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # Spark's own
+        spark.conf.set(name, f"{BATCH_BYTES}b")
