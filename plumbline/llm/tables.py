@@ -14,14 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the folder all executors share, and read from there.
 
     A lost executor then costs a file read, not a new run of what came before.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
