@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import mixing, near_vectors, ranked_search, secret_scan, warc
+from plumbline.llm import mixing, near_vectors, prefix_trie, ranked_search, secret_scan, warc
 
 _DOCS = "SELECT doc_id, coalesce(text, '') AS t FROM documents"
 
@@ -127,6 +127,34 @@ def _ranked_search() -> str:
         SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {ranked_search.BEST}"""
 
 
+def _prefix_trie() -> str:
+    # crc32 of the digits: each byte is mixed in and then shifted out bit by bit
+    steps = "flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"""xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {steps}),
+              lambda a, o: CASE WHEN o >= 0 THEN xor(a, o) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+    path = "array_to_string(t[1:{}], ',')"
+    return f"""
+        WITH e AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (SELECT *, sha256(length(role) || ':' || role || text) AS digest FROM e),
+        o AS (SELECT conv_id, digest, length(text) AS size,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substr(text, 1, {prefix_trie.ORDERED_BY}), digest) AS pos FROM k),
+        c AS (SELECT c, {crc} % {prefix_trie.HEADS} AS h FROM (SELECT DISTINCT conv_id AS c FROM o)),
+        r AS (SELECT c, 0 AS own, pos, digest, size FROM c JOIN o ON conv_id = c - c % {prefix_trie.GROUP} AND pos <= h
+              UNION ALL SELECT c, 1, pos, digest, size FROM c JOIN o ON conv_id = c AND pos > h),
+        s AS (SELECT c.c, coalesce(list(digest ORDER BY own, pos) FILTER (pos IS NOT NULL), []) AS t,
+              coalesce(list(size ORDER BY own, pos) FILTER (pos IS NOT NULL), []) AS z FROM c LEFT JOIN r ON r.c = c.c GROUP BY c.c),
+        m AS (SELECT c, t, z, unnest(range(0, len(t) + 1)) AS d FROM s),
+        n AS (SELECT {path.format("d")} AS p, d, min(c) AS conv_id, count(*) AS n_convs, any_value(t[1:d]) AS t, coalesce(any_value(z[d]), 0) AS size,
+              sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(t) = d), '')) AS ends_sha256 FROM m GROUP BY p, d),
+        kids AS (SELECT {path.format("d - 1")} AS p, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+        f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (p, d)),
+        below AS (SELECT {path.format("a")} AS p, a AS d, CAST(sum((n_convs - 1) * size) AS BIGINT) AS saved_tokens,
+                  count(*) FILTER (n_children = 0) AS n_leaves
+                  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM f) GROUP BY 1, 2)
+        SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+        FROM f JOIN below USING (p, d) LEFT JOIN f up ON f.d > 0 AND up.d = f.d - 1 AND up.p = array_to_string(f.t[1:f.d - 1], ',')"""
+
+
 ORACLE = {
     "op1_secret_scan": _secret_scan(),
     "op3_ngram_join": _ngram_join(),
@@ -134,4 +162,5 @@ ORACLE = {
     "op7_near_vectors": _near_vectors(),
     "op10_mixing": _mixing(),
     "op11_ranked_search": _ranked_search(),
+    "op12_prefix_trie": _prefix_trie(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, ranked_search, secret_scan, site_quality, toxicity, vector_packing, warc
+from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, prefix_trie, ranked_search, secret_scan, site_quality, toxicity, vector_packing, warc
 from plumbline.llm.tables import table
 
 
@@ -59,6 +59,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.places(vector_packing.sequences(table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -75,5 +79,6 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
     "op11_ranked_search": op11_ranked_search,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_vector_packing": op13_vector_packing,
 }
