@@ -58,8 +58,10 @@ def _escaped(ch: str) -> str:
     return f"\\u{ord(ch):04x}" if ord(ch) < 0x10000 else f"\\U{ord(ch):08x}"
 
 
-def number_literal(value: float) -> str:
-    return f"double({text_literal(repr(float(value)))})"
+def number_literal(value: float, kind: T.DataType | None = None) -> str:
+    """A double, or a float for a column of that type, whose values are no nearer to the number."""
+    name = "float" if isinstance(kind, T.FloatType) else "double"
+    return f"{name}({text_literal(repr(float(value)))})"
 
 
 def exact_literal(value: Decimal) -> str | None:
@@ -72,9 +74,11 @@ def beyond(c: str, kind: T.DataType, bound: Decimal | float, above: bool) -> str
     """A value over the bound (``above``) or under it; null where no value can be.
 
     Whole and decimal columns are compared as they are, so large values stay exact and
-    the comparison reaches the file scan; text and fractions are compared as doubles.
+    the comparison reaches the file scan; fractions are compared in their own type, text as doubles.
     """
     sign = ">" if above else "<"
+    if isinstance(kind, T.FloatType):
+        return f"{present(c, kind)} {sign} {number_literal(float(bound), kind)}"
     if not (is_integral(kind) or isinstance(kind, T.DecimalType)):
         return f"{as_number(c, kind)} {sign} {number_literal(float(bound))}"
     exact = Decimal(str(bound))
@@ -297,7 +301,7 @@ def outside(c: str, kind: T.DataType, allowed: Iterable[Any]) -> str:
         value, listed = c, [t for t in map(exact_literal, exact) if t]
     elif is_numeric(kind):
         numbers = [f for f in map(_float_or_none, texts) if f is not None]
-        value, listed = f"cast({c} as double)", [number_literal(f) for f in numbers]
+        value, listed = c, [number_literal(f, kind) for f in numbers]
     else:
         value, listed = as_text(c, kind), [text_literal(t) for t in texts]
     if not listed:
@@ -337,8 +341,10 @@ def same_footing(
     if exact is not None:
         name = exact.simpleString()
         return f"cast({left} as {name})", exact, f"cast({right} as {name})"
-    if is_numeric(left_kind) and is_numeric(right_kind):
+    if is_fractional(left_kind) and is_fractional(right_kind):
         return as_number(left, left_kind), T.DoubleType(), as_number(right, right_kind)
+    if is_numeric(left_kind) and is_numeric(right_kind):
+        return exact_text(left, left_kind), T.StringType(), exact_text(right, right_kind)
     if is_moment(left_kind) and is_moment(right_kind):
         return as_timestamp(left, left_kind), T.TimestampType(), as_timestamp(right, right_kind)
     text = T.StringType()
@@ -346,6 +352,33 @@ def same_footing(
     return groupable(left_text, text), text, groupable(right_text, text)
 
 
+def exact_text(c: str, kind: T.DataType) -> str:
+    """A number in plain digits, the same for equal numbers of any type.
+
+    For types without a common one: decimals of more than 38 digits together, and
+    fractions beside whole numbers or decimals.  A fraction that is whole has all its
+    digits, another one the shortest decimal that stands for it.
+    """
+    if is_integral(kind):
+        return f"cast({c} as string)"
+    if isinstance(kind, T.DecimalType):
+        return _plain_digits(c, kind.scale)
+    number = present(c, kind)
+    near = f"try_cast({number} as decimal(38,18))"
+    shortest = f"if(cast({near} as {kind.simpleString()}) = {number}, {_plain_digits(near, 18)}, cast({number} as string))"
+    whole = f"cast(coalesce(try_cast({number} as bigint), try_cast({number} as decimal(38,0))) as string)"
+    return f"if(rint({number}) = {number} and abs({number}) < 1e38D, {whole}, {shortest})"
+
+
+def _plain_digits(c: str, scale: int) -> str:
+    """All digits of a decimal, without grouping, and without zeros behind the last one that counts."""
+    digits = f"translate(format_number({c}, {scale}), ',', '')"
+    return f"regexp_replace({digits}, {_pattern(NO_FRACTION)}, '')" if scale else digits
+
+
+NO_FRACTION = r"([.]0+|(?<=[.][0-9]{0,38}[1-9])0+)$"
+
+
 def _common_decimal(left: T.DataType, right: T.DataType) -> T.DecimalType | None:
     """A decimal that holds every value of two whole or decimal types, if 38 digits are enough."""
     digits = scale = 0

@@ -232,6 +232,37 @@ def test_large_whole_numbers_and_decimals_are_compared_exactly(spark):
     assert run(spark, frames, "referential_integrity", **parts)[1]["failed"] == 1
 
 
+def test_floats_are_compared_as_floats(spark):
+    frames = {"d": spark.sql("select cast(x as float) as f from values ('0.1'), ('0.2'), ('NaN'), (null) t(x)")}
+    assert run(spark, frames, "domain", column="f", allowed_values=[0.1, 0.2])[0] == "pass"
+    assert run(spark, frames, "domain", column="f", allowed_values=[0.1])[1]["top_invalid_values"] == {"0.2": 1}
+    assert run(spark, frames, "range", column="f", min=0.1, max=0.2)[1]["failed"] == 2
+    assert run(spark, frames, "range", column="f", min=0.15, max=1e300)[1]["failed"] == 3
+
+
+WIDE = [
+    ("decimal(38,0)", "9007199254740993", "decimal(38,20)", "9007199254740992"),
+    ("decimal(38,0)", "9007199254740993", "decimal(38,10)", "9007199254740992"),
+    ("bigint", "9007199254740993", "double", "9007199254740992"),
+    ("double", "0.5", "bigint", "0"),
+    ("decimal(38,20)", "0.00000000000000000001", "double", "0"),
+    ("double", "1e20", "decimal(38,0)", "100000000000000000001"),
+]
+
+
+@pytest.mark.parametrize("child, value, parent, other", WIDE)
+def test_numbers_without_a_common_type_are_told_apart(spark, child, value, parent, other):
+    def made(kind, *texts):
+        return spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(f"cast(t as {kind}) as n")
+
+    parts = {"child_column": "n", "parent_dataset": "parent", "parent_column": "n"}
+    frames = {"d": made(child, value, None), "parent": made(parent, other, None)}
+    assert run(spark, frames, "referential_integrity", **parts)[1]["failed"] == 1
+    equal = other if child in ("bigint", "decimal(38,0)") or value == "0.5" else "100000000000000000000" if value == "1e20" else "0"
+    frames = {"d": made(child, equal, "-7"), "parent": made(parent, equal, "-7", "5")}
+    assert run(spark, frames, "referential_integrity", **parts)[0] == "pass"
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
 def test_moments_do_not_depend_on_the_zone_of_the_session(spark, zone):
     held = spark.conf.get("spark.sql.session.timeZone")

@@ -119,6 +119,10 @@ def _checks() -> dict[str, str]:
             ("D001", "count(*) filter (where key not between 1 and 99)", keys),
             ("U001", "count(*) - count(distinct key)", keys),
             ("K001", f"count(*) filter (where key not in {odd})", keys),
+            ("R003", "count(*) filter (where p_size > 25)", "part"),
+            ("D002", "count(*) filter (where p_size > 25)", "part"),
+            ("K002", "count(*) filter (where key % 2 = 1)", keys),
+            ("K003", "count(*) filter (where key % 2 = 1)", keys),
         )
     )
 

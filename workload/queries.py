@@ -409,7 +409,11 @@ LARGE = 1_234_567_890_120_000_000
 
 
 def check_exact_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys of 19 digits through CSV, range, domain, and a reference from bigint to decimal."""
+    """Keys of 19 digits through CSV, range, domain, and a reference from bigint to decimal.
+
+    Then tenths as floats, and references between numbers without a common type: decimals
+    that take more than 38 digits together, and bigint to double above 2 ** 53.
+    """
     path = _new_folder(spark)
     orders = D.table(spark, folder, "orders")
     keys = orders.select((F.col("o_orderkey") + F.lit(LARGE)).alias("key"))
@@ -428,7 +432,20 @@ def check_exact_numbers(spark: SparkSession, folder: str) -> DataFrame:
     )
     own = RuleSet("keys", 1, tuple(r for r in rules if r.rule_id != "R002"))
     parent = RuleSet("odd", 1, tuple(r for r in rules if r.rule_id == "R002"))
-    return R.measure(spark, [own, parent], datasets, D.AS_OF).select("rule_id", "status", "failed", "total")
+    datasets["tenths"] = D.table(spark, folder, "part").selectExpr("cast(p_size / 10 as float) as tenth")
+    tenths = RuleSet("tenths", 1, (
+        Rule("R003", "range", "low", {"column": "tenth", "min": 0.1, "max": 2.5}),
+        Rule("D002", "domain", "low", {"column": "tenth", "allowed_values": [n / 10 for n in range(1, 26)]}),
+    ))
+    above = orders.selectExpr(f"o_orderkey + {2**53} as n")
+    datasets["above"] = above.selectExpr("n", "cast(n as decimal(38,0)) as wide")
+    datasets["even"] = above.where("n % 2 = 0").selectExpr("cast(n as double) as n", "cast(n as decimal(38,20)) as wide")
+    references = RuleSet("above", 1, tuple(
+        Rule(rule_id, "referential_integrity", "low", {"child_column": column, "parent_dataset": "even", "parent_column": column})
+        for rule_id, column in (("K002", "n"), ("K003", "wide"))
+    ))
+    measured = R.measure(spark, [own, parent, tenths, references], datasets, D.AS_OF)
+    return measured.select("rule_id", "status", "failed", "total")
 
 
 def sink_results(spark: SparkSession, folder: str) -> DataFrame:
