@@ -45,7 +45,7 @@ from plumbline.model import (
 )
 from plumbline.operators import value_counts as C
 from plumbline.operators.checks import Check, Clock, Grouping, compile_rule
-from plumbline.sources.sinks import append_samples, sample_folder, write_results
+from plumbline.sources.sinks import append_results, append_samples, begin_run, sample_folder
 
 # Aggregates per scan; more rules than this are measured in several scans, to keep
 # generated code compilable.
@@ -491,9 +491,9 @@ def execute(
 
     Only one small row per rule reaches the driver.  Should the data make a joint plan
     fail, its rules are run by halves, and a rule that fails alone becomes an error row;
-    other faults end the run.  Results are written before samples, and a rule whose rows
-    cannot be sampled loses its own sample only.  A run id that is already there is
-    replaced, with its samples; without one a new id is made.
+    other faults end the run.  A rule whose rows cannot be sampled loses its own sample
+    only.  A run id that is already there is replaced when results and samples are all
+    written, and stays as it was if the run ends before; without an id a new one is made.
     """
     run_id = run_id or new_run_id()
     clock = Clock.at(as_of)
@@ -504,17 +504,16 @@ def execute(
         for m in measured
         if m["status"] == "fail" and m["rule_type"] in SAMPLED_TYPES and m["failed"]
     ]
+    written = begin_run(spark, results_dir, run_id) if results_dir else None
     rows = []
     for m in sorted(measured, key=lambda m: m["seq"]):
         ref = None
-        if results_dir and m["seq"] in failing:
-            ref = sample_folder(results_dir, run_id, m["dataset_id"], m["rule_id"])
+        if written and m["seq"] in failing:
+            ref = sample_folder(written, m["dataset_id"], m["rule_id"])
         rows.append({**m, "run_id": run_id, "sample_ref": ref})
     fields = [f.name for f in RESULTS_SCHEMA.fields]
     table = spark.createDataFrame([tuple(r[f] for f in fields) for r in rows], RESULTS_SCHEMA)
     table = table.select(*RESULT_COLUMNS, "seq")
-    if results_dir:
-        write_results(table, results_dir, run_id)
 
     def bad_rows(some: list[int]) -> DataFrame:
         found = sample(planned, datasets, some, order_by, max_samples)
@@ -522,7 +521,7 @@ def execute(
 
     def write_samples(some: list[int]) -> None:
         try:
-            append_samples(bad_rows(some), results_dir)
+            append_samples(bad_rows(some), written)
         except EVALUATION_ERRORS as problem:
             if len(some) == 1:
                 warnings.warn(f"no sample of rule {some[0]}: {_condition(problem)}", stacklevel=2)
@@ -530,8 +529,11 @@ def execute(
                 if len(some) > 1:
                     write_samples(half)
 
-    if failing and results_dir:
-        write_samples(failing)
+    if written:
+        append_results(table, written)
+        if failing:
+            write_samples(failing)
+        written.commit()
     return Run(run_id, table, bad_rows(failing) if failing else None)
 
 

@@ -6,47 +6,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.model import RESULT_COLUMNS, RESULTS_SCHEMA, RULES_SCHEMA, SAMPLES_SCHEMA
+from plumbline.sources.generations import Generation, begin, folder_of, read_committed, take_number, vacuum
 
+RUN_TABLES = ("rule_results", "bad_samples")
 
-# Characters that Spark writes as %XX in the name of a partition's folder.
-ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | {chr(n) for n in range(1, 32)}
 
+def begin_run(spark: SparkSession, results_dir: str, run_id: str) -> Generation:
+    """A place for everything a run writes; readers see it when it is committed, and not before.
 
-def _folder(column: str, value: str) -> str:
-    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+    A run id that is already there is replaced at that moment, its samples included.
+    """
+    return begin(spark, results_dir, "run_id", run_id)
 
 
-def sample_folder(results_dir: str, run_id: str, dataset_id: str, rule_id: str) -> str:
+def sample_folder(run: Generation, dataset_id: str, rule_id: str) -> str:
     """Where the bad rows of one rule of a run are."""
-    parts = [_folder("run_id", run_id), _folder("dataset_id", dataset_id), _folder("rule_id", rule_id)]
-    return "/".join([f"{results_dir}/bad_samples", *parts])
+    return "/".join([run.folder("bad_samples"), folder_of("dataset_id", dataset_id), folder_of("rule_id", rule_id)])
 
 
-def _clear(spark: SparkSession, folder: str) -> None:
-    """Remove what an earlier run of the same id has left."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def append_results(results: DataFrame, run: Generation) -> None:
+    """Result rows of a run, one folder per dataset."""
+    run.append(results, "rule_results", "dataset_id")
 
 
-def write_results(results: DataFrame, results_dir: str, run_id: str) -> None:
-    """The result rows of one run in the place of any it had before, its samples included."""
-    for table in ("rule_results", "bad_samples"):
-        _clear(results.sparkSession, f"{results_dir}/{table}/{_folder('run_id', run_id)}")
-    append_results(results, results_dir)
+def append_samples(samples: DataFrame, run: Generation) -> None:
+    """Bad-row samples, one folder per rule; the sample itself is a JSON payload."""
+    run.append(samples, "bad_samples", "dataset_id", "rule_id")
 
 
-def append_results(results: DataFrame, results_dir: str) -> None:
-    """Result rows of a run, one folder per run and dataset."""
-    results.write.mode("append").partitionBy("run_id", "dataset_id").parquet(
-        f"{results_dir}/rule_results"
-    )
+def write_results(results: DataFrame, results_dir: str, run_id: str) -> None:
+    """The result rows of one run, without samples, in the place of all it had before."""
+    run = begin_run(results.sparkSession, results_dir, run_id)
+    append_results(results, run)
+    run.commit()
 
 
-def append_samples(samples: DataFrame, results_dir: str) -> None:
-    """Bad-row samples, one folder per rule; the sample itself is a JSON payload."""
-    samples.write.mode("append").partitionBy("run_id", "dataset_id", "rule_id").parquet(
-        f"{results_dir}/bad_samples"
-    )
+def vacuum_runs(spark: SparkSession, results_dir: str) -> int:
+    """Remove what repeated runs have replaced."""
+    return vacuum(spark, results_dir, "run_id", RUN_TABLES)
 
 
 def append_summary(summary: DataFrame, results_dir: str) -> None:
@@ -73,18 +70,37 @@ def append_audit(decisions: DataFrame, registry_dir: str) -> None:
     decisions.write.mode("append").parquet(f"{registry_dir}/proposal_audit")
 
 
+def publish_rules(rules: DataFrame, registry_dir: str) -> DataFrame:
+    """Write rule sets under version numbers that no other writer has, and return them.
+
+    A dataset's version is the one its rules ask for or, if that is taken, the next that is
+    free: a number is taken by a marker that only one writer can create.  A writer that
+    dies leaves a gap.  There is one marker, and one small row on the driver, per rule set.
+    """
+    spark = rules.sparkSession
+    asked = rules.groupBy("dataset_id").agg(F.max("ruleset_version").alias("asked")).collect()
+    taken = [
+        (r["dataset_id"], take_number(spark, f"{registry_dir}/_versions/{folder_of('dataset_id', r['dataset_id'])}", r["asked"] or 1))
+        for r in asked
+    ]
+    numbers = spark.createDataFrame(taken, "dataset_id string, __number int")
+    numbered = rules.join(numbers, "dataset_id").withColumn("ruleset_version", F.col("__number"))
+    published = numbered.select(*RULES_SCHEMA.names)
+    append_rules(published, registry_dir)
+    return published
+
+
 def read_results(spark: SparkSession, results_dir: str, run_id: str | None = None) -> DataFrame:
-    """Result rows of all runs, or of one run over all its datasets.
+    """Result rows of all committed runs, or of one run over all its datasets.
 
     The declared schema keeps ids that look like numbers as text.
     """
-    table = spark.read.schema(RESULTS_SCHEMA).parquet(f"{results_dir}/rule_results")
-    table = table.select(*RESULT_COLUMNS, "seq")
-    return table if run_id is None else table.where(F.col("run_id") == run_id)
+    table = read_committed(spark, results_dir, "rule_results", "run_id", RESULTS_SCHEMA, run_id)
+    return table.select(*RESULT_COLUMNS, "seq")
 
 
-def read_samples(spark: SparkSession, results_dir: str) -> DataFrame:
-    return spark.read.schema(SAMPLES_SCHEMA).parquet(f"{results_dir}/bad_samples")
+def read_samples(spark: SparkSession, results_dir: str, run_id: str | None = None) -> DataFrame:
+    return read_committed(spark, results_dir, "bad_samples", "run_id", SAMPLES_SCHEMA, run_id)
 
 
 def read_rules(spark: SparkSession, registry_dir: str) -> DataFrame:

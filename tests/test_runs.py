@@ -12,6 +12,7 @@ from plumbline.model import RESULT_COLUMNS, Rule, RuleSet
 from plumbline.operators import report as P
 from plumbline.operators.checks import Clock
 from plumbline.plans import ruleset_run as R
+from plumbline.operators.merging import stamp_version
 from plumbline.sources import sinks
 from plumbline.sources.registry import rules_table, load_rulesets
 
@@ -86,7 +87,7 @@ def test_execute_writes_results_and_samples(spark, datasets, rulesets, tmp_path)
     assert all(r["started_at"] <= r["finished_at"] and r["execution_ms"] >= 0 for r in rows)
     refs = {(r["dataset_id"], r["rule_id"]): r["sample_ref"] for r in rows}
     assert refs["facts", "C001"] is None and refs["facts", "S001"] is None
-    assert refs["facts", "R001"].endswith("bad_samples/run_id=007/dataset_id=facts/rule_id=R001")
+    assert refs["facts", "R001"].endswith("bad_samples/run_id=007/generation=1/dataset_id=facts/rule_id=R001")
     samples = sinks.read_samples(spark, base).where("dataset_id = 'facts' and rule_id = 'R001'")
     payloads = [json.loads(r["payload"]) for r in samples.orderBy("position").collect()]
     assert [p["id"] for p in payloads] == [100, 101, 102, 103, 104]
@@ -108,6 +109,56 @@ def test_a_run_id_that_is_there_is_replaced(spark, datasets, rulesets, tmp_path)
         assert spark.read.parquet(ref).count() == 3
 
 
+def test_a_run_that_dies_leaves_the_old_one(spark, datasets, rulesets, tmp_path, monkeypatch):
+    base = str(tmp_path / "out")
+    R.execute(spark, "r", rulesets, datasets, base, AS_OF, max_samples=3)
+
+    def state():
+        results = sinks.read_results(spark, base, "r").orderBy("seq").collect()
+        return results, sinks.read_samples(spark, base, "r").orderBy("dataset_id", "rule_id", "position").collect()
+
+    before = state()
+
+    def die(*args):
+        raise RuntimeError("driver lost")
+
+    for step in ("append_samples", "append_results"):
+        with monkeypatch.context() as patch:
+            patch.setattr(R, step, die)
+            with pytest.raises(RuntimeError):
+                R.execute(spark, "r", rulesets, datasets, base, AS_OF, max_samples=1)
+        assert state() == before
+    earlier = sinks.read_results(spark, base)  # a frame made before a commit keeps its files
+    R.execute(spark, "r", rulesets, datasets, base, AS_OF, max_samples=1)
+    assert len(state()[1]) < len(before[1]) and len(state()[0]) == earlier.count() == 8
+    assert sinks.vacuum_runs(spark, base) == 3  # two finished folders, and what a dead run left
+    assert len(state()[0]) == 8 and sinks.vacuum_runs(spark, base) == 0
+
+
+def test_of_two_writers_of_a_run_the_later_beginner_counts(spark, tmp_path):
+    base = str(tmp_path / "out")
+    first, second = sinks.begin_run(spark, base, "r"), sinks.begin_run(spark, base, "r")
+    assert (first.number, second.number) == (1, 2)
+    rows = spark.createDataFrame([("r", "d", "one"), ("r", "d", "two")], "run_id string, dataset_id string, rule_id string")
+    sinks.append_results(rows.where("rule_id = 'two'"), second)
+    second.commit()
+    sinks.append_results(rows.where("rule_id = 'one'"), first)
+    first.commit()
+    assert [r["rule_id"] for r in sinks.read_results(spark, base).collect()] == ["two"]
+    assert sinks.read_results(spark, base, "absent").count() == sinks.read_samples(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_two_writers_of_a_registry_get_two_versions(spark, rulesets, tmp_path):
+    base = str(tmp_path / "registry")
+    sinks.append_rules(rules_table(spark, rulesets), base)
+    held = sinks.read_rules(spark, base)
+    made = [stamp_version(rules_table(spark, rulesets), held) for _ in range(2)]  # both before either is written
+    versions = [{(r["dataset_id"], r["ruleset_version"]) for r in sinks.publish_rules(m, base).collect()} for m in made]
+    assert not versions[0] & versions[1] and {d for d, _ in versions[0]} == {d for d, _ in versions[1]}
+    stored = sinks.read_rules(spark, base).groupBy("dataset_id", "ruleset_version", "rule_id").count()
+    assert stored.where("count > 1").count() == 0
+
+
 def test_other_faults_end_a_run(spark, datasets, rulesets, monkeypatch):
     def lost(*args):
         raise RuntimeError("executor lost")

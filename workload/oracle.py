@@ -359,6 +359,7 @@ def _runs() -> dict[str, str]:
       select dataset_id, rule_id, status, {sampled.replace("failed > 0", "coalesce(failed, 0) > 0")} as sampled,
         cast(case when {sampled} then least(100, coalesce(bad, failed)) else 0 end as bigint) as samples
       from run left join groups using (dataset_id, rule_id)"""
+    sql["sink_interrupted_run"] = f"select '{RUN_ID}' as run_id, dataset_id, rule_id, status, samples from ({sql['sink_results']})"
     sql["source_csv"] = """select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey,
         case when c_mktsegment <> 'BUILDING' then c_acctbal end as c_acctbal, c_mktsegment from customer"""
     return sql
@@ -651,6 +652,10 @@ def _profiles() -> dict[str, str]:
       from held_rules join decided using (dataset_id)"""
     sql["registry_current"] = f"""with {ctes}, {judged.format(cap=1)}, {existing}
       select dataset_id, 4 as ruleset_version, 'active' as status, rule_id, rule_type from existing"""
+    versions = "(values (4, 'active'), (5, 'suggested'), (6, 'suggested')) v(ruleset_version, status)"
+    sql["registry_two_writers"] = f"""with {ctes}, {judged.format(cap=1)}, {existing}
+      select dataset_id, ruleset_version, v.status, count(*) as rules, count(distinct rule_id) as rule_ids
+      from existing cross join {versions} group by all"""
     sql["validate_rules"] = f"""with {ctes}, {judged.format(cap=1)}
       select dataset_id, 'X' || lpad(cast(place as varchar), cast(greatest(3, length(cast(place as varchar))) as integer), '0') as rule_id,
         case when kind > 0 then rule_type end as rule_type,

@@ -469,6 +469,31 @@ def sink_results(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sink_interrupted_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that is kept, and a second try of it that never gets to its end: the first is what is read."""
+    base = _new_folder(spark)
+    datasets = D.checked(spark, folder)
+    R.execute(spark, D.RUN_ID, D.RULESETS, datasets, base, D.AS_OF)
+    again = sinks.begin_run(spark, base, D.RUN_ID)
+    sinks.append_results(sinks.read_results(spark, base, D.RUN_ID).limit(1), again)
+    samples = sinks.read_samples(spark, base, D.RUN_ID).groupBy("dataset_id", "rule_id").agg(F.count(F.lit(1)).alias("samples"))
+    read = sinks.read_results(spark, base).join(samples, ["dataset_id", "rule_id"], "left")
+    return read.select("run_id", "dataset_id", "rule_id", "status", F.coalesce("samples", F.lit(0)).alias("samples"))
+
+
+def registry_two_writers(spark: SparkSession, folder: str) -> DataFrame:
+    """Two suggestion runs that both saw the same registry: each rule set gets two new versions."""
+    base = _new_folder(spark)
+    existing = settle(_existing(settle(_profile(spark, folder))))
+    sinks.append_rules(existing, base)
+    held = settle(sinks.read_rules(spark, base))
+    for made in [M.stamp_version(held, held) for _ in range(2)]:
+        sinks.publish_rules(made, base)
+    return sinks.read_rules(spark, base).groupBy("dataset_id", "ruleset_version", "status").agg(
+        F.count(F.lit(1)).alias("rules"), F.count_distinct("rule_id").alias("rule_ids")
+    )
+
+
 def sink_summary(spark: SparkSession, folder: str) -> DataFrame:
     base = _new_folder(spark)
     for _ in range(2):  # a run that is repeated counts once
@@ -824,6 +849,8 @@ QUERIES: dict[str, Query] = {
         run_containment,
         check_exact_numbers,
         sink_results,
+        sink_interrupted_run,
+        registry_two_writers,
         sink_summary,
         sink_suggestions,
         profile_table,
