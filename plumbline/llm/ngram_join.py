@@ -40,6 +40,8 @@ SCREEN = 0.36
 COUNTERS = 1 << 25
 #: lists expected to be longer are dealt to several tasks
 HOT_LIST = 4096
+#: postings that a task gathers before it sends them, and those of a part of the key space on average
+POSTINGS_TOGETHER, POSTINGS_PER_PART = 300_000, 2_000_000
 #: members of a list that wait in one row for those outside its largest component
 BLOCK_MEMBERS = 4096
 #: bits of the filter that keeps texts of no interest where they are
@@ -331,7 +333,9 @@ def meetings(docs: DataFrame, levels: np.ndarray, bound: int) -> DataFrame:
     """What the lists say: pairs of a hub and a member (``list`` null), and the members of longer lists."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(levels)
-    parts = shuffle_width(spark)
+    # a set has about a quarter of its shingles in its prefix
+    shingles = float((np.bincount(levels, minlength=256) * _count_of(np.arange(256))).sum())
+    parts = max(shuffle_width(spark), min(65536, int(shingles / 4 / POSTINGS_PER_PART)))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, packer = shared.value, _Packer(parts)
@@ -341,7 +345,7 @@ def meetings(docs: DataFrame, levels: np.ndarray, bound: int) -> DataFrame:
             for posting in _postings(fp, s, table, bound):
                 packer.add(fp, len(s), *posting)
             packer.docs.append((fp, len(s)))
-            if packer.size > 1_000_000:
+            if packer.size > POSTINGS_TOGETHER:
                 yield packer.flush()
                 packer = _Packer(parts)
         if packer.size:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.ngram_join import Shingler
-from plumbline.llm.tables import kept
+from plumbline.llm.tables import kept, small_batches
 
 #: labelled rows that models are fitted on, by the smallest hashes of their ids
 TRAIN_ROWS = 8000
@@ -149,6 +149,19 @@ def featured(docs: DataFrame, lexicon: dict[str, float], *passed: str) -> DataFr
     return docs.select(*dict.fromkeys([*passed, "text"])).mapInArrow(rows, schema)
 
 
+def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
+    """All columns of every row and ``features``; the text goes to Python one way, nothing else does."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+    @F.arrow_udf("array<double>")
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = Words(shared.value)
+        for some in texts:
+            yield pa.array([features(t.as_py() or "", words) for t in some], pa.list_(pa.float64()))
+
+    return docs.withColumn("features", found("text"))
+
+
 # ------------------------------------------------------------------ fitting
 
 
@@ -200,7 +213,7 @@ def learnt_lexicon(rows: DataFrame) -> dict[str, float]:
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
     if not ones:
         return {}
-    least = max(LEXICON_LEAST, LEXICON_SHARE * ones)
+    least = min(max(LEXICON_LEAST, LEXICON_SHARE * ones), ones)
     of_ones = fit.where("label = 1").select("text").mapInArrow(counted(), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
     frequent = of_ones.where(F.col("n") >= least).orderBy(F.desc("n"), "entry").limit(10 * LEXICON_SIZE).collect()
     keep = rows.sparkSession.sparkContext.broadcast({r["entry"] for r in frequent})
@@ -227,18 +240,31 @@ class Model:
         """The columns ``passed`` and ``score`` of every row."""
         if self.trees is None:
             return docs.select(*passed, F.lit(self.share).alias("score"))
-        told = self.trees.transform(featured(docs, self.lexicon, *passed).withColumn("features", array_to_vector("features")))
+        return self._scored(featured(docs, self.lexicon, *passed), *passed)
+
+    def _scored(self, rows: DataFrame, *passed: str) -> DataFrame:
+        told = self.trees.transform(rows.withColumn("features", array_to_vector("features")))
         raw = told.select(*passed, vector_to_array("probability")[1].alias("raw"))
         told = self.steps.transform(raw)
         score = (1 - FINE) * F.least(F.greatest("prediction", F.lit(0.0)), F.lit(1.0)) + FINE * F.col("raw")
         return told.select(*passed, score.alias("score"))
 
+    def score_beside(self, docs: DataFrame) -> DataFrame:
+        """All columns of every row in ``row``, and ``score``."""
+        whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+        if self.trees is None:
+            return whole.select("row", F.lit(self.share).alias("score"))
+        return self._scored(with_features(whole, self.lexicon).drop("text"), "row")
+
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     rows = kept(labelled(docs, labels, label), "labelled")
     shares = {(r["calibrate"], r["label"]) for r in rows.select("calibrate", "label").distinct().collect()}
-    if not {(False, 0), (False, 1), (True, 0), (True, 1)} <= shares:
+    if not {0, 1} <= {kind for _, kind in shares}:
         return Model({}, share=rows.agg(F.avg("label")).first()[0] or 0.0)
+    if not {(False, 0), (False, 1), (True, 0), (True, 1)} <= shares:
+        # too few of a label for both parts: the trees are fitted and calibrated on all rows
+        rows = rows.withColumn("calibrate", F.explode(F.array(F.lit(False), F.lit(True))))
     lexicon = learnt_lexicon(rows)
     small = kept(featured(rows, lexicon, "label", "calibrate").coalesce(4), "features")
     ready = small.withColumn("features", array_to_vector("features")).cache()
@@ -256,7 +282,8 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null and empty texts have all features 0 and the score that belongs to
     them; repeated rows repeat their score.  A null id is in no held-out fold
-    and never learnt from.  An empty table gives no rows; without labels of
+    and never learnt from.  An empty table gives no rows.  Where a label has too few
+    rows for two parts, the calibration uses the rows of the fit; without labels of
     both kinds every score is the share of toxic rows seen, or 0.
     """
     model = fit(docs, labels)
@@ -265,7 +292,13 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    columns = docs.columns
-    told = fit(docs, labels).score(docs, *columns, *(["text"] if "text" not in columns else []))
-    return told.where(F.col("score") < REJECT).select(*columns)
+    """The rows of ``docs`` that are not predicted toxic, with all their columns.
+
+    Where no model can be fitted, because labels of a kind are missing, nothing is
+    known of any row and all stay.
+    """
+    small_batches(docs.sparkSession)
+    model = fit(docs, labels)
+    if model.trees is None:
+        return docs
+    return model.score_beside(docs).where(F.col("score") < REJECT).select("row.*")

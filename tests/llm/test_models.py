@@ -1,5 +1,7 @@
 """Toxicity and quality: held-out accuracy on the given labels, edge cases, the pipeline's stages."""
 
+from zlib import crc32
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +67,25 @@ def test_quality_edge_cases(spark, docs):
     assert site_quality.scored(docs(), none).count() == 0
 
 
+def test_few_labels_of_a_kind_still_order_documents(spark, docs):
+    rows = [(i, f"you {'vile idiot scum ' if i % 40 == 0 else 'kind gentle words '}{i} " * 6) for i in range(400)]
+    learnt = [i for i in range(0, 400, 40) if crc32(str(i).encode()) % 4 != 2][:3]
+    told = spark.createDataFrame([(i, int(i % 40 == 0)) for i, _ in rows if i % 40 or i in learnt], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(docs(*rows), told).collect()}
+    bad = [s for i, s in got.items() if i % 40 == 0]
+    assert min(bad) > max(s for i, s in got.items() if i % 40)
+    kept = {r["doc_id"] for r in toxicity.clean(docs(*rows), told).collect()}
+    assert kept == {i for i, _ in rows if i % 40}
+
+
+def test_without_labels_of_both_kinds_nothing_is_rejected(spark, docs):
+    rows = [(i, f"words {i}") for i in range(30)]
+    for label in (0, 1):
+        told = spark.createDataFrame([(i, label) for i, _ in rows], "doc_id long, toxic int")
+        assert toxicity.clean(docs(*rows), told).count() == 30
+    assert toxicity.clean(docs(*rows).withColumn("features", F.lit(1)).withColumn("row", F.lit(2)), told).columns[-2:] == ["features", "row"]
+
+
 @pytest.fixture(scope="module")
 def staged(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
