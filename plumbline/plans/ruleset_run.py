@@ -53,6 +53,9 @@ CHECKS_PER_SCAN = 100
 # Rules that ``execute`` measures in one job; it runs as many jobs as it takes.
 RULES_PER_JOB = 300
 
+# Share of the bad rows in which a bound for the first ones is looked for.
+BOUND_SHARE = 1 / 256
+
 # What a rule's expressions can raise.  Anything else, such as a lost executor or a
 # cancelled job, says nothing about the data and ends the run.
 EVALUATION_ERRORS = (
@@ -405,8 +408,9 @@ def sample(
     """(dataset_id, rule_id, position, payload): the first bad rows of each rule.
 
     ``only`` limits it to some ``seq``.  Rows are ordered by ``order_by`` of the
-    dataset, by default its leading columns.  Row-local rules of a dataset share one
-    scan; the rank filter prunes each partition before its rows are shuffled.
+    dataset, by default its leading columns.  A rule by itself is planned as ordered top
+    rows.  Several row-local rules of a dataset share their scans: one over a small
+    share of the rows gives each rule a bound, and only bad rows up to it are ordered.
     """
     wanted = None if only is None else set(only)
     parts = []
@@ -425,9 +429,13 @@ def sample(
                 parts.append(_first_rows(rows, tag, order, max_samples))
         for dataset, checks in local.items():
             df = datasets[dataset]
+            if len(checks) == 1:
+                (check,) = checks
+                parts.append(_first_rows(df.where(check.bad), _tag(p.ruleset, check), _order(df, dataset, order_by), max_samples))
+                continue
             tags = ", ".join(f"if({c.bad}, {_tag(p.ruleset, c)}, null)" for c in checks)
             tags = f"explode(array_compact(array({tags})))"
-            parts.append(_first_rows(df, tags, _order(df, dataset, order_by), max_samples))
+            parts.append(_first_rows(df, tags, _order(df, dataset, order_by), max_samples, bounded=True))
     return C.union_all(parts) if parts else None
 
 
@@ -445,12 +453,17 @@ def _sample_columns(df: DataFrame) -> list[str]:
     return df.columns[:SAMPLE_COLUMNS]
 
 
-def _first_rows(df: DataFrame, tags: str, order: list[str], max_samples: int) -> DataFrame:
+def _first_rows(df: DataFrame, tags: str, order: list[str], max_samples: int, bounded: bool = False) -> DataFrame:
     """The first rows per tag.  With one constant tag Spark plans it as ordered top rows."""
     shown = _sample_columns(df)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     needed = list(dict.fromkeys([*shown, *order]))
     tagged = df.selectExpr(f"{tags} as `__tag`", *[V.named(c) for c in needed])
+    if bounded:
+        first = V.groupable(V.named(order[0]), kinds[order[0]])
+        bounds = F.broadcast(_bounds(df.selectExpr(f"{tags} as `__tag`", f"{first} as `__key`"), max_samples))
+        near = F.expr(f"`__unbounded` is null or {first} is null or {first} <= `__bound`")
+        tagged = tagged.join(bounds, F.col("__tag.seq") == F.col("__seq"), "left").where(near)
     keys = ", ".join(V.groupable(V.named(c), kinds[c]) for c in order)
     place = f"row_number() over (partition by `__tag`.seq order by {keys})"
     ranked = tagged.withColumn("__place", F.expr(place)).where(F.col("__place") <= max_samples)
@@ -463,6 +476,20 @@ def _first_rows(df: DataFrame, tags: str, order: list[str], max_samples: int) ->
     )
 
 
+def _bounds(tagged: DataFrame, max_samples: int) -> DataFrame:
+    """(__seq, __bound, __unbounded): per rule a key that ``max_samples`` of its bad rows do not exceed.
+
+    The place of a row among some of the rows is no later than among all of them, so the
+    key at that place in any part of the rows is a bound for all.  A rule with too few
+    rows in the part has no bound, and few rows to order.  One row per rule.
+    """
+    some = tagged.where(f"rand(1) < {BOUND_SHARE}")
+    ranked = some.withColumn("__place", F.expr("row_number() over (partition by `__tag`.seq order by `__key`)"))
+    return ranked.where(F.col("__place") == max_samples).select(
+        F.col("__tag.seq").alias("__seq"), F.col("__key").alias("__bound"), F.lit(False).alias("__unbounded")
+    )
+
+
 @dataclass(frozen=True)
 class Run:
     """What ``execute`` leaves behind: the result rows and the bad-row samples."""

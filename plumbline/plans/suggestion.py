@@ -23,7 +23,7 @@ from plumbline.operators.merging import (
 from plumbline.operators.profile import profile
 from plumbline.operators.proposals import MAX_LISTED_VALUES, MAX_RULES_TO_ADD, baseline_rules, propose_rules
 from plumbline.session import settle
-from plumbline.sources.catalog import catalog_table
+from plumbline.sources.catalog import catalog_table, row_formats
 from plumbline.sources.registry import current_rules
 
 # Key rules are not capped: there are at most two per key candidate.
@@ -58,7 +58,7 @@ def suggest(
     column or rule, settled between steps so that none is computed twice.
     """
     entries = [e for e in catalog if e["dataset_id"] in datasets]
-    profiled = settle(profile(datasets, MAX_LISTED_VALUES))
+    profiled = settle(profile(datasets, MAX_LISTED_VALUES, row_formats(entries)))
     columns = profiled.select("dataset_id", "column")
     wanted = catalog_table(spark, entries)
     existing = current_rules(rules).join(

@@ -11,6 +11,8 @@ from plumbline.model import CATALOG_SCHEMA
 from plumbline.sources.csv import read_csv
 
 FILE_TYPES = ("parquet", "json", "orc")
+# Files of these types are parsed whole, whatever columns are wanted.
+ROW_FORMATS = ("csv", "json")
 
 Entry = Mapping[str, Any]
 
@@ -39,6 +41,11 @@ def load_datasets(
     return {e["dataset_id"]: load_dataset(spark, e, root) for e in entries}
 
 
+def row_formats(entries: Iterable[Entry]) -> list[str]:
+    """The datasets whose files hold rows, not columns."""
+    return [e["dataset_id"] for e in entries if str(e.get("source_type", "")).lower() in ROW_FORMATS]
+
+
 def load_by_id(
     spark: SparkSession, entries: Iterable[Entry], dataset_id: str, root: str | None = None
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 import pytest
@@ -90,9 +91,10 @@ def test_frequent_values_are_pruned_before_the_shuffle(spark):
     assert "WindowGroupLimit" in several
     single = text(R.measure(spark, [RuleSet("documents", 1, rules[:1])], {"documents": documents}))
     assert "TakeOrderedAndProject(limit=20" in single
-    bad = (Rule("R", "range", "low", {"column": "n_chars", "max": 0}),)
-    planned = R.plan([RuleSet("documents", 1, bad)], {"documents": documents}, Clock.at())
-    assert "WindowGroupLimit" in text(R.sample(planned, {"documents": documents}))
+    bad = tuple(Rule(f"R{n}", "range", "low", {"column": "n_chars", "max": n}) for n in range(2))
+    for rules, wanted in ((bad[:1], "TakeOrderedAndProject(limit=100"), (bad, "WindowGroupLimit")):
+        planned = R.plan([RuleSet("documents", 1, rules)], {"documents": documents}, Clock.at())
+        assert wanted in text(R.sample(planned, {"documents": documents}))
 
 
 def test_profile_reads_each_column_twice_at_most(spark):
@@ -120,3 +122,77 @@ def test_long_texts_do_not_travel(spark):
     physical = plan[plan.index("== Physical Plan =="):]
     exchange = physical[physical.index("Exchange hashpartitioning"):]
     assert "sha2" in exchange and exchange.index("key#") < exchange.index("sha2")
+
+
+def test_samples_of_several_rules_are_the_first_rows(spark, monkeypatch):
+    """Bounds from some of the rows change nothing, with nulls, ties, and rules of few bad rows."""
+    df = spark.range(60000).repartition(5).selectExpr(
+        "if(id % 1000 = 7, null, (id * 7919) % 60000 div 3) as k", "id as n", "if(id < 40, null, id) as few", "id % 2 as half"
+    )
+    rules = tuple(
+        Rule(f"C{i}", "range", "low", {"column": c, "min": low}) for i, (c, low) in enumerate([("n", 59000), ("half", 1), ("few", 0)])
+    )
+    planned = R.plan([RuleSet("d", 1, rules)], {"d": df}, Clock.at())
+    for share in (0.0, 1 / 4, 1.0):
+        monkeypatch.setattr(R, "BOUND_SHARE", share)
+        for order in (["k", "n"], ["n"]):
+            found = R.sample(planned, {"d": df}, order_by={"d": order}, max_samples=30)
+            payloads = {}
+            for r in found.orderBy("rule_id", "position").collect():
+                payloads.setdefault(r["rule_id"], []).append(json.loads(r["payload"])["n"])
+            for i, bad in enumerate(["n < 59000", "half < 1", "few is null"]):
+                plain = [r["n"] for r in df.where(bad).orderBy(*order).limit(30).collect()]
+                assert payloads[f"C{i}"] == plain, (share, order, i)
+
+
+def test_only_rows_up_to_the_bound_are_ordered(spark):
+    df = spark.range(400000).selectExpr("(id * 7919) % 400000 as k", "id % 2 as half")
+    rules = tuple(Rule(f"C{i}", "range", "low", {"column": "half", "min": 1 - i / 2}) for i in range(2))
+    planned = R.plan([RuleSet("d", 1, rules)], {"d": df}, Clock.at())
+    found = R.sample(planned, {"d": df}, max_samples=20)
+    assert found.count() == 40
+    sorted_rows = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in sorted_rows
+    # the plan below the sort: of 400,000 bad rows only those up to the bounds pass the filter
+    tags = "explode(array(struct(0 as seq), struct(1 as seq))) as `__tag`"
+    bounds = R._bounds(df.where("half < 1").selectExpr(tags, "k as `__key`"), 20).collect()
+    assert len(bounds) == 2 and all(b["__bound"] < 40000 for b in bounds)
+
+
+def test_one_rule_is_planned_as_top_rows(spark):
+    df = spark.range(1000).selectExpr("id as n", "id % 2 as half")
+    planned = R.plan([RuleSet("d", 1, (Rule("C", "range", "low", {"column": "half", "min": 1}),))], {"d": df}, Clock.at())
+    plan = R.sample(planned, {"d": df})._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Generate" not in plan
+
+
+# --- profiles of row formats ------------------------------------------------
+
+ROWS = """select id as whole, cast(id % 50 as double) / 7 as fraction, cast(id % 9 as decimal(12,3)) / 3 as exact, id % 3 = 0 as flag,
+    date_add(date'2024-01-01', cast(id % 6 as int)) as day, timestamp_seconds(id % 8) as moment, cast(id % 5 as string) as digit,
+    if(id % 4 = 0, '  ', if(id % 4 = 1, null, concat(repeat('x', 250), id % 2))) as text, cast(null as string) as none,
+    cast(if(id % 7 = 0, 'NaN', cast(id % 3 as string)) as float) as holes, named_struct('x', id % 2) as nested, timestamp_ntz'2024-01-01 00:00:01' as still
+    from range(2000)"""
+
+
+def test_one_pass_gives_the_profile_of_row_formats(spark):
+    for df in (spark.sql(ROWS), spark.sql(ROWS).limit(0)):
+        exact, found = profile({"d": df}), profile({"d": df}, row_formats=["d"])
+        assert found.schema.names == exact.schema.names
+        for e, f in zip(exact.orderBy("ordinal").collect(), found.orderBy("ordinal").collect(), strict=True):
+            for c in exact.columns:
+                assert f[c] == (pytest.approx(e[c]) if isinstance(e[c], float) else e[c]), (c, e, f)
+
+
+def test_a_row_format_is_parsed_once_however_many_columns(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(100).selectExpr(*[f"id % {i + 2} as c{i}" for i in range(30)]).write.option("header", "true").csv(path)
+    df = spark.read.option("header", "true").schema(", ".join(f"c{i} int" for i in range(30))).csv(path)
+    plan = profile({"d": df}, row_formats=["d"])._jdf.queryExecution().optimizedPlan().toString()
+    assert profile({"d": df})._jdf.queryExecution().optimizedPlan().toString().count("Relation [") > 30
+    assert plan.count("Relation [") == 2  # the sums and the frequent values: the same counts, whose shuffle is shared
+
+
+def test_types_without_a_place_are_profiled_by_column(spark):
+    df = spark.sql("select unhex('ab') as b, cast(1 as decimal(38,0)) as wide")
+    assert profile({"d": df}, row_formats=["d"]).count() == 2

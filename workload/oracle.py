@@ -419,6 +419,11 @@ LINEITEM = {
         ],
     )
 }
+# what tables look like that were written as CSV and read back
+CSV = {
+    "orders": ("orders", PROFILED["orders"][1]),
+    "customer": ("customer", [(c, dtype.replace("int32", "int64")) for c, dtype in PROFILED["customer"][1]]),
+}
 DOCUMENTS = {
     "documents": (
         "documents",
@@ -531,8 +536,21 @@ def _profiles() -> dict[str, str]:
         "profile_table": f"with {ctes} select {PROFILE_COLUMNS} from prof",
         "profile_top_values": f"with {ctes} select dataset_id, column_name, place, value, n from tops",
         "profile_lineitem": f"with {_profile_ctes(LINEITEM)} select {PROFILE_COLUMNS} from prof",
+        "profile_csv": f"with {_profile_ctes(CSV)} select {PROFILE_COLUMNS} from prof",
+        "profile_csv_top_values": f"with {_profile_ctes(CSV)} select dataset_id, column_name, place, value, n from tops",
         "profile_documents": f"with {_profile_ctes(DOCUMENTS)} select {PROFILE_COLUMNS} from prof",
     }
+    sql["profile_sketched"] = f"""with {_profile_ctes(LINEITEM)} select column_name, cast(ordinal as bigint) as ordinal, dtype, row_count,
+        null_count, min, max, round(mean, 4) as mean, distinct_count, true as within_bound from prof"""
+
+    def whole_key(dataset: str, column: str) -> str:
+        return f"""select '{dataset}' as dataset_id, '{column}' as column_name, count(*) as row_count,
+            count(distinct {column}) as distinct_count,
+            (select max(n) from (select count(*) as n from {dataset} where {column} is not null group by {column})) as max_dup_count,
+            round(count(distinct {column}) / count({column}), 9) as distinct_ratio_non_null,
+            count({column}) - count(distinct {column}) as duplicate_count from {dataset}"""
+
+    sql["profile_sketched_keys"] = _union([whole_key("orders", "o_orderkey"), whole_key("documents", "doc_id"), whole_key("events", "event_id")])
     sql["key_candidates"] = f"""with {ctes}, {KEYS}
       select dataset_id, place, column_name, round(confidence, 9) as confidence, row_count, non_null_count,
         distinct_count, duplicate_count, max_dup_count, positive, negative,

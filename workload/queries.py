@@ -16,6 +16,7 @@ from plumbline.operators import key_detection as K
 from plumbline.operators import merging as M
 from plumbline.operators import proposals as H
 from plumbline.operators import report as P
+from plumbline.operators import sketches as S
 from plumbline.operators.checks import Clock
 from plumbline.operators.profile import profile
 from plumbline.operators.value_counts import union_all
@@ -23,7 +24,7 @@ from plumbline.plans import ruleset_run as R
 from plumbline.plans.suggestion import suggest
 from plumbline.session import settle, shared_folder
 from plumbline.sources import sinks
-from plumbline.sources.catalog import load_by_id, load_datasets
+from plumbline.sources.catalog import load_by_id, load_datasets, row_formats
 from plumbline.sources.registry import current_rules, load_rulesets, rules_table
 from workload import data as D
 
@@ -557,6 +558,68 @@ def profile_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _profile_columns(profile({"documents": D.table(spark, folder, "documents")}))
 
 
+def _csv_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of two tables that a catalog has as CSV: each file is parsed once."""
+    base = _new_folder(spark)
+    entries = []
+    for name in ("customer", "orders"):
+        table = D.table(spark, folder, name)
+        table.write.option("header", "true").csv(f"{base}/{name}")
+        entries.append({"dataset_id": name, "source_type": "csv", "source_location": name})
+    entries[-1]["schema"] = table.schema  # its moments are not inferred
+    return profile(load_datasets(spark, entries, base), row_formats=row_formats(entries))
+
+
+def profile_csv(spark: SparkSession, folder: str) -> DataFrame:
+    return _profile_columns(_csv_profile(spark, folder))
+
+
+def profile_csv_top_values(spark: SparkSession, folder: str) -> DataFrame:
+    return _profile_tops(_csv_profile(spark, folder))
+
+
+#: standard errors between an estimate and the exact count
+WITHIN = 4
+
+
+def _sketched_lineitem(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines sketched by year of shipping; one year is loaded short and then again whole."""
+    base = _new_folder(spark)
+    lineitem = D.table(spark, folder, "lineitem")
+    late = lineitem.where("year(l_shipdate) = 1997")
+    S.store(settle(S.sketch("lineitem", late.where("l_linenumber = 1"), "year(l_shipdate)")), base)
+    for year in ("year(l_shipdate) < 1997", "year(l_shipdate) >= 1997"):
+        S.store(settle(S.sketch("lineitem", lineitem.where(year), "year(l_shipdate)")), base)
+    return S.profile_sketched(S.stored(spark, base))
+
+
+def profile_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of merged yearly sketches; distinct counts next to the exact ones, within their error."""
+    exact = profile({"lineitem": D.table(spark, folder, "lineitem")}).selectExpr("column", "distinct_count as exact")
+    found = _sketched_lineitem(spark, folder).join(exact, "column")
+    bound = F.greatest(WITHIN * F.col("distinct_error") * F.col("exact"), F.lit(1.0))
+    return found.select(
+        F.col("column").alias("column_name"), F.col("ordinal").cast("bigint").alias("ordinal"), "dtype", "row_count",
+        "null_count", "min", "max", F.round("mean", 4).alias("mean"), F.col("exact").alias("distinct_count"),
+        (F.abs(F.col("distinct_count") - F.col("exact")) <= bound).alias("within_bound"),
+    )
+
+
+def profile_sketched_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of three tables; only near-unique columns are then counted exactly."""
+    datasets = {
+        "orders": D.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+        "documents": D.table(spark, folder, "documents").select("doc_id", "lang", "source"),
+        "events": D.table(spark, folder, "events").select("event_id", "event_type"),
+    }
+    sketched = S.profile_sketched(settle(union_all([S.sketch(d, df) for d, df in datasets.items()])))
+    counted = S.exact_where_it_matters(settle(sketched), datasets).where("exact")
+    return counted.select(
+        "dataset_id", F.col("column").alias("column_name"), "row_count", "distinct_count", "max_dup_count",
+        F.round("distinct_ratio_non_null", 9).alias("distinct_ratio_non_null"), "duplicate_count",
+    )
+
+
 def key_candidates(spark: SparkSession, folder: str) -> DataFrame:
     found = K.key_candidates(_profile(spark, folder))
     return found.select(
@@ -857,6 +920,10 @@ QUERIES: dict[str, Query] = {
         profile_top_values,
         profile_lineitem,
         profile_documents,
+        profile_csv,
+        profile_csv_top_values,
+        profile_sketched,
+        profile_sketched_keys,
         key_candidates,
         key_rules,
         candidates_range,
