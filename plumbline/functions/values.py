@@ -35,10 +35,10 @@ EPOCH_UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
-# Texts are grouped, joined, shuffled and ordered by their first characters and, where they
-# have more, the SHA-256 digest of the whole.  So texts of any length have one order (by
-# these characters, then by digest), and no key takes more than 271 characters.  A key with a
-# digest is longer than the limit, so no short text can be mistaken for one.
+# Texts are grouped, joined and shuffled by their first characters and, where they have more,
+# the SHA-256 digest of the whole, so no key takes more than 271 characters.  A key with a
+# digest is longer than the limit, so no short text can be mistaken for one.  Keys order like
+# their texts, but for long ones that begin alike; reports look those up.
 KEY_CHARACTERS = 200
 DIGEST_PREFIX = "sha256:"
 
@@ -275,6 +275,11 @@ def is_long(text: str) -> str:
     return f"char_length({text}) > {KEY_CHARACTERS}"
 
 
+def beginning(text: str) -> str:
+    """What a key of a long text and the text have in common."""
+    return f"left({text}, {KEY_CHARACTERS})"
+
+
 def groupable(c: str, kind: T.DataType) -> str:
     """A short form of the value that is equal exactly where the value is equal."""
     if isinstance(kind, T.BinaryType):

@@ -108,15 +108,9 @@ def as_array(best: DataFrame) -> DataFrame:
     return best.groupBy("branch").agg(F.expr(top))
 
 
-def with_whole_texts(tops: DataFrame, sources: list[tuple[DataFrame, dict[int, str]]]) -> DataFrame:
-    """Replace digests in ``tops`` (branch, top) by the texts they stand for.
-
-    ``sources`` lists frames with the column each branch counts.  Only the digests of
-    the top values are broadcast, a fixed number per branch; where there are none the
-    broadcast side is empty and the frames are not read again.  Both uses of ``tops``
-    share its shuffle, so it is computed once.
-    """
-    long_texts = []
+def _long_texts(sources: list[tuple[DataFrame, dict[int, str]]]) -> DataFrame | None:
+    """(branch, value, whole) of the rows with long texts; ``value`` is the key that stands for the text."""
+    found = []
     for df, columns in sources:
         entries = []
         for branch, column in columns.items():
@@ -126,21 +120,47 @@ def with_whole_texts(tops: DataFrame, sources: list[tuple[DataFrame, dict[int, s
                 entry = f"struct({branch} as branch, {V.groupable(c, kind)} as value, {text} as whole)"
                 entries.append(f"if({V.is_long(text)}, {entry}, null)")
         if entries:
-            long_texts.append(df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))"))
-    if not long_texts:
-        return tops
-    digests = tops.selectExpr("branch", "explode(top.value) as value").where(
-        V.is_long("value")
-    )
-    wanted = union_all(long_texts).join(F.broadcast(digests), ["branch", "value"])
+            found.append(df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))"))
+    return union_all(found) if found else None
+
+
+def top_values(
+    counted: DataFrame, limit: int, sources: list[tuple[DataFrame, dict[int, str]]], best: DataFrame | None = None
+) -> DataFrame:
+    """(branch, top): the ``limit`` most frequent values of each branch, ties by value, long texts whole.
+
+    Keys order like the texts they stand for, but for long texts that begin alike.  So
+    the cut is made by key, with one row more than is shown (``best``, if it is there
+    already); where keys of one frequency and one beginning meet in it, the whole texts
+    of all keys like these are looked up, and order them.  Only those beginnings and the
+    shown digests are broadcast, a fixed number per branch.  Where there are none, the
+    frames are not read again.  ``sources`` lists frames with the column each branch counts.
+    """
+    best = top_rows(counted, limit + 1) if best is None else best
+    shown = best.where(F.col("rank") <= limit)
+    texts = _long_texts(sources)
+    if texts is None:
+        return as_array(shown)
+    begin, long_ = F.expr(V.beginning("value")), F.expr(V.is_long("value"))
+    alike = (
+        best.where(long_).groupBy("branch", "n", begin.alias("begin")).agg(F.count(F.lit(1)).alias("keys"), F.min("rank").alias("place"))
+        .where("keys > 1").select("branch", "n", "begin", "place")
+    )
+    keyed = shown.select("branch", "value", "n", "rank", F.when(long_, begin).alias("begin"))
+    told = keyed.join(F.broadcast(alike), ["branch", "n", "begin"], "left")
+    settled = told.where("place is null").select("branch", "value", "n", "begin", F.col("rank").alias("place"))
+    open_ = counted.where(long_).select("branch", "value", "n", begin.alias("begin")).join(F.broadcast(alike), ["branch", "n", "begin"])
+    wanted = settled.where("begin is not null").select("branch", "begin", F.col("value").alias("one"))
+    wanted = wanted.unionByName(alike.select("branch", "begin", F.lit(None).cast("string").alias("one")))
+    met = texts.withColumn("begin", begin).join(F.broadcast(wanted), ["branch", "begin"]).where("one is null or one = value")
     # Equal digests, equal texts: the set of each has one element.  Unlike any_value, it is
     # aggregated in a hash map, so the rows of a frequent text are not sorted.
-    single = wanted.groupBy("branch", "value").agg(F.expr("collect_set(whole)[0] as whole"))
-    whole = single.groupBy("branch").agg(
-        F.expr("map_from_entries(collect_list(struct(value, whole))) as whole")
-    )
-    restored = "transform(top, e -> struct(coalesce(try_element_at(whole, e.value), e.value) as value, e.n as n))"
-    return tops.join(whole, "branch", "left").selectExpr("branch", f"{restored} as top")
+    whole = met.groupBy("branch", "value").agg(F.expr("collect_set(whole)[0] as whole"))
+    columns = ("branch", "value", "n", "place")
+    every = settled.select(*columns).unionByName(open_.select(*columns))
+    restored = every.join(whole, ["branch", "value"], "left").selectExpr("branch", "n", "place", "coalesce(whole, value) as value")
+    order = Window.partitionBy("branch").orderBy("place", "value")
+    return as_array(restored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit))
 
 
 def rows_with_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:

@@ -185,10 +185,7 @@ def _counted(planned: list[Planned], datasets: Datasets, branches: dict[tuple, i
     if not parts:
         return None
     counted = C.union_all(parts)
-    tops = C.with_whole_texts(
-        C.as_array(C.top_rows(counted, TOP_KEYS)),
-        [(datasets[d], named) for d, named in columns.items()],
-    )
+    tops = C.top_values(counted, TOP_KEYS, [(datasets[d], named) for d, named in columns.items()])
     return C.totals(counted).join(tops, "branch", "left")
 
 

@@ -9,6 +9,7 @@ import pytest
 
 from plumbline.model import Rule, RuleSet
 from plumbline.operators.checks import Clock
+from plumbline.operators.profile import profile
 from plumbline.plans import ruleset_run as R
 
 AS_OF = datetime(2026, 2, 26)
@@ -287,13 +288,29 @@ def test_moments_do_not_depend_on_the_zone_of_the_session(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", held)
 
 
-@pytest.mark.parametrize("length", [60, 70, 300])
-def test_ties_of_texts_of_any_length_go_by_their_beginning(spark, length):
-    texts = [c + "x" * (length - 1) for c in "cab"]
+@pytest.mark.parametrize("length", [60, 200, 201, 300])
+@pytest.mark.parametrize("end", [False, True])
+def test_ties_of_texts_of_any_length_go_by_value(spark, length, end):
+    texts = [("x" * (length - 1) + c if end else c + "x" * (length - 1)) for c in "cab"]
     frames = {"d": spark.createDataFrame([(t,) for t in texts * 2], "t string")}
     assert run(spark, frames, "uniqueness", column="t")[1]["duplicate_keys"] == sorted(texts)
 
 
+def test_of_many_long_texts_that_begin_alike_the_first_by_value_are_shown(spark):
+    """More keys tie at the cut than are shown; other frequencies and short texts are among them."""
+    head = "y" * 200
+    texts = [f"{head}{n:03d}" for n in range(60)]
+    rows = [*texts * 2, *[head] * 2, *["z"] * 5, *[f"{head}often {c}" for c in "ba"] * 3, f"{head}once", "a", "a"]
+    frames = {"d": spark.createDataFrame([(t, i % 7) for i, t in enumerate(rows)], "t string, k int").repartition(5)}
+    expected = ["z", f"{head}often a", f"{head}often b", "a", head, *texts][:20]
+    assert run(spark, frames, "uniqueness", column="t")[1]["duplicate_keys"] == expected
+    top = run(spark, frames, "domain", column="t", allowed_values=["z"])[1]["top_invalid_values"]
+    assert list(top) == expected[1:11]
+    for row_formats in ((), ("d",)):
+        listed = {r["column"]: [e["value"] for e in r["top_values"]] for r in profile(frames, row_formats=row_formats).collect()}
+        assert listed["t"] == expected[:10] and sorted(listed["k"]) == [str(n) for n in range(7)]
+
+
 def test_long_binary_keys_are_short(spark):
     df = spark.sql("select unhex(repeat('ab', 10000)) as b from range(2)")
     assert run(spark, {"d": df}, "uniqueness", column="b")[1]["duplicates"] == 1

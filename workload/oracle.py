@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from workload.data import RUN_ID
 
-# ties of texts: by the first 200 characters, then by digest
-TEXT_KEY = "case when length(text) > 200 then left(text, 200) || 'sha256:' || sha256(text) else text end"
-
 ORDERS = """(select * replace (case o_orderpriority when '5-LOW' then null
     when '1-URGENT' then ' ' || chr(9) else o_orderpriority end as o_orderpriority) from orders)"""
 CUSTOMER = """(select *, case c_mktsegment when 'BUILDING' then cast(c_acctbal as varchar) || 'd'
@@ -79,15 +76,22 @@ def _checks() -> dict[str, str]:
             _with_top("U002", "lineitem", _repeated("l_extendedprice", "lineitem"), "sum(n - 1)", 10**9),
         ]
     )
-    text = f"""select text as value, {TEXT_KEY} as short, count(*) as n from documents
-        group by text having count(*) > 1"""
-    ids = """select cast(doc_id as varchar) as value, cast(doc_id as varchar) as short, count(*) as n
-        from documents group by doc_id having count(*) > 1"""
+    text = "select text as value, count(*) as n from documents group by text having count(*) > 1"
+    ids = "select cast(doc_id as varchar) as value, count(*) as n from documents group by doc_id having count(*) > 1"
     shown = "length(value) as length, md5(value) as value_md5, n"
     sql["check_uniqueness_text"] = _union(
         [
-            _with_top("U001", "documents", text, "sum(n - 1)", order="short", shown=shown),
-            _with_top("U002", "documents", ids, "sum(n - 1)", order="short", shown=shown),
+            _with_top("U001", "documents", text, "sum(n - 1)", shown=shown),
+            _with_top("U002", "documents", ids, "sum(n - 1)", shown=shown),
+        ]
+    )
+    tailed = "(select repeat('x', 200) || (doc_id % 50) as text, doc_id from documents)"
+    long_ones = f"select text as value, count(*) as n from {tailed} group by text having count(*) > 1"
+    listed = f"select text as value, count(*) as n from {tailed} where text <> repeat('x', 200) || '7' group by text"
+    sql["check_long_texts"] = _union(
+        [
+            _with_top("U001", "documents", long_ones, "sum(n - 1)"),
+            _with_top("D001", "documents", listed, "sum(n)"),
         ]
     )
     number = "try_cast(balance_text as double)"

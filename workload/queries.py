@@ -117,6 +117,21 @@ def check_uniqueness_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def check_long_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts that differ in their last characters only, from the 201st on: equal counts go by value."""
+    tail = F.concat(F.repeat(F.lit("x"), F.lit(200)), (F.col("doc_id") % 50).cast("string"))
+    documents = D.table(spark, folder, "documents").select(tail.alias("text"))
+    allowed = ["x" * 200 + "7"]
+    return _top(
+        _measured(
+            spark,
+            {"documents": documents},
+            Rule("U001", "uniqueness", "high", {"column": "text"}),
+            Rule("D001", "domain", "high", {"column": "text", "allowed_values": allowed}),
+        )
+    )
+
+
 def check_range(spark: SparkSession, folder: str) -> DataFrame:
     measured = _measured(
         spark,
@@ -888,6 +903,7 @@ QUERIES: dict[str, Query] = {
         check_completeness,
         check_uniqueness,
         check_uniqueness_text,
+        check_long_texts,
         check_range,
         check_domain,
         check_date_not_in_future,
