@@ -52,6 +52,7 @@ class Grouping:
     column: str
     parent_dataset: str | None = None
     parent_column: str | None = None
+    by_hash: bool = False
 
 
 @dataclass(frozen=True)
@@ -183,9 +184,12 @@ def _uniqueness(source: _Source, expectation: Mapping, clock: Clock) -> dict:
     name = _required(expectation, "column")
     source.field(name)
     allowance = _number(expectation, "max_duplicates_allowed", 0, int)
+    count_by = expectation.get("count_by", "value")
+    if count_by not in ("value", "hash"):
+        raise BadRule("bad_parameter", parameter="count_by")
     return {
         "threshold": {"max_duplicates_allowed": allowance},
-        "grouping": Grouping("repeated", name),
+        "grouping": Grouping("repeated", name, by_hash=count_by == "hash"),
         "allowance": float(allowance),
     }
 

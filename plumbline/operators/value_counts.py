@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import values as V
+from plumbline.session import settle
 
 # The most frequent keys are handled apart; every other key then holds at most
 # 1 / (HOT_KEYS + 1) of the rows.
 HOT_KEYS = 1_000
+# Hashes of eight bytes that may be broadcast to find the rows of repeated keys.
+BROADCAST_HASHES = 1_000_000
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -40,6 +43,25 @@ def repeated_keys(df: DataFrame, column: str) -> DataFrame:
     return value_counts(df, column).where("n > 1")
 
 
+def repeated_keys_by_hash(df: DataFrame, column: str) -> DataFrame:
+    """The same as ``repeated_keys``, in two passes that move hashes instead of keys.
+
+    First the 64-bit hashes of all keys are counted: a row of 16 bytes for each key and
+    task, however long the key.  Where the hashes met more than once are few (their
+    number is checked) they are broadcast, and only rows with one of them are counted by
+    key, which is exact, since equal keys have equal hashes.  Where they are many, most
+    keys are repeated and counting them directly moves little.
+    """
+    key = V.groupable(V.named(column), kind_of(df, column))
+    keyed = df.selectExpr(f"{key} as key").withColumn("__hash", F.xxhash64("key"))
+    met = keyed.groupBy("__hash").agg(F.expr("count(1) as n")).where("n > 1").select("__hash")
+    met = settle(met)
+    if met.count() > BROADCAST_HASHES:
+        return repeated_keys(df, column)
+    suspects = keyed.join(F.broadcast(met), "__hash", "left_semi")
+    return suspects.groupBy("key").agg(F.expr("count(1) as n")).where("n > 1")
+
+
 def orphan_keys(
     child: DataFrame, child_column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:

@@ -153,7 +153,8 @@ def keys_of(grouping: Grouping, df: DataFrame, datasets: Datasets) -> tuple[Data
     """The (key, n) frame of a grouping, the matching key of a row of ``df``, its type."""
     column, kind = V.named(grouping.column), C.kind_of(df, grouping.column)
     if grouping.kind == "repeated":
-        return C.repeated_keys(df, grouping.column), V.groupable(column, kind), V.key_type(kind)
+        repeated = C.repeated_keys_by_hash if grouping.by_hash else C.repeated_keys
+        return repeated(df, grouping.column), V.groupable(column, kind), V.key_type(kind)
     parent = datasets[grouping.parent_dataset]
     parent_kind = C.kind_of(parent, grouping.parent_column)
     key, key_kind, _ = V.same_footing(column, kind, V.named(grouping.parent_column), parent_kind)
@@ -597,6 +598,8 @@ def _collect(
         return timed(planned)
     except EVALUATION_ERRORS as problem:
         single = [Planned(p.ruleset, (check,)) for p in planned for check in p.checks]
+        # rules of one column side by side: what cannot be evaluated is mostly a column, and is cornered at once
+        single.sort(key=lambda p: (p.checks[0].dataset, str(p.checks[0].rule.expectation.get("column"))))
         if len(single) > 1:
             middle = len(single) // 2
             halves = (single[:middle], single[middle:])

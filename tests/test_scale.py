@@ -53,6 +53,24 @@ def test_orphans_of_a_hot_key_are_joined_once_per_key(spark, skewed):
     assert plan.count("HashAggregate", join) >= 4  # both sides are grouped below the join
 
 
+@pytest.mark.parametrize("hashes", [C.BROADCAST_HASHES, 3])
+def test_repeated_keys_by_hash_are_those_by_value(spark, skewed, hashes, monkeypatch):
+    monkeypatch.setattr(C, "BROADCAST_HASHES", hashes)
+    long_ = skewed.selectExpr("if(v % 3 = 0, k, concat(repeat('t', 300), v)) as k", "v")
+    for df in (skewed, long_, skewed.limit(0)):
+        found = {(r["key"], r["n"]) for r in C.repeated_keys_by_hash(df, "k").collect()}
+        assert found == {(r["key"], r["n"]) for r in C.repeated_keys(df, "k").collect()}
+
+
+def test_only_rows_of_repeated_hashes_are_counted_by_key(spark):
+    df = spark.range(50000).selectExpr("concat(repeat('t', 300), if(id < 49990, id, 7)) as k")
+    plan = final_plan(C.repeated_keys_by_hash(df, "k"))
+    below = plan[plan.index("Exchange hashpartitioning(key"):]
+    assert "BroadcastHashJoin" in below and "LeftSemi" in below  # what is exchanged has passed the filter
+    assert "SortMergeJoin" not in plan
+    assert C.repeated_keys_by_hash(df, "k").first()["n"] == 11
+
+
 def text(df):
     return df._jdf.queryExecution().toString()
 

@@ -76,6 +76,9 @@ def _checks() -> dict[str, str]:
             _with_top("U002", "lineitem", _repeated("l_extendedprice", "lineitem"), "sum(n - 1)", 10**9),
         ]
     )
+    sql["check_uniqueness_suspects"] = _union(
+        [sql["check_uniqueness"], _with_top("U003", "pages", _repeated("html", "pages"), "sum(n - 1)", shown="md5(value) as value, n")]
+    )
     text = "select text as value, count(*) as n from documents group by text having count(*) > 1"
     ids = "select cast(doc_id as varchar) as value, count(*) as n from documents group by doc_id having count(*) > 1"
     shown = "length(value) as length, md5(value) as value_md5, n"

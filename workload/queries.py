@@ -101,6 +101,26 @@ def check_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def check_uniqueness_suspects(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules of ``check_uniqueness`` and a long text, counted by hash first; only repeated hashes are counted by key."""
+    by_hash = {"count_by": "hash"}
+    measured = R.measure(
+        spark,
+        [
+            RuleSet("lineitem", 1, (
+                Rule("U001", "uniqueness", "high", {"column": "l_orderkey", **by_hash}),
+                Rule("U002", "uniqueness", "low", {"column": "l_extendedprice", "max_duplicates_allowed": 10**9, **by_hash}),
+            )),
+            RuleSet("pages", 1, (Rule("U003", "uniqueness", "low", {"column": "html", **by_hash}),)),
+        ],
+        {name: D.table(spark, folder, name) for name in ("lineitem", "pages")},
+        D.AS_OF,
+    )
+    top = _top(measured)
+    shown = F.when(F.col("rule_id") == "U003", F.md5("value")).otherwise(F.col("value"))
+    return top.withColumn("value", shown)
+
+
 def check_uniqueness_text(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts of any length; the report shows the repeated texts themselves."""
     top = _top(
@@ -902,6 +922,7 @@ QUERIES: dict[str, Query] = {
         check_schema,
         check_completeness,
         check_uniqueness,
+        check_uniqueness_suspects,
         check_uniqueness_text,
         check_long_texts,
         check_range,
