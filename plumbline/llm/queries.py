@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, prefix_trie, ranked_search, secret_scan, site_quality, toxicity, vector_packing, warc
+from plumbline.llm import html_text, mixing, near_vectors, neighbours, ngram_join, packing, prefix_trie, ranked_search, secret_scan, vector_packing, warc
 from plumbline.llm.tables import table
 
 
@@ -17,6 +17,8 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm import site_quality  # with it comes the ML library, which other queries leave out of the driver
+
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
     return site_quality.scored(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
 
@@ -47,6 +49,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm import toxicity
+
     return toxicity.scored(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 

@@ -17,14 +17,30 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def kept(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the folder all executors share, and read from there.
 
-    A lost executor then costs a file read, not a new run of what came before.
+    A lost executor then costs a file read, not a new run of what came before.  The
+    files stay until ``forget``: results are read from them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid4().hex}"
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession) -> str:
+    """The folder of this application in the one all executors share."""
+    return f"{shared_folder(spark)}/kept-{spark.sparkContext.applicationId}"
+
+
+def forget(spark: SparkSession) -> None:
+    """Remove all that ``kept`` has written in this application.
+
+    To be called when the results of its operators have been written or read; frames
+    that were made from these files cannot be read any more.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
