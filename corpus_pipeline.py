@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, ngram_join, packing, secret_scan, toxicity
+from plumbline.llm import mixing, ngram_join, packing, secret_scan
 from plumbline.llm.tables import kept, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -19,6 +19,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
+    from plumbline.llm import toxicity  # with it comes the ML library, which other queries leave out of the driver
+
     docs = docs.select(*COLUMNS)
     return toxicity.clean(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 

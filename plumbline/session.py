@@ -33,14 +33,20 @@ def build_session(app: str = "plumbline", master: str | None = None, **conf: obj
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder, one for all it writes.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="plumbline-")
+    own = spark.sparkContext.applicationId
+    if own not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[own] = tempfile.mkdtemp(prefix="plumbline-")
+    return _LOCAL_FOLDERS[own]
+
+
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def settle(df: DataFrame) -> DataFrame:
