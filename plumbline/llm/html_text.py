@@ -41,9 +41,18 @@ ASIDE_WORDS = re.compile(
     r"|contentinfo|complementary|navigation|alert|dialog)"
 )
 MAIN_WORDS = re.compile(r"article\w*|post|entry|story|main|content|body|text")
+#: of these, those that name a part of a page whatever word stands before them
+PART_WORDS = re.compile(
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|widget\w*|cookies?|consent|newsletter"
+    r"|popup|modal|overlay|footer\w*|header\w*|masthead|topbar|toolbar|comments?|commentlist|pagination|pager)"
+)
 #: words that name no part of a page, before or behind those that do
-PLACE_WORDS = frozenset("site page top bottom global primary secondary".split())
-BOX_WORDS = frozenset("area bar block box buttons container form inner items links list section wrap wrapper".split())
+PLACE_WORDS = frozenset("site page top bottom left right global primary secondary".split())
+BOX_WORDS = frozenset(
+    "area bar block box buttons column container form inner items links list panel posts region section slot unit wrap wrapper zone".split()
+)
+#: words that begin what is said about an element, and not what it is
+MODIFIERS = frozenset("has have no not with without is show hide tag category cat topic author format type status layout template theme".split())
 
 FEATURES = (
     "words", "links", "before_words", "before_links", "after_words", "after_links", "aside", "article", "heading",
@@ -134,6 +143,8 @@ LABELLED = (
     (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 1, 0),
 )
 MAX_DEPTH = 6
+#: link density from which a block on a page of short ones is no text
+LINKS = 0.5
 
 
 @cache
@@ -174,6 +185,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _SPACE = re.compile(r"\s+")
+_WORDS = re.compile(r"[\W\d_]+|(?<=[a-z])(?=[A-Z])")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW_TAGS}
 
 
@@ -181,13 +193,19 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW_TAGS}
 def token_kind(token: str) -> str:
     """What one class, id or role says: aside (one word), part (a compound such as post-comments), main, header or nothing.
 
-    A compound stands aside by its last word, and only if the words before it
-    are such words too, places or parts of the article: site-footer, but neither
-    has-sidebar nor category-social.
+    Words are told apart by signs, numbers and capitals inside.  What follows a
+    modifier (has-sidebar, category-social) says nothing of what the element is.  The
+    last word that is not only a box or a place decides: it stands aside if it names a
+    part of a page by itself (reader-comments), or if it is one of the other words and
+    those before it are known too.  The content of such a part (footer-content) goes with it.
     """
-    words = [w for w in re.split(r"[_-]+", token) if w]
-    if len(words) == 1 or ASIDE_WORDS.fullmatch(token):
-        alone = words[0] if len(words) == 1 else token
+    words = [w.lower() for w in _WORDS.split(token) if w]
+    cut = next((k for k, w in enumerate(words) if w in MODIFIERS), len(words))
+    words = words[:cut]
+    if not words:
+        return ""
+    if len(words) == 1 or ASIDE_WORDS.fullmatch(token.lower()):
+        alone = words[0] if len(words) == 1 else token.lower()
         if ASIDE_WORDS.fullmatch(alone):
             return "header" if alone.startswith("header") else "aside"
         return "main" if MAIN_WORDS.fullmatch(alone) else ""
@@ -196,9 +214,13 @@ def token_kind(token: str) -> str:
     while len(named) > 1 and named[-1] in BOX_WORDS:
         named.pop()
     of_page = all(ASIDE_WORDS.fullmatch(w) or MAIN_WORDS.fullmatch(w) or w in PLACE_WORDS for w in named)
+    last = named[-1]
     # content-sidebar-wrap holds both
-    if of_page and ASIDE_WORDS.fullmatch(named[-1]) and (len(named) == len(words) or not main):
-        return ("main" if main else "header") if named[-1].startswith("header") else "part"
+    if (PART_WORDS.fullmatch(last) or of_page and ASIDE_WORDS.fullmatch(last)) and (len(named) == len(words) or not main):
+        return ("main" if main else "header") if last.startswith("header") else "part"
+    first = next((w for w in named if w not in PLACE_WORDS), last)
+    if PART_WORDS.fullmatch(first) and first is not last and MAIN_WORDS.fullmatch(last) and len(named) == len(words):
+        return "header" if first.startswith("header") else "part"
     return "main" if main else ""
 
 
@@ -209,7 +231,7 @@ def said(attributes: str) -> tuple[bool, frozenset[str]]:
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role", "itemprop"):
-            kinds.update(map(token_kind, value.lower().split()))
+            kinds.update(map(token_kind, value.split()))
         elif name == "hidden" or name == "style" and _UNSEEN.search(value) or name == "aria-hidden" and value.strip().lower() == "true":
             hidden = True
     return hidden, frozenset(kinds)
@@ -221,6 +243,7 @@ class Blocks:
     def __init__(self):
         self.out: list[tuple] = []
         self.open: list[tuple[str, int, int]] = []  # tag, aside and article as they were before it
+        self.names: Counter = Counter()  # of what is open
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.aside = self.article = self.heading = self.in_link = 0
@@ -253,6 +276,7 @@ class Blocks:
         if tag in VOID_TAGS or attributes.endswith("/") and tag not in BLOCK_TAGS:
             return
         self.open.append((tag, self.aside, self.article))
+        self.names[tag] += 1
         if tag == "a":
             self.in_link += 1
         elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
@@ -274,11 +298,14 @@ class Blocks:
 
     def close(self, tag: str, within: tuple = ()) -> None:
         """Closes the innermost open ``tag``; with ``within`` only if no container stands between."""
+        if not self.names[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
             name = self.open[k][0]
             if name == tag:
-                for closed in self.open[k:]:
-                    self.in_link -= closed[0] == "a"
+                for closed, _, _ in self.open[k:]:
+                    self.in_link -= closed == "a"
+                    self.names[closed] -= 1
                 _, self.aside, self.article = self.open[k]
                 del self.open[k:]
                 break
@@ -325,6 +352,9 @@ def main_text(page: str, tree=None) -> tuple[str, int, int]:
         for before, b, after in zip([edge, *found], found, [*found[1:], edge], strict=False)
         if classified(tree, (b[1], b[2], before[1], before[2], after[1], after[2], b[3], b[4], b[5]))
     ]
+    if not kept and not any(b[4] for b in found):
+        # a page of short blocks, none of which is told by itself: all that neither stand aside nor are links
+        kept = [b[0] for b in found if not b[3] and b[2] < LINKS]
     return "\n\n".join(kept), len(found), len(kept)
 
 

@@ -1,5 +1,7 @@
 """Main text of pages with and without helpful markup."""
 
+from time import process_time
+
 import pytest
 
 from plumbline.llm.html_text import blocks, extract, main_text
@@ -46,6 +48,8 @@ WRAPPERS = [
     "<article class='post category-social'>{}</article>", "<article class='post has-post-thumbnail no-sidebar tag-ads'>{}</article>",
     "<div class='content has-sidebar'>{}</div>", "<div class='entry tag-legal'>{}</div>", "<div id=page class='with-sidebar'><article>{}</article></div>",
     "<div class='content-sidebar-wrap'>{}</div>", "<section title='a hidden gem'>{}</section>", "<article data-note='display:none' data-role=menu>{}</article>",
+    "<div class='article-with-comments'>{}</div>", "<div class='section-legal'><article>{}</article></div>", "<div class='entryContent'>{}</div>",
+    "<div id='post-42'>{}</div>", "<div class='left-column'><article>{}</article></div>", "<div class='page-content no-header'>{}</div>",
     "<div style='overflow: hidden ;'>{}</div>", "<article aria-hidden=false>{}</article>",
 ]
 
@@ -59,6 +63,8 @@ def test_an_article_is_not_lost_by_one_word_of_its_attributes(wrapper):
 ASIDES = [
     "class=comment", "class='post-comments'", "class='site-footer'", "id=cookie-notice", "class='widget box'", "class='main-nav'", "class='share-buttons'",
     "hidden", "style='color: red; display:none'", "style='visibility:hidden'", "aria-hidden='true'", "role=dialog", "class='Sidebar'", "class='nav_menu'",
+    "class='ad-slot'", "id='advert-1'", "class='user-comment'", "class='comment-42'", "id='reader-comments'", "class='siteFooter'",
+    "class='left-sidebar'", "class='comment-body'", "class='related-posts'", "class='footer-content'", "id='cookieConsent'",
 ]
 
 
@@ -67,6 +73,19 @@ def test_what_stands_aside_is_still_left_out(attribute):
     assert main_text(f"<article><p>{LONG}</p><div {attribute}><p>{LONG} aside</p></div></article>")[0] == LONG
 
 
+def test_a_page_of_short_paragraphs_keeps_them():
+    page = "<div><a href=a>Home</a></div><div><p>Short one.</p><p>Another short one here.</p></div><footer>End</footer>"
+    assert main_text(page)[0] == "Short one.\n\nAnother short one here."
+    assert main_text("<ul><li><a href=a>one</a><li><a href=b>two</a></ul>")[0] == ""
+
+
+@pytest.mark.parametrize("page", ["<b>" * 100_000 + "</i>" * 100_000, "<div>" * 100_000 + "</p>" * 100_000, "<li><b>" * 50_000 + "</p></u>" * 50_000])
+def test_unmatched_tags_take_linear_time(page):
+    began = process_time()
+    assert main_text(page + f"<p>{LONG}</p>")[0] == LONG
+    assert process_time() - began < 3
+
+
 def test_blocks_know_links_and_containers():
     found = blocks("<nav><a href=x>a b</a> c</nav><p>d <a>e</a></p><h2>f</h2>")
     assert [(b[0], b[1], round(b[2], 2), b[3], b[5]) for b in found] == [("a b c", 3, 0.67, 1, 0), ("d e", 2, 0.5, 0, 0), ("f", 1, 0.0, 0, 1)]
