@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.tables import shuffle_width
+
 SEED = "mix-1"
 #: exponent of the actual sizes in the target weights where none are given: 0 equal, 1 as they are
 EXPONENT = 0.5
@@ -70,9 +72,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, budget: float
     id hashes as the empty text.  Equal rows draw equal counts.  Null or empty
     texts are mixed like others; an empty table gives an empty mixture.  Rows
     are ordered by ``shuffle_key`` over all partitions.
+
+    The keys are digests, so equal shares of their range hold equal shares of the
+    rows: a partition is told by the first digits, and nothing has to be sampled first.
     """
     spread = replicas(docs, weights, budget, seed)
-    return spread.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
+    width = shuffle_width(docs.sparkSession)
+    first = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") / float(2**32)
+    return spread.repartitionById(width, F.floor(first * width).cast("int")).sortWithinPartitions("shuffle_key")
 
 
 def replicas(docs: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0, seed: str = SEED) -> DataFrame:

@@ -45,7 +45,7 @@ def _secret_scan() -> str:
 def _mixing() -> str:
     seed = _quoted(mixing.SEED)
     return f"""
-        WITH sized AS (SELECT doc_id, source, coalesce(source, '') AS s, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+        WITH sized AS (SELECT doc_id, source, text, coalesce(source, '') AS s, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
                        greatest(length(coalesce(text, '')), 1) AS size FROM documents),
         sums AS (SELECT s, CAST(sum(size) AS DOUBLE) AS size FROM sized GROUP BY s),
         rates AS (SELECT s, pow(size, {mixing.EXPONENT}) / sum(pow(size, {mixing.EXPONENT})) OVER () * sum(size) OVER () / size AS mean FROM sums),
@@ -53,9 +53,9 @@ def _mixing() -> str:
                   FROM (SELECT s, mean, unnest(range(0, CAST(ceil(mean + 12 * sqrt(mean) + 25) AS BIGINT) + 1)) AS k FROM rates)),
         pmf AS (SELECT s, k, exp(sum(term) OVER (PARTITION BY s ORDER BY k) - mean) AS p FROM steps),
         cdf AS (SELECT s, k, sum(p) OVER (PARTITION BY s ORDER BY k) AS c FROM pmf),
-        draws AS (SELECT doc_id, source, s, k AS key, CAST('0x' || substr(md5({seed} || ':' || k), 1, 13) AS BIGINT) / pow(2, 52) AS u FROM sized),
-        counts AS (SELECT doc_id, source, key, count(*) FILTER (c <= u) AS n FROM draws JOIN cdf USING (s) GROUP BY doc_id, source, key, u)
-        SELECT doc_id, source, CAST(r AS INTEGER) AS replica, md5({seed} || ':' || key || ':' || r) AS shuffle_key
+        draws AS (SELECT doc_id, source, text, s, k AS key, CAST('0x' || substr(md5({seed} || ':' || k), 1, 13) AS BIGINT) / pow(2, 52) AS u FROM sized),
+        counts AS (SELECT doc_id, source, text, key, count(*) FILTER (c <= u) AS n FROM draws JOIN cdf USING (s) GROUP BY doc_id, source, text, key, u)
+        SELECT doc_id, source, text, CAST(r AS INTEGER) AS replica, md5({seed} || ':' || key || ':' || r) AS shuffle_key
         FROM (SELECT *, unnest(range(1, n + 1)) AS r FROM counts)"""
 
 

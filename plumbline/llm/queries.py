@@ -28,10 +28,7 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    sized = docs.select("doc_id", "source", "text")
-    mixed = mixing.replicas(sized).drop("text")
-    return mixed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
