@@ -233,7 +233,7 @@ def test_each_reason_to_reject(spark):
         ({"rule_type": "domain", "column": "a", "expectation": {"allowed_values": [1]}}, G.DOMAIN_PARAMS),
         ({"rule_type": "domain", "column": "a", "params": {"max_distinct": 5}}, None),
         ({"rule_type": "freshness", "params": {"ts_column": "x", "max_age_days": 3}}, None),
-        ({"rule_type": "completeness", "columns": ["a", " "]}, G.DUPLICATE),
+        ({"rule_type": "completeness", "columns": ["b", " "], "expectation": {"max_null_percent": 12}}, G.DUPLICATE),
     ]
     decided = judge(spark, [c for c, _ in cases], max_rules_to_add=100)
     assert reasons(decided) == {i: reason for i, (_, reason) in enumerate(cases)}
