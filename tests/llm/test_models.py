@@ -43,6 +43,40 @@ def test_features():
     assert toxicity.features("", words) == [0.0] * len(toxicity.FEATURES)
 
 
+def plain_features(text, lexicon):
+    """The features by their definition, word by word."""
+    words, n = text.lower().split(), max(1, len(text.split()))
+    signs, second = set("#$%&*@~^|<>=+_/\\[]{}"), toxicity.SECOND_PERSON
+
+    def weight(word):
+        options = [word] + [word[:k] + "*" for k in range(3, 9) if k <= len(word)]
+        return max([lexicon.get(o, 0.0) for o in options]) if word else 0.0
+
+    bare = [w.strip("".join(c for c in w if not c.isalnum())) for w in words]
+    odd = [not b.isalpha() and any(b[k - 1].isalnum() and not b[k].isalpha() and any(c.isalnum() for c in b[k + 1 :]) for k in range(1, len(b))) for b in bare]
+    read = ["".join(c for c in b.translate(toxicity.LOOKALIKES) if c.isalpha()) for b in bare]
+    weights = [int(100 * max(weight(b), weight(r) if o else 0.0)) / 100 for b, r, o in zip(bare, read, odd, strict=True)]
+    hits = [k for k, w in enumerate(weights) if w > 0]
+    you = [k for k, b in enumerate(bare) if b in second]
+    return {
+        "hits": len(hits), "hit_density": len(hits) / n, "weight": sum(weights), "top_weight": max(weights, default=0.0),
+        "kinds": len({bare[k] for k in hits}), "near_second_person": sum(any(abs(k - y) <= 4 for y in you) for k in hits),
+        "second_person_rate": len(you) / n, "exclamations": text.count("!") / n, "symbols": sum(c in signs for c in text) / n,
+        "obfuscated": sum(odd) / n, "obfuscated_hits": sum(odd[k] for k in hits),
+    }
+
+
+def test_features_are_those_of_a_plain_version():
+    random = np.random.default_rng(2)
+    lexicon = {"idiot": 5.0, "scum": 3.25, "réeux*": 3.0, "vil*": 2.5}
+    pool = ["You", "your", "idiot!", "1d1ot", "id!ot", "SCUM", "vile", "villain", "réeuxvi", "plain", "it's", "x_y", "42", "a=b", "!!!", "Tu", "sc-um", "s¢um"]
+    for _ in range(200):
+        text = " ".join(random.choice(pool, random.integers(1, 40)))
+        told = dict(zip(toxicity.FEATURES, toxicity.features(text, toxicity.Words(lexicon)), strict=True))
+        for name, value in plain_features(text, lexicon).items():
+            assert abs(told[name] - value) < 1e-9, (text, name)
+
+
 def test_quality_on_held_out_rows(spark):
     got = QUERIES["op8_site_quality"](spark, SF).join(table(spark, SF, "labels", "doc_id", "quality"), "doc_id").toPandas()
     held = got[got["held_out"]]
@@ -59,6 +93,47 @@ def test_places_shrink_to_the_level_above(spark, docs):
         assert got["good", "de"]["path_share"] < got["good", "de"]["host_share"]
 
 
+def strength(good, n, p):
+    """Pseudo-counts by moments, over groups of ``good`` out of ``n`` labels below shares ``p``."""
+    within = (((good - n * p) ** 2 / (p * (1 - p)) - n).sum()) / (n * (n - 1)).sum()
+    return min(max(1 / within - 1 if within > 0 else 1000.0, 2.0), 1000.0)
+
+
+def test_posteriors_are_those_of_plain_numpy(spark, docs):
+    """Hosts and paths from one label to hundreds, computed by loops over all labelled rows."""
+    random = np.random.default_rng(4)
+    hosts = random.choice(60, 3000, p=np.arange(60, 0, -1) / 1830)
+    paths = random.integers(0, 4, 3000)
+    good = random.random(3000) < np.clip(0.5 + 0.4 * np.sin(hosts) + 0.1 * np.cos(hosts * 4 + paths), 0.02, 0.98)
+    rows = [(i, "text", f"p{paths[i]}", f"h{hosts[i]}", 4) for i in range(3000)]
+    labels = spark.createDataFrame([(i, int(good[i])) for i in range(3000)], "doc_id long, quality int")
+    frame = docs(*rows).select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"))
+    got = {(r["host"], r["path"]): r for r in site_quality.places(frame, labels).collect()}
+    sums = {}
+    for i in range(3000):
+        if crc32(str(i).encode()) % 4 != 2:
+            for key in ((f"h{hosts[i]}", f"p{paths[i]}"), (f"h{hosts[i]}", None)):
+                g, n = sums.get(key, (0, 0))
+                sums[key] = g + int(good[i]), n + 1
+    by_host = {h: v for (h, p), v in sums.items() if p is None}
+    by_path = {k: v for k, v in sums.items() if k[1] is not None}
+    g, n = (np.array(c, float) for c in zip(*by_host.values(), strict=True))
+    prior = (g.sum() + 1) / (n.sum() + 2)
+    a = strength(g, n, np.full(len(g), prior))
+    host_share = {h: (v[0] + a * prior) / (v[1] + a) for h, v in by_host.items()}
+    above = np.array([host_share[h] for h, _ in by_path])
+    g, n = (np.array(c, float) for c in zip(*by_path.values(), strict=True))
+    b = strength(g, n, above)
+    assert 2.0 < a < 1000.0 and set(got) == set(by_path)
+    for (key, (good_, n_)), host in zip(by_path.items(), above, strict=True):
+        r = got[key]
+        assert abs(r["prior"] - prior) < 1e-12 and abs(r["host_share"] - host) < 1e-9
+        assert abs(r["path_share"] - (good_ + b * host) / (n_ + b)) < 1e-9
+    few = min(by_host, key=lambda h: by_host[h][1])
+    own = by_host[few][0] / by_host[few][1]
+    assert min(own, prior) <= host_share[few] <= max(own, prior)  # between its own labels and the corpus
+
+
 def test_quality_edge_cases(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     odd = docs((1, None), (2, "", None, None, None), (None, "x"), (3, "a | b " * 40000), (3, "a | b " * 40000))

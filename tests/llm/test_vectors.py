@@ -119,3 +119,15 @@ def test_neighbours_of_few_or_no_rows(spark):
     got = sorted(map(tuple, K.nearest(spark.createDataFrame(table, SCHEMA), "vec_id % 100 = 0", 10).collect()))
     assert got == [(100, 1, 1, 0.0), (100, 2, 2, 0.0)]
     assert K.nearest(spark.createDataFrame([], SCHEMA), "vec_id % 100 = 0", 10).count() == 0
+
+
+def test_ties_at_the_tenth_place_go_to_smaller_ids(spark):
+    """Five nearer rows, then thirty at one distance: the five of them with the smallest ids follow."""
+    query = [1.0] + [0.0] * 15
+    near = [(i, [1.0 + i / 100] + [0.0] * 15) for i in range(101, 106)]
+    tied = [(i, [1.0] + [4.0 if k == i % 15 else 0.0 for k in range(15)]) for i in range(230, 200, -1)]
+    rows = [(100, query), *near, *tied]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = K.nearest(df, "vec_id = 100", 10, visited=99.0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [101, 102, 103, 104, 105, 201, 202, 203, 204, 205]
+    assert [r["score"] for r in got[5:]] == [4.0] * 5
