@@ -1,27 +1,26 @@
 """Packing token sequences into windows of fixed size by best-fit decreasing.
 
 Documents are tokenized where they lie and cut into full windows first; what
-remains of each is shorter than a window.  The pieces with their ids are dealt
-to partitions of bounded size, and each partition packs its own and writes the
-ids of every sequence as one array.
+remains of each is shorter than a window.  Full windows are sequences as they are
+and do not move.  The remainders with their ids are dealt to partitions of bounded
+size, and each partition packs its own and writes the ids of every sequence together.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-import zlib
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plumbline.llm.tables import kept
+from plumbline.llm.tables import kept, small_batches
 
 WINDOW = 1024
 #: a file of the public tokenizers
@@ -38,17 +37,16 @@ UNEVEN = re.compile(r" (?!\S)")
 MEMORY = 600_000
 #: texts whose words are looked up together
 TEXTS_AT_ONCE = 256
+#: pieces or sequences that leave a task together
+PIECES_AT_ONCE = 1024
 
-#: sequences that leave a task together
-SEQUENCES_AT_ONCE = 512
-
-PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-PIECE_NAMES = [c.split()[0] for c in PIECE_SCHEMA.split(", ")]
-PACKED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long, padded_length long"
+#: ids are little-endian unsigned 32-bit numbers; slot names the row
+PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, slot long, ids binary"
 PLACED_NAMES = ["doc_id", "start", "length", "doc_tokens", "offset"]
 SEQUENCE_SCHEMA = (
-    "sequence_id long, padded_length long, ids array<int>, pieces array<struct<" + ", ".join(f"{n}: long" for n in PLACED_NAMES) + ">>"
+    "sequence_id long, padded_length long, ids binary, pieces array<struct<" + ", ".join(f"{n}: long" for n in PLACED_NAMES) + ">>"
 )
+PACKED = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length"]
 
 
 class Encoder:
@@ -101,34 +99,36 @@ class Encoder:
             self.known[word] = every[at:end]
 
 
-def _lists(lengths: np.ndarray, values) -> pa.ListArray:
-    """Lists of these lengths from the values in their order."""
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
-
-
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Full windows and remainders of every row: ``PIECE_SCHEMA`` and ``ids``.
+    """Full windows and remainders of every row: ``PIECE_SCHEMA``.
 
     ``doc_id`` and ``text`` are read; a null text is empty, and an empty one is
     the closing id alone.  Repeated rows are cut each by itself.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder, slot = Encoder(tokenizer), TaskContext.get().partitionId() << 32
         for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
-            rows, coming = [], []
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for doc_id, coded in zip(batch["doc_id"].to_pylist(), encoder.ids(texts), strict=True):
-                ids = memoryview(coded + END_ID.to_bytes(4, "little"))
-                total = len(ids) // 4
-                for at in range(0, total, WINDOW):
-                    part = ids[4 * at : 4 * (at + WINDOW)]
-                    rows.append((doc_id, at, len(part) // 4, zlib.crc32(part), total))
-                coming.append(ids)
-            columns = [pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True)) or [[]] * 5]
-            yield pa.record_batch([*columns, _lists(columns[2].to_numpy(), np.frombuffer(b"".join(coming), "<i4"))], names=[*PIECE_NAMES, "ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECE_SCHEMA + ", ids array<int>")
+            coded = [c + END_ID.to_bytes(4, "little") for c in encoder.ids([t or "" for t in batch["text"].to_pylist()])]
+            sizes = np.array([len(c) // 4 for c in coded], "i8")
+            count = -(-sizes // WINDOW)
+            owner = np.repeat(np.arange(len(sizes)), count)
+            start = WINDOW * (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
+            length = np.minimum(WINDOW, sizes[owner] - start)
+            ends = np.concatenate([[0], 4 * np.cumsum(length)]).astype("i4")
+            columns = [
+                batch["doc_id"].take(pa.array(owner)),
+                pa.array(start),
+                pa.array(length),
+                pa.array(sizes[owner]),
+                pa.array(np.arange(slot, slot + len(owner))),
+                pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(coded))]),
+            ]
+            slot += len(owner)
+            made = pa.record_batch(columns, names=["doc_id", "start", "length", "doc_tokens", "slot", "ids"])
+            yield from (made.slice(at, PIECES_AT_ONCE) for at in range(0, len(owner), PIECES_AT_ONCE))
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECE_SCHEMA)
 
 
 class OpenWindows:
@@ -182,28 +182,29 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
 
 
 def _packed(rows: pa.Table, first: int) -> tuple[pa.Table, int]:
-    """The sequences of some pieces, counted from ``first``, and how many there are."""
+    """The sequences of some remainders, named by odd numbers from ``first`` on, and how many there are."""
     rows = rows.combine_chunks()
     lengths = rows["length"].to_numpy()
     sequence, offset = best_fit_decreasing(lengths)
-    order = np.lexsort((offset, sequence))
-    rows = rows.append_column("offset", pa.array(offset)).take(pa.array(order))
     used = np.bincount(sequence, weights=lengths).astype("i8")
-    places = pa.StructArray.from_arrays([rows[n].combine_chunks() for n in PLACED_NAMES], PLACED_NAMES)
+    rows = rows.append_column("offset", pa.array(offset)).take(pa.array(np.lexsort((offset, sequence))))
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(sequence))]), pa.int32())
+    placed = pa.StructArray.from_arrays([rows[n].combine_chunks() for n in PLACED_NAMES], PLACED_NAMES)
+    ids, cuts = rows["ids"].to_pylist(), ends.to_pylist()
     columns = {
-        "sequence_id": pa.array(np.arange(first, first + len(used)), pa.int64()),
-        "padded_length": pa.array(np.where((used & (used - 1)) == 0, used, WINDOW), pa.int64()),
-        "ids": _lists(used, rows["ids"].combine_chunks().flatten()),
-        "pieces": _lists(np.bincount(sequence), places),
+        "sequence_id": pa.array(2 * np.arange(first, first + len(used)) + 1),
+        "padded_length": pa.array(np.where((used & (used - 1)) == 0, used, WINDOW)),
+        "ids": pa.array([b"".join(ids[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+        "pieces": pa.ListArray.from_arrays(ends, placed),
     }
     return pa.table(columns), len(used)
 
 
 def _packer(most: int):
-    """Packs a partition, ``most`` pieces at a time: copies of a row lie in one, however many they are."""
+    """Packs the remainders of a partition, ``most`` at a time."""
 
     def pack_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, held, room = TaskContext.get().partitionId() << 33, [], most
+        first, held, room = TaskContext.get().partitionId() << 32, [], most
         for batch in batches:
             while batch.num_rows:
                 held.append(batch.slice(0, room))
@@ -211,10 +212,10 @@ def _packer(most: int):
                 room -= held[-1].num_rows
                 if not room:
                     made, n = _packed(pa.Table.from_batches(held), first)
-                    yield from made.to_batches(max_chunksize=SEQUENCES_AT_ONCE)
+                    yield from made.to_batches(max_chunksize=PIECES_AT_ONCE)
                     first, held, room = first + n, [], most
         if held:
-            yield from _packed(pa.Table.from_batches(held), first)[0].to_batches(max_chunksize=SEQUENCES_AT_ONCE)
+            yield from _packed(pa.Table.from_batches(held), first)[0].to_batches(max_chunksize=PIECES_AT_ONCE)
 
     return pack_all
 
@@ -225,41 +226,44 @@ def sequences(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     ``ids`` holds the sequence's tokens, at most ``WINDOW``; ``pieces`` says which
     document each run of them is from, without gaps from offset 0.  ``padded_length``
     is the size with padding, which is the window, or no padding at all where the
-    ids fill a power of two.  Repeated rows are packed each, rows with a null id
-    under that null; an empty table gives no rows.
+    ids fill a power of two.  Full windows have even names and the packed remainders
+    odd ones.  Repeated rows are packed each, rows with a null id under that null; an
+    empty table gives no rows.
     """
-    cut = kept(pieces(docs, tokenizer), "pieces")
-    n = max(1, -(-cut.count() // PIECES_PER_TASK))
-    dealt = cut.repartition(n, F.xxhash64("doc_id", "start", "ids_crc32"))
-    return dealt.sortWithinPartitions("doc_id", "start", "ids_crc32").mapInArrow(_packer(2 * PIECES_PER_TASK), SEQUENCE_SCHEMA)
+    small_batches(docs.sparkSession)
+    cut = kept(pieces(docs, tokenizer), "pieces", compression="zstd")
+    full = F.col("length") == WINDOW
+    placed = F.array(F.struct(*PLACED_NAMES[:-1], F.lit(0).cast("long").alias("offset")))
+    size = F.lit(WINDOW).cast("long").alias("padded_length")
+    whole = cut.where(full).select((2 * F.col("slot")).alias("sequence_id"), size, "ids", placed.alias("pieces"))
+    rest = cut.where(~full)
+    n = max(1, -(-rest.count() // PIECES_PER_TASK))
+    # a slot is one row, so the deal is even, and a task that runs again gets the same rows; their order is settled by sorting
+    dealt = rest.repartition(n, "slot").sortWithinPartitions("slot")
+    return whole.unionByName(dealt.mapInArrow(_packer(2 * PIECES_PER_TASK), SEQUENCE_SCHEMA))
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def listed(ids: pa.Array) -> pa.Array:
+    """The ids of a sequence as numbers."""
+    sizes = np.array([len(i.as_buffer()) // 4 if i.is_valid else 0 for i in ids])
+    every = np.frombuffer(b"".join(i.as_py() or b"" for i in ids), "<i4")
+    mask = ids.is_null() if ids.null_count else None
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(every), mask=mask)
 
 
 def places(packed: DataFrame, whole: bool = False) -> DataFrame:
-    """Every piece of ``sequences`` with its place: ``PACKED_SCHEMA``, its digest from the sequence's ids.
+    """Every piece of ``sequences`` with its place: ``PACKED``, its checksum of the ids where they are now.
 
     With ``whole`` also ``sequence``: the ids of the whole sequence in the row of
     its first piece (offset 0), none in the others.
     """
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, SEQUENCES_AT_ONCE) for b in batches for at in range(0, b.num_rows, SEQUENCES_AT_ONCE)):
-            found, count = batch["pieces"].flatten(), pc.list_value_length(batch["pieces"]).to_numpy()
-            columns = {n: found.field(k) for k, n in enumerate(PLACED_NAMES)}
-            ids = memoryview(batch["ids"].flatten().to_numpy().astype("<u4").tobytes())
-            ends = 4 * np.cumsum(columns["length"].to_numpy())
-            begins = [0, *ends[:-1].tolist()]
-            columns["ids_crc32"] = pa.array([zlib.crc32(ids[a:z]) for a, z in zip(begins, ends.tolist(), strict=True)], pa.int64())
-            for n in ("sequence_id", "padded_length"):
-                columns[n] = pa.array(np.repeat(batch[n].to_numpy(), count), pa.int64())
-            if whole:
-                size = np.zeros(len(found), "i8")
-                size[np.cumsum(count) - count] = pc.list_value_length(batch["ids"]).to_numpy()
-                columns["sequence"] = _lists(size, batch["ids"].flatten())
-            yield pa.record_batch([columns[n] for n in names], names=names)
-
-    schema = PACKED_SCHEMA + (", sequence array<int>" if whole else "")
-    names = [c.split()[0] for c in schema.split(", ")]
-    return packed.mapInArrow(told, schema)
+    rows = packed.select("sequence_id", "padded_length", "ids", F.inline("pieces"))
+    own = F.substring(F.col("ids"), (4 * F.col("offset") + 1).cast("int"), (4 * F.col("length")).cast("int"))
+    told = rows.withColumn("ids_crc32", F.crc32(own))
+    if not whole:
+        return told.select(*PACKED)
+    return told.select(*PACKED, listed(F.when(F.col("offset") == 0, F.col("ids")).otherwise(F.lit(b""))).alias("sequence"))
 
 
 def pack(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

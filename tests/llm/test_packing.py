@@ -88,6 +88,7 @@ def test_sequences_hold_the_ids_of_their_pieces(docs, encoder, monkeypatch):
     for most in (P.PIECES_PER_TASK, 10):  # also where copies overfill a partition
         monkeypatch.setattr(P, "PIECES_PER_TASK", most)
         got = P.sequences(docs(*rows)).collect()
+        got = [{**s.asDict(), "ids": np.frombuffer(s["ids"], "<u4").tolist()} for s in got]
         assert sum(len(s["ids"]) for s in got) == expected and len({s["sequence_id"] for s in got}) == len(got)
         for s in got:
             assert len(s["ids"]) <= P.WINDOW
