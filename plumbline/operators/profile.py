@@ -98,12 +98,9 @@ def _profile_one(
         f"select {i} as ordinal, count(1) as distinct_count, max(n) as max_dup_count from counts_{i}"
         for i, _ in fields
     )
-    tops = "\nunion all ".join(_top_sql(i, f, max_top + 1) for i, f in fields)
+    tops = "\nunion all ".join(_top_sql(i, f, _taken(f, max_top)) for i, f in fields)
     best = df.sparkSession.sql(f"with {counts}\n{tops}", df=df)
-    texts = [f"select {i} as branch, key as value, n from counts_{i}" for i, f in fields if V.is_text(V.key_type(f.dataType))]
-    no_texts = "select 0 as branch, '' as value, 0L as n where false"
-    counted = df.sparkSession.sql(f"with {counts}\n" + ("\nunion all ".join(texts) or no_texts), df=df)
-    listed = C.top_values(counted, max_top, [(df, {i: f.name for i, f in fields})], best).selectExpr(
+    listed = C.top_values(best, max_top, [(df, {i: f.name for i, f in fields})], best).selectExpr(
         "branch as ordinal",
         "transform(top, e -> struct(e.value as value, e.n as count)) as top_values",
     )
@@ -129,6 +126,11 @@ def _profile_one(
     )
 
 
+def _taken(field: T.StructField, max_top: int) -> int:
+    """Frequent values that are taken before the shown ones are told: more of texts, which may tie."""
+    return max(max_top, C.TIED) if V.is_text(V.key_type(field.dataType)) else max_top
+
+
 def _column(field: T.StructField) -> str:
     """The column for a statement whose braces name frames."""
     return V.named(field.name).replace("{", "{{").replace("}", "}}")
@@ -255,11 +257,11 @@ def _profile_rows(dataset_id: str, df: DataFrame, max_top: int) -> DataFrame:
     )
     order = ", ".join(["n desc", *PLACES])
     place = f"row_number() over (partition by ordinal order by {order})"
-    best = valued.where("there").withColumn("rank", F.expr(place)).where(F.col("rank") <= max_top + 1)
+    taken = max(_taken(f, max_top) for _, f in fields)
+    best = valued.where("there").withColumn("rank", F.expr(place)).where(F.col("rank") <= taken)
     text = " ".join(f"when {i} then {_replaced(f.dataType)}" for i, f in fields)
     best = best.selectExpr("ordinal as branch", "rank", f"case ordinal {text} end as value", "n")
-    texts = counts.where("s is not null").selectExpr("ordinal as branch", "s as value", "n")
-    listed = C.top_values(texts, max_top, [(df, {i: f.name for i, f in fields})], best).selectExpr(
+    listed = C.top_values(best, max_top, [(df, {i: f.name for i, f in fields})], best).selectExpr(
         "branch as ordinal", "transform(top, e -> struct(e.value as value, e.n as count)) as top_values"
     )
     columns = ", ".join(f"struct({i} as ordinal, {V.text_literal(f.name)} as column, '{type_name(f.dataType)}' as dtype)" for i, f in fields)

@@ -20,6 +20,8 @@ from plumbline.session import settle
 # The most frequent keys are handled apart; every other key then holds at most
 # 1 / (HOT_KEYS + 1) of the rows.
 HOT_KEYS = 1_000
+# Keys of a branch that may tie at the cut and be looked up whole; what ties beyond goes by key.
+TIED = 500
 # Hashes of eight bytes that may be broadcast to find the rows of repeated keys.
 BROADCAST_HASHES = 1_000_000
 
@@ -130,9 +132,12 @@ def as_array(best: DataFrame) -> DataFrame:
     return best.groupBy("branch").agg(F.expr(top))
 
 
-def _long_texts(sources: list[tuple[DataFrame, dict[int, str]]]) -> DataFrame | None:
-    """(branch, value, whole) of the rows with long texts; ``value`` is the key that stands for the text."""
-    found = []
+def _long_texts(sources: list[tuple[DataFrame, dict[int, str]]]) -> tuple[DataFrame | None, list[int]]:
+    """(branch, value, whole) of the rows with long texts, and the branches that count texts.
+
+    ``value`` is the key that stands for the text.
+    """
+    found, branches = [], []
     for df, columns in sources:
         entries = []
         for branch, column in columns.items():
@@ -141,9 +146,10 @@ def _long_texts(sources: list[tuple[DataFrame, dict[int, str]]]) -> DataFrame |
                 text = V.whole_text(c, kind)
                 entry = f"struct({branch} as branch, {V.groupable(c, kind)} as value, {text} as whole)"
                 entries.append(f"if({V.is_long(text)}, {entry}, null)")
+                branches.append(branch)
         if entries:
             found.append(df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))"))
-    return union_all(found) if found else None
+    return (union_all(found) if found else None), branches
 
 
 def top_values(
@@ -152,37 +158,31 @@ def top_values(
     """(branch, top): the ``limit`` most frequent values of each branch, ties by value, long texts whole.
 
     Keys order like the texts they stand for, but for long texts that begin alike.  So
-    the cut is made by key, with one row more than is shown (``best``, if it is there
-    already); where keys of one frequency and one beginning meet in it, the whole texts
-    of all keys like these are looked up, and order them.  Only those beginnings and the
-    shown digests are broadcast, a fixed number per branch.  Where there are none, the
-    frames are not read again.  ``sources`` lists frames with the column each branch counts.
+    more rows than are shown are taken by key (``best``, if it is there already), and
+    those that tie with the last one shown, and begin like it, are looked up with the
+    shown ones and ordered whole.  ``sources`` lists frames with the column each branch
+    counts.  Only digests are broadcast, at most ``TIED`` per branch; where there are
+    none the broadcast side is empty and the frames are not read again.
     """
-    best = top_rows(counted, limit + 1) if best is None else best
-    shown = best.where(F.col("rank") <= limit)
-    texts = _long_texts(sources)
+    best = top_rows(counted, max(limit, TIED)) if best is None else best
+    # a row per branch: both uses of it share one shuffle
+    base = best.groupBy("branch").agg(F.expr("array_sort(collect_list(struct(rank, value, n))) as found"))
+    texts, branches = _long_texts(sources)
     if texts is None:
-        return as_array(shown)
-    begin, long_ = F.expr(V.beginning("value")), F.expr(V.is_long("value"))
-    alike = (
-        best.where(long_).groupBy("branch", "n", begin.alias("begin")).agg(F.count(F.lit(1)).alias("keys"), F.min("rank").alias("place"))
-        .where("keys > 1").select("branch", "n", "begin", "place")
-    )
-    keyed = shown.select("branch", "value", "n", "rank", F.when(long_, begin).alias("begin"))
-    told = keyed.join(F.broadcast(alike), ["branch", "n", "begin"], "left")
-    settled = told.where("place is null").select("branch", "value", "n", "begin", F.col("rank").alias("place"))
-    open_ = counted.where(long_).select("branch", "value", "n", begin.alias("begin")).join(F.broadcast(alike), ["branch", "n", "begin"])
-    wanted = settled.where("begin is not null").select("branch", "begin", F.col("value").alias("one"))
-    wanted = wanted.unionByName(alike.select("branch", "begin", F.lit(None).cast("string").alias("one")))
-    met = texts.withColumn("begin", begin).join(F.broadcast(wanted), ["branch", "begin"]).where("one is null or one = value")
+        return base.selectExpr("branch", f"transform(slice(found, 1, {limit}), e -> struct(e.value as value, e.n as n)) as top")
+    of_texts = f"branch in ({', '.join(map(str, branches))})"
+    last = f"found[least(size(found), {limit}) - 1]"
+    tied = f"{of_texts} and e.n = {last}.n and {V.is_long('e.value')} and {V.beginning('e.value')} = {V.beginning(last + '.value')}"
+    tops = base.selectExpr("branch", f"filter(found, e -> e.rank <= {limit} or coalesce({tied}, false)) as top")
+    digests = tops.where(of_texts).selectExpr("branch", "explode(top.value) as value").where(V.is_long("value"))
+    wanted = texts.join(F.broadcast(digests), ["branch", "value"])
     # Equal digests, equal texts: the set of each has one element.  Unlike any_value, it is
     # aggregated in a hash map, so the rows of a frequent text are not sorted.
-    whole = met.groupBy("branch", "value").agg(F.expr("collect_set(whole)[0] as whole"))
-    columns = ("branch", "value", "n", "place")
-    every = settled.select(*columns).unionByName(open_.select(*columns))
-    restored = every.join(whole, ["branch", "value"], "left").selectExpr("branch", "n", "place", "coalesce(whole, value) as value")
-    order = Window.partitionBy("branch").orderBy("place", "value")
-    return as_array(restored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit))
+    single = wanted.groupBy("branch", "value").agg(F.expr("collect_set(whole)[0] as whole"))
+    whole = single.groupBy("branch").agg(F.expr("map_from_entries(collect_list(struct(value, whole))) as whole"))
+    told = "transform(top, e -> struct(coalesce(try_element_at(whole, e.value), e.value) as value, e.n as n))"
+    by_text = f"transform(array_sort(transform({told}, e -> struct(-e.n as less, e.value as value))), e -> struct(e.value as value, -e.less as n))"
+    return tops.join(whole, "branch", "left").selectExpr("branch", f"slice(if({of_texts}, {by_text}, {told}), 1, {limit}) as top")
 
 
 def rows_with_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:

@@ -314,6 +314,9 @@ def test_of_many_long_texts_that_begin_alike_the_first_by_value_are_shown(spark)
 def test_long_binary_keys_are_short(spark):
     df = spark.sql("select unhex(repeat('ab', 10000)) as b from range(2)")
     assert run(spark, {"d": df}, "uniqueness", column="b")[1]["duplicates"] == 1
+    both = df.selectExpr("b", "repeat('t', 300) as t")
+    assert len(run(spark, {"d": both}, "uniqueness", column="b")[1]["duplicate_keys"]) == 1
+    assert run(spark, {"d": both}, "uniqueness", column="t")[1]["duplicate_keys"] == ["t" * 300]
     from plumbline.operators import value_counts as C
 
     assert len(C.value_counts(df, "b").first()["key"]) == 232
