@@ -236,8 +236,10 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
 
     dealt = docs.select("text").mapInArrow(count, BLOB_SCHEMA)
     table = np.zeros(span * parts, np.uint8)
-    for row in dealt.groupBy("part").applyInArrow(summed, BLOB_SCHEMA).collect():
-        table[row["part"] * span : (row["part"] + 1) * span] = np.frombuffer(row["data"], np.uint8)
+    # as Arrow batches: rows would hold the table once more in the driver
+    found = dealt.groupBy("part").applyInArrow(summed, BLOB_SCHEMA).toArrow()
+    for part, data in zip(found["part"].to_pylist(), found["data"], strict=True):
+        table[part * span : (part + 1) * span] = np.frombuffer(data.as_buffer(), np.uint8)
     return table[:width]
 
 
