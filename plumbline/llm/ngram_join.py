@@ -38,6 +38,8 @@ SKETCH = 96
 SCREEN = 0.36
 #: counters of the frequency table, whose size is its bound: one byte each is broadcast
 COUNTERS = 1 << 25
+#: slots of the table that are worked on at once in the driver
+PIECE = 1 << 20
 #: lists expected to be longer are dealt to several tasks
 HOT_LIST = 4096
 #: postings that a task gathers before it sends them, and those of a part of the key space on average
@@ -243,6 +245,11 @@ def frequency_levels(docs: DataFrame, width: int) -> np.ndarray:
     return table[:width]
 
 
+def _slots_by_level(levels: np.ndarray) -> np.ndarray:
+    """How many slots have each level; by pieces, since ``bincount`` makes eight bytes of each."""
+    return sum((np.bincount(levels[i : i + PIECE], minlength=256) for i in range(0, len(levels), PIECE)), np.zeros(256, np.int64))
+
+
 def boundary(levels: np.ndarray) -> int:
     """The size up to which enumerating pairs of the prefix costs no more than scanning lists.
 
@@ -251,7 +258,7 @@ def boundary(levels: np.ndarray) -> int:
     They meet at p = 1 + 2L.  L comes from the frequency table, less what
     different shingles in one slot add to it.
     """
-    slots, counts = np.bincount(levels, minlength=256), _count_of(np.arange(256))
+    slots, counts = _slots_by_level(levels), _count_of(np.arange(256))
     total = float((slots * counts).sum())
     if not total:
         return 3
@@ -336,7 +343,7 @@ def meetings(docs: DataFrame, levels: np.ndarray, bound: int) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(levels)
     # a set has about a quarter of its shingles in its prefix
-    shingles = float((np.bincount(levels, minlength=256) * _count_of(np.arange(256))).sum())
+    shingles = float((_slots_by_level(levels) * _count_of(np.arange(256))).sum())
     parts = max(shuffle_width(spark), min(65536, int(shingles / 4 / POSTINGS_PER_PART)))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -141,3 +142,15 @@ def test_components(spark, edges):
     nodes = {x for e in edges for x in e if None not in e and e[0] != e[1]}
     found = roots(100, [e for e in edges if None not in e])
     assert got == {x: found[x] for x in nodes}
+
+
+def test_the_driver_counts_levels_without_a_wider_copy_of_the_table():
+    levels = np.random.default_rng(1).integers(0, 256, 8 * N.PIECE + 5, dtype=np.uint8)
+    assert (N._slots_by_level(levels) == np.bincount(levels, minlength=256)).all()
+    assert (N._slots_by_level(levels[:0]) == 0).all()
+    tracemalloc.start()
+    try:
+        N.boundary(levels)
+        assert tracemalloc.get_traced_memory()[1] < 2 * len(levels)
+    finally:
+        tracemalloc.stop()
