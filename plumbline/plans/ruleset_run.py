@@ -11,12 +11,14 @@ runs it all and writes it.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cache
 from time import monotonic
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import (
     AnalysisException,
     ArithmeticException,
@@ -24,6 +26,7 @@ from pyspark.errors import (
     DateTimeException,
     IllegalArgumentException,
     NumberFormatException,
+    PySparkException,
     SparkRuntimeException,
     UnsupportedOperationException,
 )
@@ -45,6 +48,7 @@ from plumbline.model import (
 )
 from plumbline.operators import value_counts as C
 from plumbline.operators.checks import Check, Clock, Grouping, compile_rule
+from plumbline.session import settle
 from plumbline.sources.sinks import append_results, append_samples, begin_run, sample_folder
 
 # Aggregates per scan; more rules than this are measured in several scans, to keep
@@ -53,8 +57,10 @@ CHECKS_PER_SCAN = 100
 # Rules that ``execute`` measures in one job; it runs as many jobs as it takes.
 RULES_PER_JOB = 300
 
-# Share of the bad rows in which a bound for the first ones is looked for.
+# Share of the bad rows in which a bound for the first ones is looked for; of rules about
+# values, whose rows are bad by their key, it is a share of the keys.
 BOUND_SHARE = 1 / 256
+KEY_SHARES = 256
 
 # What a rule's expressions can raise.  Anything else, such as a lost executor or a
 # cancelled job, says nothing about the data and ends the run.
@@ -409,6 +415,7 @@ def sample(
     dataset, by default its leading columns.  A rule by itself is planned as ordered top
     rows.  Several row-local rules of a dataset share their scans: one over a small
     share of the rows gives each rule a bound, and only bad rows up to it are ordered.
+    For rules about values the bound is looked for now, in a share of their keys.
     """
     wanted = None if only is None else set(only)
     parts = []
@@ -421,8 +428,8 @@ def sample(
             if check.bad is not None:
                 local.setdefault(check.dataset, []).append(check)
             else:
-                rows = violations(check, datasets)
                 order = _order(datasets[check.dataset], check.dataset, order_by)
+                rows = _first_violations(check, datasets, order, max_samples)
                 tag = _tag(p.ruleset, check)
                 parts.append(_first_rows(rows, tag, order, max_samples))
         for dataset, checks in local.items():
@@ -437,6 +444,61 @@ def sample(
     return C.union_all(parts) if parts else None
 
 
+def _first_violations(check: Check, datasets: Datasets, order: list[str], max_samples: int) -> DataFrame:
+    """Bad rows of a rule about values, the first ``max_samples`` by ``order`` among them."""
+    try:
+        return _bounded_violations(check, datasets, order, max_samples)
+    except (PySparkException, Py4JJavaError):  # what fails belongs to whoever reads the rows
+        return violations(check, datasets)
+
+
+def _bounded_violations(check: Check, datasets: Datasets, order: list[str], max_samples: int) -> DataFrame:
+    """The same, without moving rows that cannot be among the first.
+
+    Whether a row is bad depends on its key alone, so all is known about the keys of a
+    share from the rows that have them.  The place of their ``max_samples``-th bad row is
+    a bound; only rows up to it are looked at, and only keys of these are counted or
+    looked for in the parent.  With fewer bad rows in the share there is no bound, but
+    few bad keys.  Keys are picked by broadcast hashes as long as these are few, and
+    what remains is decided by key.
+    """
+    df, grouping = datasets[check.dataset], check.grouping
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    column, kind = V.named(grouping.column), kinds[grouping.column]
+    if grouping.kind == "repeated":
+        key, parent_key = V.groupable(column, kind), None
+    else:
+        parent_kind = C.kind_of(datasets[grouping.parent_dataset], grouping.parent_column)
+        key, _, parent_key = V.same_footing(column, kind, V.named(grouping.parent_column), parent_kind)
+
+    def of_share(rows: DataFrame, key: str) -> DataFrame:
+        return rows.where(f"pmod(xxhash64({key}), {KEY_SHARES}) = 0")
+
+    def picked_by(hashes: DataFrame) -> Callable[[DataFrame, str], DataFrame]:
+        return lambda rows, key: rows.join(F.broadcast(hashes), F.expr(f"xxhash64({key}) = `__hash`"), "left_semi")
+
+    def bad_keys(rows: DataFrame, pick: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+        """The bad ones among the keys of ``rows``, which ``pick`` finds in the parent too."""
+        parents = {} if parent_key is None else {grouping.parent_dataset: pick(datasets[grouping.parent_dataset], parent_key)}
+        return keys_of(grouping, rows, {**datasets, **parents})[0]
+
+    place = f"struct({', '.join(V.groupable(V.named(c), kinds[c]) for c in order)})"
+    some = of_share(df, key)
+    first = C.rows_with_keys(some, key, bad_keys(some, of_share)).selectExpr(f"{place} as `__bound`").orderBy("__bound").limit(max_samples)
+    bound = settle(first.agg(F.max("__bound").alias("__bound"), F.expr("count(1) as `__n`")))
+    if bound.select("__n").first()[0] < max_samples:
+        keys = settle(keys_of(grouping, df, datasets)[0])
+        if keys.count() <= C.BROADCAST_HASHES:
+            df = picked_by(keys.selectExpr("xxhash64(key) as `__hash`"))(df, key)
+        return C.rows_with_keys(df, key, keys)
+    near = df.join(F.broadcast(bound.select("__bound")), F.expr(f"{place} <= `__bound`"), "left_semi")
+    hashes = settle(near.selectExpr(f"xxhash64({key}) as `__hash`").distinct())
+    if hashes.count() > C.BROADCAST_HASHES:
+        return C.rows_with_keys(near, key, keys_of(grouping, df, datasets)[0])
+    pick = picked_by(hashes)
+    return C.rows_with_keys(near, key, settle(bad_keys(pick(df, key) if parent_key is None else near, pick)))
+
+
 def _tag(ruleset: RuleSet, check: Check) -> str:
     dataset_id, rule_id = V.text_literal(ruleset.dataset_id), V.text_literal(check.rule.rule_id)
     return f"struct({check.seq} as seq, {dataset_id} as dataset_id, {rule_id} as rule_id)"
@@ -540,13 +602,14 @@ def execute(
     table = spark.createDataFrame([tuple(r[f] for f in fields) for r in rows], RESULTS_SCHEMA)
     table = table.select(*RESULT_COLUMNS, "seq")
 
-    def bad_rows(some: list[int]) -> DataFrame:
+    @cache  # the rows that are written and those that are returned share their bounds
+    def bad_rows(some: tuple[int, ...]) -> DataFrame:
         found = sample(planned, datasets, some, order_by, max_samples)
         return found.select(F.lit(run_id).alias("run_id"), "*")
 
     def write_samples(some: list[int]) -> None:
         try:
-            append_samples(bad_rows(some), written)
+            append_samples(bad_rows(tuple(some)), written)
         except EVALUATION_ERRORS as problem:
             if len(some) == 1:
                 warnings.warn(f"no sample of rule {some[0]}: {_condition(problem)}", stacklevel=2)
@@ -559,7 +622,7 @@ def execute(
         if failing:
             write_samples(failing)
         written.commit()
-    return Run(run_id, table, bad_rows(failing) if failing else None)
+    return Run(run_id, table, bad_rows(tuple(failing)) if failing else None)
 
 
 def _jobs(planned: list[Planned]) -> list[list[Planned]]:

@@ -177,6 +177,55 @@ def test_only_rows_up_to_the_bound_are_ordered(spark):
     assert len(bounds) == 2 and all(b["__bound"] < 40000 for b in bounds)
 
 
+VALUE_RULES = (
+    Rule("U", "uniqueness", "low", {"column": "k"}),
+    Rule("K", "referential_integrity", "low", {"child_column": "k", "parent_dataset": "p", "parent_column": "k"}),
+    Rule("F", "uniqueness", "low", {"column": "few"}),
+    Rule("N", "uniqueness", "low", {"column": "none"}),
+)
+
+
+def _value_rows(spark):
+    """Repeated keys and orphans with nulls and ties, rules of few bad rows and of none; the parent's type is another."""
+    df = spark.range(20000).repartition(5).selectExpr(
+        "(id * 7919) % 20000 div 3 as place", "id as n", "if(id % 97 = 0, null, cast(id * 31 % 12000 as string)) as k",
+        "if(id < 40, id div 2, id) as few", "id as none",
+    )
+    return {"d": df, "p": spark.range(6000).selectExpr("id as k").unionByName(spark.range(50).selectExpr("id as k"))}
+
+
+@pytest.mark.parametrize("shares, hashes", [(256, 1_000_000), (4, 1_000_000), (4, 10), (1, 1_000_000), (10**9, 10)])
+def test_samples_of_value_rules_are_the_first_rows(spark, monkeypatch, shares, hashes):
+    """Bounds from some of the keys change nothing, however many keys there are."""
+    monkeypatch.setattr(R, "KEY_SHARES", shares)
+    monkeypatch.setattr(C, "BROADCAST_HASHES", hashes)
+    datasets = _value_rows(spark)
+    planned = R.plan([RuleSet("d", 1, VALUE_RULES)], datasets, Clock.at())
+    for order in (["place", "n"], ["k", "n"]):
+        payloads = {"N": []}
+        for r in R.sample(planned, datasets, order_by={"d": order}, max_samples=30).orderBy("rule_id", "position").collect():
+            payloads.setdefault(r["rule_id"], []).append(json.loads(r["payload"])["n"])
+        for check in planned[0].checks:
+            plain = [r["n"] for r in R.violations(check, datasets).orderBy(*order).limit(30).collect()]
+            assert payloads[check.rule.rule_id] == plain, (order, check.rule.rule_id)
+
+
+def test_only_rows_up_to_the_bound_are_joined_with_their_keys(spark):
+    datasets = {"d": spark.range(200000).selectExpr("id as place", "id div 4 as k"), "p": spark.range(10).selectExpr("id as k")}
+    planned = R.plan([RuleSet("d", 1, VALUE_RULES[:2])], datasets, Clock.at())
+    for check in planned[0].checks:
+        rows = R._first_violations(check, datasets, ["place"], 20)
+        assert 20 <= rows.count() < 50000  # of about 200,000 bad rows
+
+
+def test_a_sample_that_cannot_be_evaluated_fails_where_it_is_read(spark):
+    df = spark.range(50).selectExpr("id as n", "if(id < 49, id div 2, cast(raise_error('no value') as bigint)) as k")
+    planned = R.plan([RuleSet("d", 1, VALUE_RULES[:1])], {"d": df}, Clock.at())
+    found = R.sample(planned, {"d": df})
+    with pytest.raises(Exception, match="no value"):
+        found.collect()
+
+
 def test_one_rule_is_planned_as_top_rows(spark):
     df = spark.range(1000).selectExpr("id as n", "id % 2 as half")
     planned = R.plan([RuleSet("d", 1, (Rule("C", "range", "low", {"column": "half", "min": 1}),))], {"d": df}, Clock.at())
