@@ -85,6 +85,28 @@ def orphan_keys(
     return counts.join(known, "key", "left_anti")
 
 
+def met_counts(
+    sides: list[tuple[DataFrame, str, dict[str, str]]], branches: dict[int, tuple[str, str]], kind: T.DataType
+) -> DataFrame:
+    """(branch, value, n) of several counts over the same keys, in one shuffle and without a join.
+
+    ``sides`` are frames with their key and, by name, the predicates of the rows to be
+    counted; the keys of all sides meet in one row with all counts.  ``branches`` gives,
+    per branch number, which keys belong to it and its count, in terms of these names.
+    """
+    names = [name for _, _, counted in sides for name in counted]
+    rows = []
+    for df, key, counted in sides:
+        flags = [f"{counted.get(name, 'false')} as {name}" for name in names]
+        rows.append(df.where(" or ".join(counted.values())).selectExpr(f"{key} as key", *flags))
+    met = union_all(rows).groupBy("key").agg(*[F.expr(f"count_if({name}) as {name}") for name in names])
+    if len(branches) == 1:
+        ((branch, (wanted, n)),) = branches.items()
+        return key_texts(met.where(wanted).selectExpr("key", f"{n} as n"), branch, kind)
+    found = [f"if({wanted}, struct({branch} as branch, value, {n} as n), null)" for branch, (wanted, n) in branches.items()]
+    return met.selectExpr("*", f"{V.as_text('key', kind)} as value").selectExpr(f"inline(array_compact(array({', '.join(found)})))")
+
+
 def invalid_values(df: DataFrame, tests: dict[int, tuple[str, str]]) -> DataFrame:
     """(branch, value, n) of the bad values of several columns, in one scan.
 
@@ -114,6 +136,31 @@ def totals(counted: DataFrame) -> DataFrame:
     )
 
 
+def levels(counted: DataFrame) -> DataFrame:
+    """(branch, n, keys): how many keys of each branch occur n times."""
+    return counted.groupBy("branch", "n").agg(F.expr("count(1) as keys"))
+
+
+def totals_of_levels(leveled: DataFrame) -> DataFrame:
+    """``totals`` from the levels of the same counts."""
+    return leveled.groupBy("branch").agg(
+        F.expr("sum(n * keys) as rows"), F.expr("sum((n - 1) * keys) as surplus"), F.expr("sum(keys) as keys")
+    )
+
+
+def top_rows_by_level(counted: DataFrame, leveled: DataFrame, limit: int) -> DataFrame:
+    """The same as ``top_rows``, sorting only keys as frequent as the ``limit``-th of their branch.
+
+    Keys that occur n times are at most one in n rows, so there are few levels however
+    many keys: they are ordered to find the frequency at which the limit is reached.
+    """
+    order = Window.partitionBy("branch").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = leveled.withColumn("upto", F.sum("keys").over(order))
+    least = reached.groupBy("branch").agg(F.expr(f"coalesce(max(n) filter (where upto >= {limit}), 0) as least"))
+    frequent = counted.join(F.broadcast(least), "branch").where("n >= least").drop("least")
+    return top_rows(frequent, limit)
+
+
 def top_rows(counted: DataFrame, limit: int) -> DataFrame:
     """(branch, rank, value, n): the ``limit`` most frequent values of each branch.
 
@@ -174,7 +221,9 @@ def top_values(
     last = f"found[least(size(found), {limit}) - 1]"
     tied = f"{of_texts} and e.n = {last}.n and {V.is_long('e.value')} and {V.beginning('e.value')} = {V.beginning(last + '.value')}"
     tops = base.selectExpr("branch", f"filter(found, e -> e.rank <= {limit} or coalesce({tied}, false)) as top")
-    digests = tops.where(of_texts).selectExpr("branch", "explode(top.value) as value").where(V.is_long("value"))
+    # not a filter, which would be pushed into the counts and have them read once more for these branches
+    shown = f"if({of_texts}, top.value, cast(array() as array<string>))"
+    digests = tops.selectExpr("branch", f"explode({shown}) as value").where(V.is_long("value"))
     wanted = texts.join(F.broadcast(digests), ["branch", "value"])
     # Equal digests, equal texts: the set of each has one element.  Unlike any_value, it is
     # aggregated in a hash map, so the rows of a frequent text are not sorted.

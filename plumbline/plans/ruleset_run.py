@@ -3,9 +3,9 @@
 ``measure`` plans all rules of all given rule sets as one DataFrame with a row
 per rule.  Row-local rules of a dataset share a single aggregate; uniqueness
 rules share one count per column; invalid values of all domain rules share one
-count; orphan counts are one anti-join of distinct keys each.  ``results`` gives
-the result rows, ``violations`` and ``sample`` the bad rows, and ``execute``
-runs it all and writes it.
+count; keys and the keys of their parents meet in one count, shared by the rules
+on them.  ``results`` gives the result rows, ``violations`` and ``sample`` the bad
+rows, and ``execute`` runs it all and writes it.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.errors import (
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions import values as V
 from plumbline.functions.scalars import utc_text
@@ -54,6 +55,8 @@ from plumbline.sources.sinks import append_results, append_samples, begin_run, s
 # Aggregates per scan; more rules than this are measured in several scans, to keep
 # generated code compilable.
 CHECKS_PER_SCAN = 100
+# Counts that one shuffled key carries for the rules that share it.
+COUNTS_PER_KEY = 8
 # Rules that ``execute`` measures in one job; it runs as many jobs as it takes.
 RULES_PER_JOB = 300
 
@@ -168,32 +171,88 @@ def keys_of(grouping: Grouping, df: DataFrame, datasets: Datasets) -> tuple[Data
     return keys, key, key_kind
 
 
+def _ends(dataset: str, grouping: Grouping, datasets: Datasets) -> tuple[list[tuple[str, str, str]], T.DataType]:
+    """(dataset, key, predicate of the rows to count) of what a grouping counts, the parent last, and the key's type."""
+    kind = C.kind_of(datasets[dataset], grouping.column)
+    column = V.named(grouping.column)
+    if grouping.kind == "repeated":
+        return [(dataset, V.groupable(column, kind), "true")], V.key_type(kind)
+    parent_kind = C.kind_of(datasets[grouping.parent_dataset], grouping.parent_column)
+    key, key_kind, parent_key = V.same_footing(column, kind, V.named(grouping.parent_column), parent_kind)
+    child = (dataset, key, f"not {V.is_blank(column, kind)}")
+    return [child, (grouping.parent_dataset, parent_key, "true")], key_kind
+
+
+def _families(groupings: dict[int, tuple[str, Grouping]], datasets: Datasets) -> list[dict[int, tuple]]:
+    """The branches by what they count: those with a dataset and key in common are one family.
+
+    Every key of a family carries all its counts, so a family has ``COUNTS_PER_KEY`` at most.
+    """
+    families: list[dict[int, tuple]] = []
+
+    def ends_of(family: dict[int, tuple]) -> set[tuple[str, str, str]]:
+        return {end for *_, ends, _ in family.values() for end in ends}
+
+    def keys_met(family: dict[int, tuple]) -> set[tuple[str, str, str]]:
+        return {(*end[:2], kind.simpleString()) for _, g, ends, kind in family.values() if not g.by_hash for end in ends}
+
+    for branch, (dataset, grouping) in groupings.items():
+        family = {branch: (dataset, grouping, *_ends(dataset, grouping, datasets))}
+        keys, apart = keys_met(family), []
+        for other in families:
+            if keys.isdisjoint(keys_met(other)) or len(ends_of(other | family)) > COUNTS_PER_KEY:
+                apart.append(other)
+            else:
+                family = other | family
+        families = [*apart, family]
+    return families
+
+
+def _family_counts(family: dict[int, tuple], datasets: Datasets) -> DataFrame:
+    """(branch, value, n) of the groupings of a family: every dataset's keys are shuffled once for all of them."""
+    names: dict[tuple[str, str, str], str] = {}
+    branches = {}
+    for branch, (dataset, grouping, ends, kind) in family.items():
+        if grouping.kind == "repeated" and len(family) == 1:
+            return C.key_texts(keys_of(grouping, datasets[dataset], datasets)[0], branch, kind)
+        own, *parent = [names.setdefault(end, f"n{len(names)}") for end in ends]
+        # a null key equals no key of the parent
+        wanted = f"{own} > 0 and (key is null or {parent[0]} = 0)" if parent else f"{own} > 1"
+        branches[branch] = (wanted, own)
+    sides: dict[tuple[str, str], dict[str, str]] = {}
+    for (dataset, key, predicate), name in names.items():
+        sides.setdefault((dataset, key), {})[name] = predicate
+    return C.met_counts([(datasets[d], key, counted) for (d, key), counted in sides.items()], branches, kind)
+
+
 def _counted(planned: list[Planned], datasets: Datasets, branches: dict[tuple, int]) -> DataFrame | None:
     """(branch, totals, top values) of every grouping, or None if there is none."""
-    parts: list[DataFrame] = []
+    groupings: dict[int, tuple[str, Grouping]] = {}
     invalid: dict[str, dict[int, tuple[str, str]]] = {}
     columns: dict[str, dict[int, str]] = {}
-    done = set()
     for p in planned:
         for check in p.checks:
-            if check.grouping is None or _branch_key(check) in done:
+            if check.grouping is None:
                 continue
-            done.add(_branch_key(check))
             branch = branches[_branch_key(check)]
             columns.setdefault(check.dataset, {})[branch] = check.grouping.column
             if check.grouping.kind == "invalid":
                 tests = invalid.setdefault(check.dataset, {})
                 tests[branch] = (check.grouping.column, check.bad)
             else:
-                keys, _, kind = keys_of(check.grouping, datasets[check.dataset], datasets)
-                parts.append(C.key_texts(keys, branch, kind))
+                groupings[branch] = (check.dataset, check.grouping)
+    parts = [_family_counts(family, datasets) for family in _families(groupings, datasets)]
     for dataset, tests in invalid.items():
         parts.append(C.invalid_values(datasets[dataset], tests))
     if not parts:
         return None
     counted = C.union_all(parts)
-    tops = C.top_values(counted, TOP_KEYS, [(datasets[d], named) for d, named in columns.items()])
-    return C.totals(counted).join(tops, "branch", "left")
+    sources = [(datasets[d], named) for d, named in columns.items()]
+    if len(branches) == 1:  # ordered top rows, which are not sorted
+        return C.totals(counted).join(C.top_values(counted, TOP_KEYS, sources), "branch", "left")
+    leveled = C.levels(counted)
+    best = C.top_rows_by_level(counted, leveled, max(TOP_KEYS, C.TIED))
+    return C.totals_of_levels(leveled).join(C.top_values(counted, TOP_KEYS, sources, best), "branch", "left")
 
 
 def measure(

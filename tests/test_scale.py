@@ -102,6 +102,71 @@ def test_counts_are_computed_once_for_all_their_uses(spark):
     assert "ReusedExchange" in plan
 
 
+def _reference(rule_id, child, parent_dataset, parent, **more):
+    expectation = {"child_column": child, "parent_dataset": parent_dataset, "parent_column": parent, **more}
+    return Rule(rule_id, "referential_integrity", "low", expectation)
+
+
+def test_rules_on_the_same_keys_share_one_shuffle(spark):
+    datasets = {name: spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("lineitem", "orders")}
+    datasets["some"] = datasets["orders"].where("o_orderkey % 2 = 0")
+    rules = (Rule("U", "uniqueness", "low", {"column": "l_orderkey"}),
+             _reference("K1", "l_orderkey", "orders", "o_orderkey"), _reference("K2", "l_orderkey", "some", "o_orderkey"),
+             Rule("D", "domain", "low", {"column": "l_returnflag", "allowed_values": ["A"]}))
+    own = RuleSet("orders", 1, (Rule("U", "uniqueness", "low", {"column": "o_orderkey"}),))
+    plan = final_plan(R.measure(spark, [RuleSet("lineitem", 1, rules), own], datasets))
+    assert "LeftAnti" not in plan  # keys meet in the count
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(key#" in line and "Reused" not in line]
+    assert len(exchanges) == 1
+    # totals and frequent values: two readers of the keys, for texts too, and what is sorted has passed the bound
+    assert len([line for line in plan.splitlines() if "ReusedExchange" in line and "hashpartitioning(key#" in line]) == 1
+    limited = plan[plan.index("WindowGroupLimit"):]
+    assert limited.index("Sort") < limited.index("BroadcastHashJoin") < limited.index("hashpartitioning(key#")
+
+
+@pytest.mark.parametrize("counts", [8, 3, 1])
+def test_counts_in_families_are_those_of_each_rule(spark, monkeypatch, counts):
+    """Nulls, blanks, ties, a column that refers to itself, other types, hashes: as counted rule by rule."""
+    monkeypatch.setattr(R, "COUNTS_PER_KEY", counts)
+    d = spark.range(6000).repartition(5).selectExpr(
+        "if(id % 97 = 0, null, id * 31 % 2000) as k", "if(id % 50 = 0, '  ', cast(id % 3000 as string)) as t",
+        "if(id % 40 = 0, double('NaN'), id % 700) as f", "cast(id % 900 as int) as i",
+    )
+    p = spark.range(1500).selectExpr("if(id = 3, null, id) as k", "cast(id as string) as t", "cast(id as int) as i", "cast(id div 2 as double) as f")
+    datasets = {"d": d, "p": p, "none": p.limit(0)}
+    rules = [Rule(f"U{c}", "uniqueness", "low", {"column": c}) for c in "ktfi"]
+    rules += [Rule("H", "uniqueness", "low", {"column": "k", "count_by": "hash"})]
+    rules += [_reference(f"K{c}{parent}", c, parent, c) for c in "ktfi" for parent in ("p", "none")]
+    rules += [_reference("K1", "k", "p", "i"), _reference("K2", "k", "p", "t"), _reference("K3", "i", "d", "k"), _reference("K4", "i", "d", "i")]
+    rules += [Rule("U2", "uniqueness", "low", {"column": "k"}), Rule("D", "domain", "low", {"column": "t", "allowed_values": ["1"]})]
+    own = RuleSet("p", 1, tuple(Rule(f"P{c}", "uniqueness", "low", {"column": c}) for c in "kti"))
+    planned = R.plan([RuleSet("d", 1, tuple(rules)), own], datasets, Clock.at())
+    branches = R._branches(planned)
+    found = {r["branch"]: r for r in R._counted(planned, datasets, branches).collect()}
+    for part in planned:
+        for check in part.checks:
+            if check.grouping.kind == "invalid":
+                continue
+            keys, _, kind = R.keys_of(check.grouping, datasets[check.dataset], datasets)
+            plain = [(r["value"], r["n"]) for r in C.key_texts(keys, 0, kind).collect()]
+            got = found.get(branches[R._branch_key(check)])
+            if not plain:
+                assert got is None, check.rule.rule_id
+                continue
+            assert (got["rows"], got["surplus"], got["keys"]) == (sum(n for _, n in plain), sum(n - 1 for _, n in plain), len(plain))
+            ordered = sorted(plain, key=lambda e: (-e[1], e[0] is not None, e[0]))[: R.TOP_KEYS]
+            assert [tuple(e) for e in got["top"]] == ordered, check.rule.rule_id
+
+
+@pytest.mark.parametrize("limit", [1, 7, 500])
+def test_top_rows_by_level_are_the_top_rows(spark, limit):
+    counted = spark.range(3000).selectExpr("cast(id % 3 as int) as branch", "if(id < 3, null, cast(id * 7919 % 3001 as string)) as value", "1 + id % (2 + id % 3 * 20) as n")
+    found = C.top_rows_by_level(counted, C.levels(counted), limit)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, C.top_rows(counted, limit).collect()), key=repr)
+    order = lambda df: sorted(map(tuple, df.collect()))
+    assert order(C.totals_of_levels(C.levels(counted))) == order(C.totals(counted))
+
+
 def test_frequent_values_are_pruned_before_the_shuffle(spark):
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rules = (Rule("U1", "uniqueness", "low", {"column": "text"}), Rule("U2", "uniqueness", "low", {"column": "doc_id"}))
